@@ -103,9 +103,8 @@ def jaccard_components(docs: DataFrame, words: int = 4, num: int = 85, den: int
 def keep_first(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """The rows of docs that are the first of their component; the columns stay.
 
-    Of repeated ids one row stays unless the text is empty; null ids, null and empty
-    texts all stay.
+    Rows that share an id stay or go together; null ids, null and empty texts stay.
     """
     comps = jaccard_components(docs, words, num, den)
     later = comps.where("n_shingles > 0 and component_id < doc_id").select("doc_id").distinct()
-    return docs.join(later, "doc_id", "left_anti")
+    return docs.join(later, "doc_id", "left_anti").select(*docs.columns)
