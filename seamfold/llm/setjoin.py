@@ -2,8 +2,8 @@
 
 Candidates come from postings (key, node): two sets can only be linked if they share
 a key. Groups of near copies would give a square number of pairs, so the search goes
-in two rounds. First every node is held against the nodes that stand first in its
-lists, which gathers most of each group; then only pairs whose ends are not yet known
+in two rounds. First every node is held against the nodes that have the key of a list
+earliest, having the fewest keys of their own, which gathers most of each group; then only pairs whose ends are not yet known
 to be connected are tried, all of them. That loses no connection.
 """
 
@@ -24,6 +24,8 @@ from seamfold.llm.graph import components
 
 #: Sets that are held against one query set at a time.
 BLOCK = 32
+#: Sizes are banded by powers of this where sets meet.
+STEP = 1.02
 #: DivideSkip's cost factor of a heap step against a binary probe.
 MU = 0.01
 
@@ -135,19 +137,18 @@ def link(posts: DataFrame, load_sets: Callable[[DataFrame], DataFrame], num: int
     """Components and links of the sets whose postings are given.
 
     posts: (key, node, n, pos), one row for each node and key; n is the set's size and
-    pos the key's place in it under an order that all sets share, so that sets linked
-    by their first shared key at places i and j have at most min(n-i, n-j) keys in
-    common. Without such an order, pos is 0. load_sets takes the nodes (node) that are
-    needed and returns (node, keys).
+    pos the key's place in it under an order that all sets share, rare keys first. Sets
+    whose first shared key stands at places i and j have at most min(n-i, n-j) keys in
+    common, and the smaller of two similar sets shares one of its first n - ceil(2t/(1+t)n)
+    + 1 keys. Without such an order, n is 1 and pos 0. load_sets takes the nodes (node)
+    that are needed and returns (node, keys).
 
     Returns (node, component) for linked nodes and the links found (a, b, both): all
     that connect different components, not each pair within one.
     """
-    lists = posts.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first < last").select("key", "first")
+    lists = posts.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.min(F.struct("pos", "node")).alias("head")).where("low < high").select("key", F.col("head.node").alias("first"))
     shared = scratch(posts.join(lists, "key"), "shared")
     sets = scratch(load_sets(shared.select("node").distinct()), "sets")
-    fits = lambda x, y: (den * F.col(f"{y}.n") >= num * F.col(f"{x}.n")) & (den * F.col(f"{x}.n") >= num * F.col(f"{y}.n"))
-
     votes = shared.where("node <> first").groupBy("node", "first").agg(F.count("*").alias("votes"))
     best = votes.groupBy("node").agg(F.slice(F.sort_array(F.collect_list(F.struct("votes", "first")), asc=False), 1, 3).alias("best"))
     stars = best.select(F.explode("best.first").alias("a"), F.col("node").alias("b"))
@@ -155,14 +156,18 @@ def link(posts: DataFrame, load_sets: Callable[[DataFrame], DataFrame], num: int
 
     home = shared.join(components(near), "node", "left").withColumn("component", F.coalesce("component", "node"))
     home = scratch(home.select("key", "node", "n", "pos", "component"), "home")
+
+    # what is left: pairs across components, the smaller set x against the larger y, within bands of x's size
     mixed = home.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-    left = home.join(mixed, "key")
-    sides = left.select("key", "component").distinct()
-    meet = sides.alias("x").join(sides.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component"))).select("x.key", F.col("x.component").alias("cx"), F.col("y.component").alias("cy"))
-    one = meet.join(left.select("key", F.col("component").alias("cx"), "node", "n", "pos"), ["key", "cx"]).alias("x")
-    two = left.select("key", F.col("component").alias("cy"), "node", "n", "pos").alias("y")
-    most = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
-    pairs = one.join(two, ["key", "cy"]).where(fits("x", "y") & ((num + den) * most >= num * (F.col("x.n") + F.col("y.n")))).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+    left = home.join(mixed, "key").withColumn("most", F.expr(f"{num + den} * (n - pos) div {num} - n"))
+    band = lambda size: F.floor(F.log(size.cast("double")) / math.log(STEP)).cast("int")
+    lowest, highest = F.expr(f"({num} * n + {den - 1}) div {den}"), F.least("n", "most")
+    small = left.where(F.expr(f"pos <= n - (2 * {num} * n + {num + den - 1}) div {num + den}")).select("key", band(F.col("n")).alias("band"), F.col("component").alias("cx"), F.struct("node", "n", "most").alias("x"))
+    large = left.where(lowest <= highest).select("key", F.explode(F.sequence(band(lowest), band(highest))).alias("band"), F.col("component").alias("cy"), F.struct("node", "n", "most").alias("y"))
+    meet = small.select("key", "band", "cx").distinct().join(large.select("key", "band", "cy").distinct(), ["key", "band"]).where("cx <> cy")
+    ordered = (F.col("x.n") < F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.node") < F.col("y.node")))
+    near_enough = (F.col("x.n") <= F.col("y.most")) & (F.col("y.n") <= F.col("x.most")) & (den * F.col("x.n") >= num * F.col("y.n"))
+    pairs = meet.join(small, ["key", "band", "cx"]).join(large, ["key", "band", "cy"]).where(ordered & near_enough).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
     far = verify(pairs, sets, num, den)
     links = scratch(near.unionByName(far), "links")
     return components(links), links
