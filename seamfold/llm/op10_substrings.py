@@ -1,5 +1,6 @@
 """Substring dedup: words that an earlier document already has, by suffix automata.
 
+0. Documents whose whole text an earlier document has are set aside by digest.
 1. A filter finds the word windows whose hash occurs more than once in the corpus.
 2. Each document sends its runs of such windows, cut where the window's minimizer (the
    least hash of its 6-word grams) changes, so that equal windows meet under one
@@ -24,6 +25,8 @@ from pyspark.sql import functions as F
 from seamfold.llm.core import ngrams, prepare, scratch, word_hashes
 from seamfold.llm.repeats import may_hold, members, repeated
 
+#: Exact copies whose marks are broadcast; beyond, they are parted from the rest by a shuffle.
+BROADCAST_COPIES = 2_000_000
 #: Words of the grams that minimizers are taken from.
 GRAM = 6
 
@@ -109,9 +112,9 @@ def _spans(flags: np.ndarray, cut: np.ndarray) -> Iterator[tuple[int, int]]:
 
 
 def repeated_windows(docs: DataFrame, window: int = 13) -> DataFrame:
-    """(doc_id, sig, spots): starts of the windows that a document with a smaller id has.
+    """(mark, spots): starts of the windows that a document with a smaller id has.
 
-    docs: (doc_id, text). sig is a hash of the text, which tells rows of one id apart.
+    docs: (doc_id, text, mark), mark telling rows with different ids or texts apart.
     """
     spark = prepare(docs.sparkSession)
 
@@ -126,30 +129,29 @@ def repeated_windows(docs: DataFrame, window: int = 13) -> DataFrame:
     def runs(batches):
         for batch in batches:
             out: list[list] = [[], [], [], [], [], []]
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                text = (text or "").encode()
-                words = text.split()
+            for doc, text, mark in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                words = (text or "").encode().split()
                 if doc is None or len(words) < window:
                     continue
                 h = word_hashes(words)
                 hit = some.value.contains(ngrams(h, window))
                 if hit.any():
-                    least, sig = _minimizers(h, window), _signed(xxhash.xxh3_64_intdigest(text))
+                    least = _minimizers(h, window)
                     for a, b in _spans(hit, least):
                         run = b" ".join(words[a : b + window - 1])
-                        for x, v in zip(out, (doc, sig, a, int(least[a].view(np.int64)), run, xxhash.xxh3_128_digest(run)), strict=True):
+                        for x, v in zip(out, (doc, mark, a, int(least[a].view(np.int64)), _signed(xxhash.xxh3_64_intdigest(run)), run), strict=True):
                             x.append(v)
-            yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in out[:4]), *(pa.array(x, pa.binary()) for x in out[4:])], names=["doc_id", "sig", "start", "shard", "words", "code"])
+            yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in out[:5]), pa.array(out[5], pa.binary())], names=["doc_id", "mark", "start", "shard", "code", "words"])
 
-    sent = scratch(docs.mapInArrow(runs, "doc_id long, sig long, start long, shard long, words binary, code binary"), "runs")
-    contents = sent.groupBy("shard", "words").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    sent = scratch(docs.mapInArrow(runs, "doc_id long, mark long, start long, shard long, code long, words binary"), "runs")
+    contents = sent.groupBy("shard", "words").agg(F.min("doc_id").alias("first"))
 
     def match(batches):
         """Runs come shard by shard, by first document within; only unseen windows enlarge the automaton."""
         shard, sam, held, out = None, None, None, [[], [], []]
 
         def answer(words, first, owners):
-            for x, v in zip(out, (shard, xxhash.xxh3_128_digest(words), owners), strict=True):
+            for x, v in zip(out, (shard, _signed(xxhash.xxh3_64_intdigest(words)), owners), strict=True):
                 x.append(v)
 
         for batch in batches:
@@ -166,13 +168,13 @@ def repeated_windows(docs: DataFrame, window: int = 13) -> DataFrame:
                 if None in owners:
                     sam.add(tokens, first)
                 answer(words, first, [first if o is None else o for o in owners])
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.list_(pa.int64()))], names=["shard", "code", "owners"])
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.list_(pa.int64()))], names=["shard", "code", "owners"])
             out[:] = [], [], []
 
-    owned = contents.select("shard", "words", "first").repartition("shard").sortWithinPartitions("shard", "first").mapInArrow(match, "shard long, code binary, owners array<long>")
+    owned = contents.select("shard", "words", "first").repartition("shard").sortWithinPartitions("shard", "first").mapInArrow(match, "shard long, code long, owners array<long>")
     spots = F.filter(F.transform("owners", lambda o, i: F.when(o < F.col("doc_id"), F.col("start") + i)), lambda x: x.isNotNull())
-    late = sent.drop("words").join(owned, ["shard", "code"]).select("doc_id", "sig", spots.alias("spots")).where("size(spots) > 0")
-    return late.groupBy("doc_id", "sig").agg(F.flatten(F.collect_list("spots")).alias("spots"))
+    late = sent.drop("words").join(owned, ["shard", "code"]).select("mark", spots.alias("spots")).where("size(spots) > 0")
+    return late.groupBy("mark").agg(F.flatten(F.collect_list("spots")).alias("spots"))
 
 
 def _signed(x: int) -> int:
@@ -191,41 +193,52 @@ def remove_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id", te
     rows give no rows.
     """
     spark = prepare(docs.sparkSession)
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    late = scratch(repeated_windows(docs, window), "late")
-    touched = spark.sparkContext.broadcast(members(late.select("doc_id").distinct(), "doc_id"))
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).withColumn("mark", F.xxhash64("doc_id", "text"))
+    outlines = docs.where("doc_id is not null and text is not null").select("doc_id", "mark", F.md5("text").alias("digest"))
+    earliest = outlines.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
+    copies = scratch(outlines.join(earliest, "digest").where("doc_id > first").select("mark").distinct(), "copies")
+    copies = F.broadcast(copies) if copies.count() <= BROADCAST_COPIES else copies
+    firsts, copied = docs.join(copies, "mark", "left_anti").select(docs.columns), docs.join(copies, "mark", "left_semi").select(docs.columns)
+    late = scratch(repeated_windows(firsts, window), "late")
+    touched = spark.sparkContext.broadcast(members(late, "mark"))
     names = ["doc_id", "n_words", "n_removed", "kept"]
 
     def hits(batch):
-        ids = batch.column(0)
-        return may_hold(touched.value, ids.fill_null(0).to_numpy(zero_copy_only=False)) & ids.is_valid().to_numpy(zero_copy_only=False)
+        return may_hold(touched.value, batch.column(2).to_numpy(zero_copy_only=False))
+
+    def rows(batch, words, removed, kept):
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(w) for w in words], pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary())], names=names)
 
     def whole(batches):
         for batch in batches:
             batch = batch.filter(pa.array(~hits(batch)))
             words = [(t or "").encode().split() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(w) for w in words], pa.int64()), pa.array([0] * len(words), pa.int64()), pa.array([b" ".join(w) for w in words], pa.binary())], names=names)
+            yield rows(batch, words, [0] * len(words), [b" ".join(w) for w in words])
+
+    def gone(batches):
+        for batch in batches:
+            words = [(t or "").encode().split() for t in batch.column(1).to_pylist()]
+            yield rows(batch, words, [len(w) if len(w) >= window else 0 for w in words], [b"" if len(w) >= window else b" ".join(w) for w in words])
 
     def taken(batches):
         for batch in batches:
-            batch = batch.filter(pa.array(hits(batch)))
-            texts = [(t or "").encode() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([_signed(xxhash.xxh3_64_intdigest(t)) for t in texts], pa.int64()), pa.array(texts, pa.binary())], names=["doc_id", "sig", "text"])
+            yield batch.filter(pa.array(hits(batch)))
 
     def drop(batches):
         for batch in batches:
-            out: list[list] = [[], [], []]
+            all_words, removed, kept = [], [], []
             for text, spots in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                words = text.split()
-                gone = np.zeros(len(words) + 1, np.int64)
+                words = (text or "").encode().split()
+                edges = np.zeros(len(words) + 1, np.int64)
                 at = np.array(spots or [], np.int64)
-                np.add.at(gone, at, 1)
-                np.add.at(gone, at + window, -1)
-                stay = (np.cumsum(gone)[:-1] == 0).tolist()
-                for x, v in zip(out, (len(words), len(words) - sum(stay), b" ".join([w for w, k in zip(words, stay, strict=True) if k])), strict=True):
-                    x.append(v)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.binary())], names=names)
+                np.add.at(edges, at, 1)
+                np.add.at(edges, at + window, -1)
+                stay = np.cumsum(edges)[:-1] == 0
+                all_words.append(words)
+                removed.append(len(words) - int(stay.sum()))
+                kept.append(b" ".join([w for w, k in zip(words, stay.tolist(), strict=True) if k]))
+            yield rows(batch, all_words, removed, kept)
 
     ddl = "doc_id long, n_words long, n_removed long, kept binary"
-    joined = docs.mapInArrow(taken, "doc_id long, sig long, text binary").join(late, ["doc_id", "sig"], "left").select("doc_id", "text", "spots")
-    return docs.mapInArrow(whole, ddl).unionByName(joined.mapInArrow(drop, ddl))
+    joined = firsts.mapInArrow(taken, docs.schema).join(late, "mark", "left").select("doc_id", "text", "spots")
+    return firsts.mapInArrow(whole, ddl).unionByName(joined.mapInArrow(drop, ddl)).unionByName(copied.mapInArrow(gone, ddl))
