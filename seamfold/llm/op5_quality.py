@@ -52,21 +52,24 @@ class Features:
         return slots[self.stamp[slots] == marks]
 
 
-def dual_coordinate_descent(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, size: int, c: np.ndarray, epochs: int = 12, seed: int = 7) -> np.ndarray:
-    """Weights of min |w|^2/2 + sum c_i * max(0, 1 - y_i w.x_i) for sparse rows (slots, values)."""
-    w, alpha = np.zeros(size), np.zeros(len(y))
-    square = np.array([float(v @ v) for _, v in rows])
+def dual_coordinate_descent(rows: list[np.ndarray], ratio: np.ndarray, y: np.ndarray, c: np.ndarray, epochs: int = 12, seed: int = 7) -> np.ndarray:
+    """Weights, the bias last, of min |w|^2/2 + sum c_i * max(0, 1 - y_i w.x_i).
+
+    Row i is given by its slots; x_i holds their ratios, scaled to length 1, and a 1.
+    """
+    w, alpha = np.zeros(len(ratio) + 1), np.zeros(len(y))
     order = np.random.default_rng(seed)
     for _ in range(epochs):
         worst = 0.0
         for i in order.permutation(len(y)):
-            if square[i] == 0:
-                continue
-            slots, v = rows[i]
-            g = y[i] * float(w[slots] @ v) - 1
-            new = min(max(alpha[i] - g / square[i], 0.0), c[i])
+            v = ratio[rows[i]]
+            length = max(1e-12, float(v @ v)) ** 0.5
+            g = y[i] * (float(w[rows[i]] @ v) / length + w[-1]) - 1
+            new = min(max(alpha[i] - g / (float(v @ v) / length**2 + 1), 0.0), c[i])
             if new != alpha[i]:
-                w[slots] += (new - alpha[i]) * y[i] * v
+                step = (new - alpha[i]) * y[i]
+                w[rows[i]] += step / length * v
+                w[-1] += step
                 worst = max(worst, abs(new - alpha[i]))
                 alpha[i] = new
         if worst < 1e-3:
@@ -149,17 +152,16 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int =
             slots = [features(t).astype(np.int32).tobytes() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(slots, pa.binary())], names=["doc_id", "label", "slots"])
 
-    sample = sorted(drawn.select("doc_id", "text", "label").mapInArrow(take, "doc_id long, label int, slots binary").collect())  # about fit_rows rows
-    xs, ys, calibrate = [], np.array([1.0 if r["label"] else -1.0 for r in sample]), np.array([binascii.crc32(b"c%d" % r["doc_id"]) % 5 == 0 for r in sample])
-    for r in sample:
-        slots = np.frombuffer(bytes(r["slots"]), np.int32)
-        v = ratio[slots]
-        xs.append((np.append(slots, SLOTS), np.append(v / max(1e-12, float(v @ v)) ** 0.5, 1.0)))
+    sample = drawn.select("doc_id", "text", "label").mapInArrow(take, "doc_id long, label int, slots binary").toArrow().sort_by("doc_id")  # about fit_rows rows
+    slots = [np.frombuffer(x.as_buffer(), np.int32) for x in sample["slots"]]
+    ys = np.where(sample["label"].to_numpy() > 0, 1.0, -1.0)
+    calibrate = np.array([binascii.crc32(b"c%d" % d) % 5 == 0 for d in sample["doc_id"].to_pylist()], bool)
     own = np.flatnonzero(~calibrate)
     balance = {s: len(own) / (2 * max(1, int((ys[own] == s).sum()))) for s in (-1.0, 1.0)}
-    weight = dual_coordinate_descent([xs[i] for i in own], ys[own], SLOTS + 1, np.array([balance[y] for y in ys[own]]))
-    margins = np.array([float(weight[s] @ v) for s, v in xs])
-    return Model(ratio, weight, *platt(margins[calibrate], ys[calibrate]))
+    weight = dual_coordinate_descent([slots[i] for i in own], ratio, ys[own], np.array([balance[y] for y in ys[own]]))
+    model = Model(ratio, weight)
+    model.a, model.b = platt(np.array([model.margin(slots[i]) for i in np.flatnonzero(calibrate)]), ys[calibrate])
+    return model
 
 
 def score(docs: DataFrame, model: Model, folds: int = 5, threshold: float = 0.3) -> DataFrame:
