@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from seamfold.llm.core import as_long, mix, prepare, scratch
 from seamfold.llm.repeats import may_hold, members, repeated
-from seamfold.llm.setjoin import link
+from seamfold.llm.setjoin import count, link
 
 SHINGLE = 8
 #: A pair at similarity 0.8 is missed with probability (1 - 0.8**5)**16 = 0.0017.
@@ -147,7 +147,7 @@ def line_components(docs: DataFrame, num: int = 80, den: int = 100, id_col: str
             yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(place, pa.int32()), pa.array([len(x) for x in lines], pa.int64()), pa.array(codes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], names=names)
 
     signed = scratch(docs.mapInArrow(sign, "doc_id long, line int, n_chars long, node long, keys array<long>"), "signed")
-    fresh = signed.where("keys is not null").select("keys", "node", "n_chars")
+    fresh = signed.where("keys is not null").select("keys", "node")
 
     def keys_of(batch):
         yield batch.column(0).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
@@ -160,34 +160,32 @@ def line_components(docs: DataFrame, num: int = 80, den: int = 100, id_col: str
             keys = column.flatten().to_numpy(zero_copy_only=False)
             row = np.repeat(np.arange(batch.num_rows), np.diff(column.offsets.to_numpy()))
             hit = some.value.contains(keys.view(np.uint64))
-            yield pa.RecordBatch.from_arrays([pa.array(keys[hit]), batch.column(1).take(pa.array(row[hit])), batch.column(2).take(pa.array(row[hit]))], names=["key", "node", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys[hit]), batch.column(1).take(pa.array(row[hit]))], names=["key", "node"])
 
-    posts = fresh.mapInArrow(shared, "key long, node long, n long").groupBy("key", "node").agg(F.max("n").alias("n"))
-    # sizes of character sets are not known from lengths alone, so none is ruled out by them here
-    posts = posts.select("key", "node", F.lit(1).cast("long").alias("n"), F.lit(0).cast("long").alias("pos"))
+    one, zero = F.lit(1).cast("long"), F.lit(0).cast("long")
+    posts = fresh.mapInArrow(shared, "key long, node long").distinct().select("key", "node", one.alias("n"), zero.alias("pos"))
+
+    firsts = scratch(signed.groupBy("node").agg(F.min(F.struct("doc_id", "line")).alias("first")), "firsts")
 
     def load_sets(nodes: DataFrame) -> DataFrame:
-        wanted = spark.sparkContext.broadcast(members(nodes, "node"))
+        """The nodes' normalized texts, each from its first line."""
+        places = scratch(nodes.join(firsts, "node").select("first.doc_id", "first.line", "node"), "places")
+        wanted = spark.sparkContext.broadcast((members(places.select("doc_id").distinct(), "doc_id"), members(places, "node")))
 
         def sets(batches):
-            done: set[int] = set()
+            in_docs, in_nodes = wanted.value
             for batch in batches:
-                lines: dict[int, str] = {}
-                for text in batch.column(1).to_pylist():
-                    for line in (text or "").split("\n"):
-                        if (line := normal(line)) and (c := _code(line)) not in done:
-                            lines[c] = line
-                codes = np.fromiter(lines, np.int64, len(lines))
-                codes = codes[may_hold(wanted.value, codes)]
-                done.update(codes.tolist())
-                if len(done) > 1_000_000:
-                    done.clear()
-                yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array([shingle_set(lines[c]).tobytes() for c in codes.tolist()], pa.binary())], names=["node", "keys"])
-
-        return docs.mapInArrow(sets, "node long, keys binary").join(nodes, "node", "left_semi").dropDuplicates(["node"])
-
-    found, _ = link(posts, load_sets, num, den)
-    firsts = signed.groupBy("node").agg(F.min(F.struct("doc_id", "line")).alias("first"))
+                batch = batch.filter(pa.array(may_hold(in_docs, batch.column(0).to_numpy(zero_copy_only=False))))
+                found = [(d, i, line) for d, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for i, line in enumerate((text or "").split("\n"))]
+                lines = [normal(line) for _, _, line in found]
+                codes = np.array([_code(line) for line in lines], np.int64)
+                at = np.flatnonzero(may_hold(in_nodes, codes)).tolist()
+                yield pa.RecordBatch.from_arrays([pa.array([found[i][0] for i in at], pa.int64()), pa.array([found[i][1] for i in at], pa.int32()), pa.array(codes[at]), pa.array([lines[i].encode("utf-8", "surrogatepass") for i in at], pa.binary())], names=["doc_id", "line", "node", "keys"])
+
+        # a repeated id may hold the line twice
+        return docs.mapInArrow(sets, "doc_id long, line int, node long, keys binary").join(places, ["doc_id", "line", "node"], "left_semi").dropDuplicates(["node"]).select("node", "keys")
+
+    found, _ = link(posts, load_sets, num, den, lambda blob: shingle_set(blob.decode("utf-8", "surrogatepass")), count)
     placed = scratch(firsts.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "first"), "placed")
     owner = placed.groupBy("component").agg(F.min("first").alias("keep"))
     whole = placed.join(owner, "component").select("node", F.col("keep.doc_id").alias("keep_doc"), F.col("keep.line").alias("keep_line"))

@@ -17,11 +17,7 @@ from pyspark.sql import functions as F
 
 from seamfold.llm.core import as_long, ngrams, prepare, scratch, word_hashes
 from seamfold.llm.repeats import may_hold, members, repeated
-from seamfold.llm.setjoin import link
-
-#: A key in this many sets counts as a long list.
-LONG = 24
-
+from seamfold.llm.setjoin import LONG, link, postings, rare_prefix
 
 def shingles(text: str | None, words: int) -> np.ndarray:
     """Sorted distinct hashes of the shingles of a text, A-Z lower-cased."""
@@ -62,24 +58,16 @@ def jaccard_components(docs: DataFrame, words: int = 4, num: int = 85, den: int
                 s = shingles(text, words)
                 n.append(len(s))
                 digest.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
-                more = np.flatnonzero(some.value.contains(s))
-                head = len(s) + (-num * len(s) // den) + 1
-                alone = len(s) - len(more)
-                if len(s) and alone < head:
-                    rare = ~often.value.contains(s[more])
-                    order = np.concatenate([more[rare], more[~rare]])[: head - alone]
-                    keys.append(as_long(s[order]))
-                    places.append(np.arange(alone, alone + len(order)))
-                else:
-                    keys.append([])
-                    places.append([])
+                head, at, _ = rare_prefix(s, some.value, often.value, num, den)
+                keys.append(as_long(head))
+                places.append(at)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(places, pa.list_(pa.int64()))], names=["doc_id", "n", "digest", "keys", "places"])
 
     outlines = scratch(docs.mapInArrow(outline, "doc_id long, n long, digest binary, keys array<long>, places array<long>"), "outlines")
     groups = scratch(outlines.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("node"), F.max("n").alias("n")), "groups")
     first = groups.where("node is not null").select(F.col("node").alias("doc_id"), "digest")
     heads = outlines.where("size(keys) > 0").join(first, ["doc_id", "digest"], "left_semi").dropDuplicates(["doc_id", "digest"])
-    posts = heads.select(F.col("doc_id").alias("node"), "n", F.explode(F.arrays_zip("keys", "places")).alias("k")).select(F.col("k.keys").alias("key"), "node", "n", F.col("k.places").alias("pos"))
+    posts = postings(heads.select(F.col("doc_id").alias("node"), "n", "keys", "places"))
 
     def load_sets(nodes: DataFrame) -> DataFrame:
         wanted = spark.sparkContext.broadcast(members(nodes, "node"))

@@ -21,9 +21,12 @@ from pyspark.sql import functions as F
 
 from seamfold.llm.core import scratch
 from seamfold.llm.graph import components
+from seamfold.llm.repeats import Filter
 
 #: Sets that are held against one query set at a time.
 BLOCK = 32
+#: A key in this many sets counts as a long list.
+LONG = 24
 #: Sizes are banded by powers of this where sets meet.
 STEP = 1.02
 #: DivideSkip's cost factor of a heap step against a binary probe.
@@ -82,19 +85,36 @@ def search(query: np.ndarray, others: list[np.ndarray], num: int, den: int) -> d
     hit = query[place] == keys
     place, who = place[hit], who[hit]
     order = np.lexsort((who, place))
-    lists = [x.tolist() for x in np.split(who[order], np.searchsorted(place[order], np.arange(1, n)))]
+    ids, ends = who[order].tolist(), np.cumsum(np.bincount(place, minlength=n)).tolist()
+    lists = [ids[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True) if a < b]
     need = -(-num * n // den)  # |both| >= (num/den)*|either| >= (num/den)*n
     return {fit[j]: c for j, c in divide_skip(lists, need).items() if den * c >= num * (n + len(others[fit[j]]) - c)}
 
 
-def _searcher(num: int, den: int):
+def count(query: np.ndarray, others: list[np.ndarray], num: int, den: int) -> dict[int, int]:
+    """What search gives, by counting every shared key."""
+    n, sizes = len(query), np.array([len(y) for y in others], np.int64)
+    if not n or not len(sizes):
+        return {}
+    keys = np.concatenate(others)
+    place = np.searchsorted(query, keys)
+    place[place == n] = 0
+    both = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[query[place] == keys], minlength=len(sizes))
+    return {int(j): int(both[j]) for j in np.flatnonzero(den * both >= num * (n + sizes - both))}
+
+
+def as_keys(blob: bytes) -> np.ndarray:
+    return np.frombuffer(blob, np.uint64)
+
+
+def _searcher(num: int, den: int, decode: Callable[[bytes], np.ndarray], finder: Callable):
     names = ["a", "b", "both"]
 
     def run(batches: Iterator[pa.RecordBatch]):
         group, query, ids, sets = None, None, [], []
 
         def flush():
-            got = search(query, sets, num, den) if query is not None and ids else {}
+            got = finder(query, sets, num, den) if query is not None and ids else {}
             return pa.RecordBatch.from_arrays([pa.array([group[0]] * len(got), pa.int64()), pa.array([ids[j] for j in got], pa.int64()), pa.array(list(got.values()), pa.int64())], names=names)
 
         for batch in batches:
@@ -104,7 +124,7 @@ def _searcher(num: int, den: int):
                     if ids:
                         yield flush()
                     group, query, ids, sets = (x[i], s[i]), None, [], []
-                keys = np.frombuffer(blob[i], np.uint64)
+                keys = decode(blob[i])
                 if role[i] == 0:
                     query = keys
                 else:
@@ -119,10 +139,10 @@ def _searcher(num: int, den: int):
     return run
 
 
-def verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def verify(pairs: DataFrame, sets: DataFrame, num: int, den: int, decode: Callable[[bytes], np.ndarray] = as_keys, finder: Callable = search) -> DataFrame:
     """The pairs (a, b) whose sets are similar enough, as (a, b, both).
 
-    pairs: distinct. sets: (node, keys), keys being sorted 64-bit numbers as binary.
+    pairs: distinct. sets: (node, keys), keys being what decode turns into a sorted array.
     Partners of one a are dealt over as many groups as it takes, BLOCK to each.
     """
     load = pairs.groupBy("a").agg(F.count("*").alias("n"))
@@ -130,29 +150,55 @@ def verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     others = dealt.join(sets.select(F.col("node").alias("b"), "keys"), "b").select("a", "s", F.lit(1).alias("role"), F.col("b").alias("node"), "keys")
     queries = dealt.select("a", "s").distinct().join(sets.select(F.col("node").alias("a"), "keys"), "a").select("a", "s", F.lit(0).alias("role"), F.col("a").alias("node"), "keys")
     rows = others.unionByName(queries).repartition("a", "s").sortWithinPartitions("a", "s", "role")
-    return rows.mapInArrow(_searcher(num, den), "a long, b long, both long")
+    return rows.mapInArrow(_searcher(num, den, decode, finder), "a long, b long, both long")
+
+
+def rare_prefix(keys: np.ndarray, some: Filter, often: Filter, num: int, den: int, hashed: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, int]:
+    """The keys by which a set meets all similar ones, their places, and how many keys it has alone.
+
+    The order is: keys that no other set has, keys that some have, keys that many have.
+    Of the first n - ceil(t*n) + 1 keys, those of its own meet nothing and are left out.
+    """
+    hashed = keys if hashed is None else hashed
+    shared = np.flatnonzero(some.contains(hashed))
+    alone = len(keys) - len(shared)
+    head = len(keys) + (-num * len(keys) // den) + 1
+    if not len(keys) or alone >= head:
+        return keys[:0], np.zeros(0, np.int64), alone
+    rare = ~often.contains(hashed[shared])
+    order = np.concatenate([shared[rare], shared[~rare]])[: head - alone]
+    return keys[order], np.arange(alone, alone + len(order)), alone
+
+
+def postings(outlines: DataFrame) -> DataFrame:
+    """(key, node, n, pos) of (node, n, keys, places)."""
+    return outlines.select("node", "n", F.explode(F.arrays_zip("keys", "places")).alias("k")).select(F.col("k.keys").alias("key"), "node", "n", F.col("k.places").alias("pos"))
 
 
-def link(posts: DataFrame, load_sets: Callable[[DataFrame], DataFrame], num: int, den: int) -> tuple[DataFrame, DataFrame]:
+def link(posts: DataFrame, load_sets: Callable[[DataFrame], DataFrame], num: int, den: int, decode: Callable[[bytes], np.ndarray] = as_keys, finder: Callable = search) -> tuple[DataFrame, DataFrame]:
     """Components and links of the sets whose postings are given.
 
     posts: (key, node, n, pos), one row for each node and key; n is the set's size and
     pos the key's place in it under an order that all sets share, rare keys first. Sets
     whose first shared key stands at places i and j have at most min(n-i, n-j) keys in
     common, and the smaller of two similar sets shares one of its first n - ceil(2t/(1+t)n)
-    + 1 keys. Without such an order, n is 1 and pos 0. load_sets takes the nodes (node)
-    that are needed and returns (node, keys).
+    + 1 keys. Without such an order, n is 1 and pos 0. load_sets takes the
+    nodes (node) that are needed and returns (node, keys); finder is search or count.
 
     Returns (node, component) for linked nodes and the links found (a, b, both): all
     that connect different components, not each pair within one.
     """
-    lists = posts.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.min(F.struct("pos", "node")).alias("head")).where("low < high").select("key", F.col("head.node").alias("first"))
+    lists = posts.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("key")
     shared = scratch(posts.join(lists, "key"), "shared")
     sets = scratch(load_sets(shared.select("node").distinct()), "sets")
-    votes = shared.where("node <> first").groupBy("node", "first").agg(F.count("*").alias("votes"))
+    heads = shared.groupBy("key").agg(F.min(F.struct("pos", "node", "n")).alias("head"))
+    most = lambda n, pos: F.floor((num + den) * (n - pos) / F.lit(num)) - n
+    first = shared.join(heads, "key").where("node <> head.node").select("node", F.col("head.node").alias("first"), "n", F.col("head.n").alias("m"), most(F.col("n"), F.col("pos")).alias("to"), most(F.col("head.n"), F.col("head.pos")).alias("m_to"))
+    viable = (F.col("m") <= F.col("to")) & (F.col("n") <= F.col("m_to")) & (den * F.least("n", "m") >= num * F.greatest("n", "m"))
+    votes = first.groupBy("node", "first").agg(F.count("*").alias("votes"), F.max(viable).alias("viable")).where("viable").drop("viable")
     best = votes.groupBy("node").agg(F.slice(F.sort_array(F.collect_list(F.struct("votes", "first")), asc=False), 1, 3).alias("best"))
     stars = best.select(F.explode("best.first").alias("a"), F.col("node").alias("b"))
-    near = scratch(verify(stars, sets, num, den), "near")
+    near = scratch(verify(stars, sets, num, den, decode, finder), "near")
 
     home = shared.join(components(near), "node", "left").withColumn("component", F.coalesce("component", "node"))
     home = scratch(home.select("key", "node", "n", "pos", "component"), "home")
@@ -168,6 +214,6 @@ def link(posts: DataFrame, load_sets: Callable[[DataFrame], DataFrame], num: int
     ordered = (F.col("x.n") < F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.node") < F.col("y.node")))
     near_enough = (F.col("x.n") <= F.col("y.most")) & (F.col("y.n") <= F.col("x.most")) & (den * F.col("x.n") >= num * F.col("y.n"))
     pairs = meet.join(small, ["key", "band", "cx"]).join(large, ["key", "band", "cy"]).where(ordered & near_enough).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-    far = verify(pairs, sets, num, den)
+    far = verify(pairs, sets, num, den, decode, finder)
     links = scratch(near.unionByName(far), "links")
     return components(links), links
