@@ -54,8 +54,24 @@ def shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return mix(h[np.cumsum(inside[: len(h)]).astype(bool)]), count
 
 
+def shingle_sets(lines: list[str]) -> list[np.ndarray]:
+    """The sorted distinct shingle hashes of non-empty lines."""
+    if not lines:
+        return []
+    h, count = shingle_hashes(lines)
+    out = []
+    for s in np.split(h, np.cumsum(count)[:-1]):
+        s.sort()
+        out.append(s[np.concatenate([[True], s[1:] != s[:-1]])])
+    return out
+
+
 def shingle_set(line: str) -> np.ndarray:
-    return np.unique(shingle_hashes([line])[0])
+    return shingle_sets([line])[0]
+
+
+def _decode(blobs: list[bytes]) -> list[np.ndarray]:
+    return shingle_sets([blob.decode("utf-8", "surrogatepass") for blob in blobs])
 
 
 def _binned(h: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -185,7 +201,7 @@ def line_components(docs: DataFrame, num: int = 80, den: int = 100, id_col: str
         # a repeated id may hold the line twice
         return docs.mapInArrow(sets, "doc_id long, line int, node long, keys binary").join(places, ["doc_id", "line", "node"], "left_semi").dropDuplicates(["node"]).select("node", "keys")
 
-    found, _ = link(posts, load_sets, num, den, lambda blob: shingle_set(blob.decode("utf-8", "surrogatepass")), count)
+    found, _ = link(posts, load_sets, num, den, _decode, count, by_bitmap=True)
     placed = scratch(firsts.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "first"), "placed")
     owner = placed.groupBy("component").agg(F.min("first").alias("keep"))
     whole = placed.join(owner, "component").select("node", F.col("keep.doc_id").alias("keep_doc"), F.col("keep.line").alias("keep_line"))

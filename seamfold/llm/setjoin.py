@@ -29,6 +29,10 @@ BLOCK = 32
 LONG = 24
 #: Sizes are banded by powers of this where sets meet.
 STEP = 1.02
+#: Longs of a bitmap.
+WORDS = 32
+#: Bytes of sets that are decoded at a time.
+SLICE = 1 << 18
 #: DivideSkip's cost factor of a heap step against a binary probe.
 MU = 0.01
 
@@ -103,11 +107,47 @@ def count(query: np.ndarray, others: list[np.ndarray], num: int, den: int) -> di
     return {int(j): int(both[j]) for j in np.flatnonzero(den * both >= num * (n + sizes - both))}
 
 
-def as_keys(blob: bytes) -> np.ndarray:
-    return np.frombuffer(blob, np.uint64)
+def as_keys(blobs: list[bytes]) -> list[np.ndarray]:
+    return [np.frombuffer(blob, np.uint64) for blob in blobs]
 
 
-def _searcher(num: int, den: int, decode: Callable[[bytes], np.ndarray], finder: Callable):
+def slices(blobs: list[bytes]) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of blobs that take SLICE bytes together, or one blob that takes more."""
+    a = size = 0
+    for i, blob in enumerate(blobs):
+        if i > a and size + len(blob) > SLICE:
+            yield a, i
+            a, size = i, 0
+        size += len(blob)
+    if a < len(blobs):
+        yield a, len(blobs)
+
+
+def bitmap(keys: np.ndarray) -> np.ndarray:
+    """WORDS longs with the bit of every key set."""
+    at = (keys % np.uint64(64 * WORDS)).astype(np.int64)
+    bits = np.zeros(64 * WORDS, np.uint8)
+    bits[at] = 1
+    return np.packbits(bits, bitorder="little").view(np.int64)
+
+
+def bitmaps(sets: DataFrame, decode: Callable[[list[bytes]], list[np.ndarray]]) -> DataFrame:
+    """(node, n, bits) of (node, keys): the size of each set and its bitmap."""
+
+    def run(batches):
+        for batch in batches:
+            blobs, n, bits = batch.column(1).to_pylist(), [], []
+            for a, b in slices(blobs):
+                for keys in decode(blobs[a:b]):
+                    n.append(len(keys))
+                    bits.append(bitmap(keys))
+            flat = np.concatenate(bits) if bits else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * WORDS), pa.array(flat))], names=["node", "n", "bits"])
+
+    return sets.select("node", "keys").mapInArrow(run, "node long, n long, bits array<long>")
+
+
+def _searcher(num: int, den: int, decode: Callable[[list[bytes]], list[np.ndarray]], finder: Callable):
     names = ["a", "b", "both"]
 
     def run(batches: Iterator[pa.RecordBatch]):
@@ -119,30 +159,30 @@ def _searcher(num: int, den: int, decode: Callable[[bytes], np.ndarray], finder:
 
         for batch in batches:
             x, s, role, node, blob = (batch.column(i).to_pylist() for i in range(5))
-            for i in range(batch.num_rows):
-                if (x[i], s[i]) != group:
-                    if ids:
-                        yield flush()
-                    group, query, ids, sets = (x[i], s[i]), None, [], []
-                keys = decode(blob[i])
-                if role[i] == 0:
-                    query = keys
-                else:
-                    ids.append(node[i])
-                    sets.append(keys)
-                    if len(ids) >= 2 * BLOCK:
-                        yield flush()
-                        ids, sets = [], []
+            for start, end in slices(blob):
+                for i, keys in enumerate(decode(blob[start:end]), start):
+                    if (x[i], s[i]) != group:
+                        if ids:
+                            yield flush()
+                        group, query, ids, sets = (x[i], s[i]), None, [], []
+                    if role[i] == 0:
+                        query = keys
+                    else:
+                        ids.append(node[i])
+                        sets.append(keys)
+                        if len(ids) >= 2 * BLOCK:
+                            yield flush()
+                            ids, sets = [], []
         if ids:
             yield flush()
 
     return run
 
 
-def verify(pairs: DataFrame, sets: DataFrame, num: int, den: int, decode: Callable[[bytes], np.ndarray] = as_keys, finder: Callable = search) -> DataFrame:
+def verify(pairs: DataFrame, sets: DataFrame, num: int, den: int, decode: Callable[[list[bytes]], list[np.ndarray]] = as_keys, finder: Callable = search) -> DataFrame:
     """The pairs (a, b) whose sets are similar enough, as (a, b, both).
 
-    pairs: distinct. sets: (node, keys), keys being what decode turns into a sorted array.
+    pairs: distinct. sets: (node, keys), keys being what decode turns into sorted arrays.
     Partners of one a are dealt over as many groups as it takes, BLOCK to each.
     """
     load = pairs.groupBy("a").agg(F.count("*").alias("n"))
@@ -175,15 +215,16 @@ def postings(outlines: DataFrame) -> DataFrame:
     return outlines.select("node", "n", F.explode(F.arrays_zip("keys", "places")).alias("k")).select(F.col("k.keys").alias("key"), "node", "n", F.col("k.places").alias("pos"))
 
 
-def link(posts: DataFrame, load_sets: Callable[[DataFrame], DataFrame], num: int, den: int, decode: Callable[[bytes], np.ndarray] = as_keys, finder: Callable = search) -> tuple[DataFrame, DataFrame]:
+def link(posts: DataFrame, load_sets: Callable[[DataFrame], DataFrame], num: int, den: int, decode: Callable[[list[bytes]], list[np.ndarray]] = as_keys, finder: Callable = search, by_bitmap: bool = False) -> tuple[DataFrame, DataFrame]:
     """Components and links of the sets whose postings are given.
 
     posts: (key, node, n, pos), one row for each node and key; n is the set's size and
     pos the key's place in it under an order that all sets share, rare keys first. Sets
     whose first shared key stands at places i and j have at most min(n-i, n-j) keys in
     common, and the smaller of two similar sets shares one of its first n - ceil(2t/(1+t)n)
-    + 1 keys. Without such an order, n is 1 and pos 0. load_sets takes the
-    nodes (node) that are needed and returns (node, keys); finder is search or count.
+    + 1 keys. Without such an order, n is 1 and pos 0, and by_bitmap bounds pairs by
+    bitmaps instead. load_sets takes the nodes (node) that are needed and returns (node,
+    keys); finder is search or count.
 
     Returns (node, component) for linked nodes and the links found (a, b, both): all
     that connect different components, not each pair within one.
@@ -202,10 +243,34 @@ def link(posts: DataFrame, load_sets: Callable[[DataFrame], DataFrame], num: int
 
     home = shared.join(components(near), "node", "left").withColumn("component", F.coalesce("component", "node"))
     home = scratch(home.select("key", "node", "n", "pos", "component"), "home")
-
-    # what is left: pairs across components, the smaller set x against the larger y, within bands of x's size
     mixed = home.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-    left = home.join(mixed, "key").withColumn("most", F.expr(f"{num + den} * (n - pos) div {num} - n"))
+    left = home.join(mixed, "key")
+    pairs = _alike(left, sets, num, den, decode) if by_bitmap else _in_reach(left, num, den)
+    links = scratch(near.unionByName(verify(pairs, sets, num, den, decode, finder)), "links")
+    return components(links), links
+
+
+def _alike(left: DataFrame, sets: DataFrame, num: int, den: int, decode: Callable) -> DataFrame:
+    """Pairs (a, b) across components that share a key and whose bitmaps allow the similarity.
+
+    Each bit that only one of two sets has stands for a key, or more, that only it has,
+    and similar sets have at most (den - num) / (den + num) of their sizes' sum apart.
+    """
+    left = scratch(left.select("key", "node", "component"), "left")
+    marked = left.join(bitmaps(sets.join(left.select("node").distinct(), "node", "left_semi"), decode), "node")
+    x, y = (marked.select("key", F.struct("node", "component", "n", "bits").alias(c)) for c in "xy")
+    apart = sum((F.bit_count(F.col("x.bits")[i].bitwiseXOR(F.col("y.bits")[i])) for i in range(1, WORDS)), F.bit_count(F.col("x.bits")[0].bitwiseXOR(F.col("y.bits")[0])))
+    sizes = den * F.least("x.n", "y.n") >= num * F.greatest("x.n", "y.n")
+    near_enough = (F.col("x.component") < F.col("y.component")) & sizes & ((den + num) * apart <= (den - num) * (F.col("x.n") + F.col("y.n")))
+    return x.join(y, "key").where(near_enough).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+
+
+def _in_reach(left: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) across components that sizes and places of their shared key allow.
+
+    The smaller set x is held against the larger y, within bands of x's size.
+    """
+    left = left.withColumn("most", F.expr(f"{num + den} * (n - pos) div {num} - n"))
     band = lambda size: F.floor(F.log(size.cast("double")) / math.log(STEP)).cast("int")
     lowest, highest = F.expr(f"({num} * n + {den - 1}) div {den}"), F.least("n", "most")
     small = left.where(F.expr(f"pos <= n - (2 * {num} * n + {num + den - 1}) div {num + den}")).select("key", band(F.col("n")).alias("band"), F.col("component").alias("cx"), F.struct("node", "n", "most").alias("x"))
@@ -213,7 +278,4 @@ def link(posts: DataFrame, load_sets: Callable[[DataFrame], DataFrame], num: int
     meet = small.select("key", "band", "cx").distinct().join(large.select("key", "band", "cy").distinct(), ["key", "band"]).where("cx <> cy")
     ordered = (F.col("x.n") < F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.node") < F.col("y.node")))
     near_enough = (F.col("x.n") <= F.col("y.most")) & (F.col("y.n") <= F.col("x.most")) & (den * F.col("x.n") >= num * F.col("y.n"))
-    pairs = meet.join(small, ["key", "band", "cx"]).join(large, ["key", "band", "cy"]).where(ordered & near_enough).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-    far = verify(pairs, sets, num, den, decode, finder)
-    links = scratch(near.unionByName(far), "links")
-    return components(links), links
+    return meet.join(small, ["key", "band", "cx"]).join(large, ["key", "band", "cy"]).where(ordered & near_enough).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()

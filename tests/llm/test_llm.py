@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from seamfold.llm import core, eliasfano, op1_lines, op2_decontaminate, op3_jaccard, op4_chat, op5_quality, op6_media, op7_lm, op8_packing, op9_lengths, op10_substrings, setjoin, tiff
+from seamfold.llm import core, eliasfano, graph, op1_lines, op2_decontaminate, op3_jaccard, op4_chat, op5_quality, op6_media, op7_lm, op8_packing, op9_lengths, op10_substrings, setjoin, tiff
 from seamfold.llm.graph import components
 from seamfold.llm.template import Template, TemplateError
 
@@ -104,6 +104,40 @@ def test_line_components(spark):
     assert set(kept) == {1, 4, 5, None} and kept[1] == rows[0][1]
 
 
+def test_line_components_of_near_copies_match_brute_force(spark):
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 9))) for _ in range(300)]
+    base = [rng.choice(words) for _ in range(60)]
+    lines = []
+    for _ in range(150):
+        own = list(base)
+        for _ in range(rng.randrange(0, 9)):
+            own[rng.randrange(len(own))] = rng.choice(words)
+        lines.append(" ".join(own))
+    rows = [(i, line) for i, line in enumerate(lines)]
+    sets = [set(op1_lines.shingle_set(x).tolist()) for x in lines]
+    uf = graph.UnionFind()
+    for i in range(len(sets)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both):
+                uf.union(i, j)
+    got = {r.doc_id: r.keep_doc for r in op1_lines.line_components(frame(spark, rows)).collect()}
+    assert got == {i: uf.find(i) for i in range(len(lines))}
+    assert 1 < len(set(got.values())) < len(lines)
+
+
+def test_bitmaps_never_hide_similar_sets():
+    rng = np.random.default_rng(3)
+    for n in (1, 5, 40, 400, 5000):
+        a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        b = np.unique(np.concatenate([a[: len(a) * 9 // 10], rng.integers(0, 1 << 63, n // 10, dtype=np.uint64)]))
+        apart = int(np.unpackbits((setjoin.bitmap(a) ^ setjoin.bitmap(b)).view(np.uint8)).sum())
+        assert apart <= len(np.setxor1d(a, b))
+    assert [b - a for a, b in setjoin.slices([b"x" * setjoin.SLICE, b"", b"y", b"z" * setjoin.SLICE])] == [2, 1, 1]
+    assert list(setjoin.slices([])) == []
+
+
 def test_line_signatures_find_similar_lines():
     found = 0
     for _ in range(200):
