@@ -13,10 +13,11 @@ import heapq
 import math
 from bisect import bisect_left
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seamfold.llm.core import scratch
@@ -245,24 +246,50 @@ def link(posts: DataFrame, load_sets: Callable[[DataFrame], DataFrame], num: int
     home = scratch(home.select("key", "node", "n", "pos", "component"), "home")
     mixed = home.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
     left = home.join(mixed, "key")
-    pairs = _alike(left, sets, num, den, decode) if by_bitmap else _in_reach(left, num, den)
-    links = scratch(near.unionByName(verify(pairs, sets, num, den, decode, finder)), "links")
+    if by_bitmap:
+        near, pairs = _alike(left, near, sets, num, den, decode, finder)
+    else:
+        pairs = _in_reach(left, num, den)
+    links = scratch(near.unionByName(verify(scratch(pairs, "pairs"), sets, num, den, decode, finder)), "links")
     return components(links), links
 
 
-def _alike(left: DataFrame, sets: DataFrame, num: int, den: int, decode: Callable) -> DataFrame:
-    """Pairs (a, b) across components that share a key and whose bitmaps allow the similarity.
+_BITS = [f"bits{i}" for i in range(WORDS)]
+
+
+def _apart(x: str, y: str) -> Column:
+    """How many bits only one of two bitmaps has; their longs are columns, which keeps this in generated code."""
+    return reduce(Column.__add__, (F.bit_count(F.col(x + b).bitwiseXOR(F.col(y + b))) for b in _BITS))
+
+
+def _alike(left: DataFrame, near: DataFrame, sets: DataFrame, num: int, den: int, decode: Callable, finder: Callable) -> tuple[DataFrame, DataFrame]:
+    """More links, and the pairs (a, b) across components that share a key and whose bitmaps allow the similarity.
 
     Each bit that only one of two sets has stands for a key, or more, that only it has,
     and similar sets have at most (den - num) / (den + num) of their sizes' sum apart.
+    Before all pairs are listed, every node is held against those three nodes that
+    bitmaps show closest to it, of one drawn from each of its lists.
     """
-    left = scratch(left.select("key", "node", "component"), "left")
-    marked = left.join(bitmaps(sets.join(left.select("node").distinct(), "node", "left_semi"), decode), "node")
-    x, y = (marked.select("key", F.struct("node", "component", "n", "bits").alias(c)) for c in "xy")
-    apart = sum((F.bit_count(F.col("x.bits")[i].bitwiseXOR(F.col("y.bits")[i])) for i in range(1, WORDS)), F.bit_count(F.col("x.bits")[0].bitwiseXOR(F.col("y.bits")[0])))
-    sizes = den * F.least("x.n", "y.n") >= num * F.greatest("x.n", "y.n")
-    near_enough = (F.col("x.component") < F.col("y.component")) & sizes & ((den + num) * apart <= (den - num) * (F.col("x.n") + F.col("y.n")))
-    return x.join(y, "key").where(near_enough).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+    left = left.select("key", "node", "component")
+    marks = bitmaps(sets.join(left.select("node").distinct(), "node", "left_semi"), decode)
+    marks = marks.select("node", "n", *(F.coalesce(F.get("bits", F.lit(i)), F.lit(0)).alias(b) for i, b in enumerate(_BITS)))
+    marked = scratch(left.join(marks, "node"), "marked")
+    under = lambda df, x: df.select("key", *(F.col(c).alias(x + c) for c in ("node", "component", "n", *_BITS)))
+    sizes = den * F.least("x_n", "y_n") >= num * F.greatest("x_n", "y_n")
+    near_enough = sizes & ((den + num) * _apart("x_", "y_") <= (den - num) * (F.col("x_n") + F.col("y_n")))
+
+    drawn = left.groupBy("key").agg(F.min(F.struct(F.xxhash64("key", "node"), "node")).alias("head")).select("key", F.col("head.node").alias("node"))
+    heads = drawn.join(marked, ["key", "node"])
+    met = under(marked, "x_").join(under(heads, "y_"), "key").where((F.col("x_component") != F.col("y_component")) & near_enough)
+    close = met.groupBy(F.col("x_node").alias("node")).agg(F.slice(F.array_sort(F.collect_set(F.struct(_apart("x_", "y_").alias("apart"), F.col("y_node").alias("head")))), 1, 3).alias("best"))
+    stars = scratch(close.select(F.explode("best.head").alias("b"), "node").select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct(), "stars")
+    near = scratch(near.unionByName(verify(stars, sets, num, den, decode, finder)), "nearer")
+
+    known = components(near)
+    marked = marked.drop("component").join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    pairs = under(marked, "x_").join(under(marked, "y_"), "key").where((F.col("x_component") < F.col("y_component")) & near_enough)
+    pairs = pairs.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
+    return near, pairs.join(stars, ["a", "b"], "left_anti")
 
 
 def _in_reach(left: DataFrame, num: int, den: int) -> DataFrame:
