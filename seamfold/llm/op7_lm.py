@@ -1,41 +1,33 @@
-"""LM scoring: a trigram model in an Elias-Fano trie, beside an add-0.1 unigram model.
-
-The corpus is counted without bounds: every token's count is known to both models. The
-trie holds the most frequent words (VOCABULARY at most) and, among them, the most
-frequent pairs and triples (NGRAMS at most each), smoothed by absolute discounting and
-interpolation down to the unigram model, so that each context's probabilities add up to
-one before they are quantised to 256 values. Documents are scored in one pass over the
-memory-mapped trie; tokens beyond the vocabulary get their counts by a join.
+"""LM scoring: a trigram model of the whole corpus, beside an add-0.1 unigram model.
+
+Nothing is capped: every word, pair and triple of the learned rows has its exact count,
+smoothed by absolute discounting and interpolation down to the unigram model. Texts are
+gathered into flushes of FLUSH tokens. Each flush asks the shards, which are dealt by
+context, for the share of a word after its context and for what the context leaves to
+the shorter one; a shard counts all flushes' entries and answers each, and the answers
+meet again in their flush. Shards grow in number with the tokens, so none of this is
+held in one place. A Trie is the compact form of a model that fits into one process.
 """
 
 from __future__ import annotations
 
-import math
-import uuid
-
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark import SparkFiles
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seamfold.llm.core import mix, prepare, scratch, shared_folder, word_hashes
-from seamfold.llm.eliasfano import Successors, dump, load
+from seamfold.llm.core import mix, prepare, scratch, word_hashes
+from seamfold.llm.eliasfano import Successors
 from seamfold.llm.op5_quality import held_out
-from seamfold.llm.repeats import repeated
 
-VOCABULARY, NGRAMS = 1 << 19, 1 << 21
-#: Pairs and triples are counted if they occur so often.
-LEAST = 3
 DISCOUNT = 0.75
 ADD = 0.1
-#: Tokens that a task gathers before it counts them.
-FLUSH = 1 << 21
-#: Texts that are scored together.
-TEXTS = 500
-#: A text's end, as a token's hash, and what stands before its first word, as an id.
-END = np.uint64(0x2545F4914F6CDD1D)
+#: Tokens that a task gathers before it asks for them.
+FLUSH = 1 << 20
+#: Tokens of the corpus for each shard.
+SHARD = 1 << 20
+#: A text's end, and what stands before its first word, as tokens' hashes.
+END, BEGIN = np.uint64(0x2545F4914F6CDD1D), np.uint64(0x9FB21C651E98DF25)
 _SHIFT = np.uint64(20)
 
 
@@ -44,38 +36,6 @@ def tokens(text: str | None) -> np.ndarray:
     return np.append(word_hashes((text or "").encode().lower().split()), END)
 
 
-def _counted(batches, gather):
-    """Rows (key, n) of the keys that gather(batch) yields, counted flush by flush."""
-    held, size = [], 0
-
-    def flush():
-        keys, n = np.unique(np.concatenate(held), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n, pa.int64())], names=["key", "n"])
-
-    for batch in batches:
-        for keys in gather(batch):
-            held.append(keys)
-            size += len(keys)
-            if size >= FLUSH:
-                yield flush()
-                held, size = [], 0
-    if size:
-        yield flush()
-
-
-def _most_frequent(counts: DataFrame, most: int) -> DataFrame:
-    """The rows with the largest n, as many whole classes of n (a 64th of an octave wide) as fit into most."""
-    octave = F.floor(F.log2(F.col("n").cast("double")) * 64).cast("int")
-    classes = counts.groupBy(octave.alias("k")).count().collect()  # at most 64 * 63 rows
-    total, least = 0, 1 << 30
-    for k, n in sorted(((r["k"], r["count"]) for r in classes), reverse=True):
-        total += n
-        if total > most:
-            break
-        least = k
-    return counts.where(octave >= least)
-
-
 class Vocabulary:
     """Ids of hashes: 1.. by ascending hash, 0 for all others. Id len+1 stands for a text's begin."""
 
@@ -197,92 +157,176 @@ def build(vocab: np.ndarray, counts: np.ndarray, n_texts: int, total: int, kinds
     return [vocab, counts.astype(np.int64), log1, back1, book2, code2, bookb, codeb, book3, code3, *Successors.build(v, w, size).arrays(), *Successors.build(at, last, len(v)).arrays()]
 
 
-def _share(spark: SparkSession, data: bytes) -> str:
-    """Put a file into the shared folder and have Spark bring it to every executor; its name."""
-    name = f"trie-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/{name}")
-    out = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path)
-    for at in range(0, len(data), 1 << 22):
-        out.write(data[at : at + (1 << 22)])
-    out.close()
-    spark.sparkContext.addFile(path.toString())
-    return name
+class Flush:
+    """The distinct words, pairs and triples of texts that lie one after the other.
 
+    words: distinct hashes; ids: the tokens as places in them; lengths: tokens of each text.
+    """
 
-def lm_scores(docs: DataFrame, folds: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of docs.
+    def __init__(self, words: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> None:
+        self.hashes = np.append(words, BEGIN)
+        self.starts = np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype(np.int64)
+        self.ids, self.lengths, size = ids.astype(np.int64), lengths, len(self.hashes)
+        before = np.concatenate([[0], self.ids[:-1]])
+        before[self.starts] = size - 1
+        pairs, self.pair = np.unique(before * size + self.ids, return_inverse=True)
+        self.v, self.w = pairs // size, pairs % size
+        first = np.zeros(len(ids), bool)
+        first[self.starts] = True
+        self.later = np.flatnonzero(~first)
+        triples, self.triple = np.unique(self.pair[self.later - 1] * size + self.ids[self.later], return_inverse=True)
+        self.context, self.last = triples // size, triples % size
+
+    def entries(self, level: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the contexts and the words of the distinct words (1), pairs (2) or triples (3)."""
+        h = self.hashes
+        if level == 1:
+            return h[:-1], h[:-1]
+        if level == 2:
+            return h[self.v], h[self.w]
+        return mix(mix(h[self.v]) + h[self.w])[self.context], h[self.last]
+
+    def times(self, level: int, train: np.ndarray) -> np.ndarray:
+        """How often each of them occurs in the texts that are learned from."""
+        learned = np.repeat(train, self.lengths)
+        if level == 3:
+            return np.bincount(self.triple, learned[self.later], len(self.last)).astype(np.uint32)
+        return np.bincount(self.ids if level == 1 else self.pair, learned, len(self.hashes) - 1 if level == 1 else len(self.w)).astype(np.uint32)
+
+    def deal(self, level: int, shards: int) -> tuple[np.ndarray, np.ndarray]:
+        """The order of the entries by shard, and each shard's first place in it."""
+        shard = (mix(self.entries(level)[0]) % np.uint64(shards)).astype(np.int64)
+        return np.argsort(shard, kind="stable"), np.concatenate([[0], np.cumsum(np.bincount(shard, minlength=shards))])
+
+
+def shares(context: np.ndarray, word: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For entries of all flushes: the context's count, the word's discounted share of it, and what is left to the shorter context."""
+    order = np.lexsort((word, context))
+    c, w, n = context[order], word[order], n[order].astype(np.int64)
+    new_c = np.concatenate([[True], c[1:] != c[:-1]])
+    new = new_c | np.concatenate([[True], w[1:] != w[:-1]])
+    at = np.flatnonzero(new)
+    count = np.add.reduceat(n, at)
+    group = np.flatnonzero(new_c[at])
+    total, kinds = np.add.reduceat(count, group), np.add.reduceat((count > 0).astype(np.int64), group)
+    of = np.cumsum(new_c[at]) - 1
+    share = np.where(count > 0, (count - DISCOUNT) / np.maximum(total, 1)[of], 0)
+    left = np.where(total > 0, DISCOUNT * kinds / np.maximum(total, 1), 1.0)
+    back, entry = np.empty(len(order), np.int64), np.cumsum(new) - 1
+    back[order] = entry
+    return total[of][back], share[back], left[of][back]
+
+
+_U8, _ASKED = np.uint64, "flush long, level int, shard int, context binary, word binary, n binary"
+
+
+def _ask(levels: tuple[int, ...], shards: int):
+    def run(batches):
+        for batch in batches:
+            for flush, words, ids, lengths, train in zip(*(batch.column(k).to_pylist() for k in ("flush", "words", "ids", "lengths", "train")), strict=True):
+                f = Flush(np.frombuffer(words, _U8), np.frombuffer(ids, np.int32), np.array(lengths, np.int64))
+                for level in levels:
+                    context, word = f.entries(level)
+                    n = f.times(level, np.array(train, bool))
+                    order, cuts = f.deal(level, shards)
+                    context, word, n = context[order], word[order], n[order]
+                    full = np.flatnonzero(np.diff(cuts))
+                    part = lambda x: pa.array([x[cuts[k] : cuts[k + 1]].tobytes() for k in full], pa.binary())  # noqa: B023, E731
+                    yield pa.RecordBatch.from_arrays([pa.array([flush] * len(full), pa.int64()), pa.array([level] * len(full), pa.int32()), pa.array(full.astype(np.int32)), part(context), part(word) if level > 1 else pa.array([b""] * len(full), pa.binary()), part(n)], names=["flush", "level", "shard", "context", "word", "n"])
+
+    return run
 
-    Learns from the rows whose id's crc32 is not divisible by folds; rows with a null id
-    are neither held out nor learned from. Tokens are words and each text's end; null
-    and empty texts have their end only. Words are told apart by a 64-bit hash. Without
-    any training token both models give every token the same probability. Other
-    columns are ignored; no rows give no rows.
-    """
-    spark = prepare(docs.sparkSession)
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    train = docs.where(~held_out("doc_id", folds)).select("text")
 
-    def words(batch):
-        for text in batch.column(0).to_pylist():
-            yield tokens(text)
+_ANSWERED = pa.schema([("flush", pa.int64()), ("level", pa.int32()), ("shard", pa.int32()), ("known", pa.int64()), ("first", pa.binary()), ("second", pa.binary())])
 
-    counts = scratch(train.mapInArrow(lambda b: _counted(b, words), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "tokens")
-    whole = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.count("*").alias("kinds"), F.coalesce(F.max(F.when(F.col("key") == int(END.view(np.int64)), F.col("n"))), F.lit(0)).alias("texts")).first()
-    total, kinds = int(whole["total"]), int(whole["kinds"])
-    best = _most_frequent(counts, VOCABULARY).toArrow()  # at most VOCABULARY rows
-    hashes, seen = best["key"].to_numpy().view(np.uint64), best["n"].to_numpy()
-    order = np.argsort(hashes)
-    hashes, seen = hashes[order], seen[order]
-    vocab = spark.sparkContext.broadcast(Vocabulary(hashes))
 
-    def gram_keys(batch):
-        for text in batch.column(0).to_pylist():
-            for keys in vocab.value.grams(tokens(text)):
-                yield mix(keys)
+def _answer(table: pa.Table) -> pa.Table:
+    """Each flush's entries of a shard: counts of words, or shares and rests; known: the words with a count, once a shard."""
+    level, joined = table["level"][0].as_py(), lambda k, t: np.frombuffer(b"".join(x.as_py() for x in table[k]), t)
+    context, n = joined("context", _U8), joined("n", np.uint32)
+    total, share, left = shares(context, context if level == 1 else joined("word", _U8), n)
+    cuts = np.concatenate([[0], np.cumsum([len(x.as_py()) // 8 for x in table["context"]])]).tolist()
+    known = [0] * table.num_rows
+    if level == 1:
+        known[0] = len(np.unique(context[total > 0]))
+    first, second = (total, left[:0]) if level == 1 else (share, left)
+    part = lambda x: pa.array([x[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary())
+    return pa.Table.from_arrays([table["flush"], table["level"], table["shard"], pa.array(known, pa.int64()), part(first), part(second)], schema=_ANSWERED)
 
-    often = spark.sparkContext.broadcast(repeated(train, gram_keys, (LEAST,))[0])
 
-    def grams(batch):
-        for text in batch.column(0).to_pylist():
-            for keys in vocab.value.grams(tokens(text)):
-                yield keys[often.value.contains(mix(keys))]
+def lm_scores(docs: DataFrame, folds: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of docs.
 
-    found = scratch(train.mapInArrow(lambda b: _counted(b, grams), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where(f"n >= {LEAST}"), "grams")
+    Learns from the rows whose id's crc32 is not divisible by folds; rows with a null id
+    are neither held out nor learned from. Tokens are words and each text's end; null
+    and empty texts have their end only. Words and contexts are told apart by a 64-bit
+    hash. Without any training token both models give every token the same probability.
+    Other columns are ignored; no rows give no rows.
+    """
+    spark = prepare(docs.sparkSession)
+    out = F.coalesce(held_out("doc_id", folds), F.col("doc_id").isNull())
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).select("doc_id", "text", (~out).alias("train"), F.spark_partition_id().alias("part"))
 
-    def level(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        t = _most_frequent(rows, NGRAMS).toArrow()  # at most NGRAMS rows
-        keys, n = t["key"].to_numpy().view(np.uint64), t["n"].to_numpy()
-        o = np.argsort(keys)
-        return keys[o], n[o].astype(float)
+    def gather(batches):
+        held, ids, train, size, at = [], [], [], 0, 0
 
-    name = _share(spark, dump(build(hashes, seen, int(whole["texts"]), total, kinds, level(found.where("key >= 0")), level(found.where("key < 0")))))
+        def flush():
+            words, place = np.unique(np.concatenate(held), return_inverse=True)
+            row = {"flush": [part << 32 | at], "doc_ids": [ids], "train": [train], "lengths": [[len(h) for h in held]], "words": [words.tobytes()], "ids": [place.astype(np.int32).tobytes()], "n": [size], "n_train": [sum(len(h) for h, t in zip(held, train, strict=True) if t)]}
+            return pa.RecordBatch.from_pydict(row, schema=pa.schema([("flush", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("train", pa.list_(pa.bool_())), ("lengths", pa.list_(pa.int64())), ("words", pa.binary()), ("ids", pa.binary()), ("n", pa.int64()), ("n_train", pa.int64())]))
 
-    def run(batches):
-        trie = Trie(load(SparkFiles.get(name)))
-        names = ["doc_id", "sig", "n_tokens", "n_known", "base", "model", "rare", "times"]
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a in range(0, len(texts), TEXTS):
-                part = texts[a : a + TEXTS]
-                each = [tokens(t) for t in part]
-                ends = np.cumsum([len(t) for t in each])
-                h = np.concatenate(each)
-                ids, base, model = trie.score(h, ends)
-                starts = np.concatenate([[0], ends[:-1]])
-                rare, times = [], []
-                for s, e in zip(starts.tolist(), ends.tolist(), strict=True):
-                    u, n = np.unique(h[s:e][ids[s:e] == 0], return_counts=True)
-                    rare.append(u.view(np.int64))
-                    times.append(n)
-                sig = [xxhash.xxh3_64_intdigest(t or "") for t in part]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, len(part)), pa.array(np.array(sig, np.uint64).view(np.int64)), pa.array(ends - starts, pa.int64()), pa.array(np.add.reduceat((ids > 0).astype(np.int64), starts)), pa.array(np.add.reduceat(base, starts)), pa.array(np.add.reduceat(model, starts)), pa.array(rare, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int64()))], names=names)
-
-    scored = scratch(docs.mapInArrow(run, "doc_id long, sig long, n_tokens long, n_known long, base double, model double, rare array<long>, times array<long>"), "scored")
-    bottom = math.log10(total + ADD * (kinds + 1))
-    rare = scored.where("size(rare) > 0").dropDuplicates(["doc_id", "sig"]).select("doc_id", "sig", F.explode(F.arrays_zip("rare", "times")).alias("r")).select("doc_id", "sig", F.col("r.rare").alias("key"), F.col("r.times").alias("times"))
-    n = F.coalesce("n", F.lit(0))
-    sums = rare.join(counts, "key", "left").groupBy("doc_id", "sig").agg(F.sum(F.col("times") * (F.log10(n + F.lit(ADD)) - F.lit(bottom))).alias("more"), F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("more_known"))
-    same = scored.drop("rare", "times").alias("d").join(sums.alias("s"), F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("d.sig") == F.col("s.sig")), "left")
-    zero = lambda c: F.coalesce(c, F.lit(0))
-    return same.select("d.doc_id", F.coalesce(held_out(F.col("d.doc_id").cast("string"), folds), F.lit(False)).alias("held_out"), "n_tokens", (F.col("n_known") + zero("more_known")).cast("long").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), (F.col("base") + zero("more")).alias("base_score"), (F.col("model") + zero("more")).alias("score"))
+            for doc, text, learn, part in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                held.append(tokens(text))
+                ids.append(doc)
+                train.append(learn)
+                size += len(held[-1])
+                if size >= FLUSH:
+                    yield flush()
+                    held, ids, train, size, at = [], [], [], 0, at + 1
+        if size:
+            yield flush()
+
+    flushes = scratch(docs.mapInArrow(gather, "flush long, doc_ids array<long>, train array<boolean>, lengths array<long>, words binary, ids binary, n long, n_train long"), "flushes")
+    whole = flushes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("n_train"), F.lit(0)).alias("total")).first()
+    total, shards = int(whole["total"]), max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), int(whole["n"]) // SHARD)
+
+    def answers(*levels: int) -> DataFrame:
+        asked = flushes.select("flush", "words", "ids", "lengths", "train").mapInArrow(_ask(levels, shards), _ASKED)
+        return asked.groupBy("level", "shard").applyInArrow(_answer, "flush long, level int, shard int, known long, first binary, second binary")
+
+    single = scratch(answers(1), "words")
+    known = int(single.agg(F.coalesce(F.sum("known"), F.lit(0))).first()[0])
+    bottom = total + ADD * (known + 1)
+
+    def score(table: pa.Table) -> pa.Table:
+        levels, own = table["level"].to_numpy(), 0
+        own = int(np.flatnonzero(levels == 0)[0])
+        get = lambda k: table[k][own].as_py()
+        doc_ids, lengths = get("doc_ids"), np.array(get("lengths"), np.int64)
+        f = Flush(np.frombuffer(get("words"), _U8), np.frombuffer(get("ids"), np.int32), lengths)
+        shard = table["shard"].to_numpy()
+
+        def answered(level: int, column: str, kind) -> np.ndarray:
+            at = np.flatnonzero(levels == level)
+            at = at[np.argsort(shard[at])]
+            order, _ = f.deal(level, shards)
+            out = np.empty(len(order), kind)
+            out[order] = np.frombuffer(b"".join(table[column][int(i)].as_py() for i in at), kind)
+            return out
+
+        count = answered(1, "first", np.int64)
+        p1 = (count + ADD) / bottom
+        p2 = answered(2, "first", float) + answered(2, "second", float) * p1[f.w]
+        model = p2[f.pair]
+        if len(f.later):
+            p3 = answered(3, "first", float)[f.triple] + answered(3, "second", float)[f.triple] * model[f.later]
+            model[f.later] = p3
+        add = lambda x: pa.array(np.add.reduceat(x, f.starts))
+        return pa.Table.from_arrays([pa.array(doc_ids, pa.int64()), pa.array(lengths), add((count > 0).astype(np.int64)[f.ids]), add(np.log10(p1)[f.ids]), add(np.log10(model))], names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
+
+    rest = answers(2, 3)
+    own = flushes.select("flush", F.lit(0).alias("level"), F.lit(0).alias("shard"), "doc_ids", "lengths", "words", "ids")
+    meet = own.unionByName(single.unionByName(rest).drop("known"), allowMissingColumns=True)
+    scored = meet.groupBy("flush").applyInArrow(score, "doc_id long, n_tokens long, n_known long, base_score double, score double")
+    return scored.select("doc_id", F.coalesce(held_out(F.col("doc_id").cast("string"), folds), F.lit(False)).alias("held_out"), "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")

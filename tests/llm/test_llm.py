@@ -269,6 +269,37 @@ def test_lm_counts_and_normalisation(spark):
     assert all(r.train_tokens == n and (r.doc_id is None or r.held_out == held(r.doc_id)) for r in got)
 
 
+def test_lm_keeps_every_pair_and_triple(spark):
+    rng = random.Random(9)
+    rows = [(i, " ".join(rng.choice("abcdefgh") * rng.choice([1, 1, 2]) for _ in range(rng.randint(0, 12)))) for i in range(80)] + [(80, "never twice said"), (None, "a b c")]
+    texts = [(i, t.split() + ["<end>"]) for i, t in rows]
+    learned = [t for i, t in texts if i is not None and binascii.crc32(str(i).encode()) % 10]
+    c1, c2, c3 = (collections.Counter() for _ in range(3))
+    for t in learned:
+        w = ["<begin>", *t]
+        c1.update(t)
+        c2.update(zip(w, w[1:], strict=False))
+        c3.update(zip(w, w[1:], w[2:], strict=False))
+    bottom = sum(c1.values()) + 0.1 * (len(c1) + 1)
+
+    def mixed(table, context, w, below):
+        n = sum(c for k, c in table.items() if k[:-1] == context)
+        if not n:
+            return below
+        return (max(table[(*context, w)] - 0.75, 0) + 0.75 * sum(k[:-1] == context for k in table) * below) / n
+
+    def score(t):
+        w, s = ["<begin>", *t], 0
+        for k in range(1, len(w)):
+            p = mixed(c2, (w[k - 1],), w[k], (c1[w[k]] + 0.1) / bottom)
+            s += math.log10(mixed(c3, (w[k - 2], w[k - 1]), w[k], p) if k > 1 else p)
+        return s
+
+    got = op7_lm.lm_scores(frame(spark, rows)).collect()
+    assert sorted((str(r.doc_id), round(r.score, 6)) for r in got) == sorted((str(i), round(score(t), 6)) for i, t in texts)
+    assert op7_lm.lm_scores(frame(spark, [])).count() == 0
+
+
 def test_trie_probabilities_add_up():
     vocab = np.sort(np.unique(core.mix(np.arange(1, 40, dtype=np.uint64))))
     rng, size = np.random.default_rng(2), len(vocab)
