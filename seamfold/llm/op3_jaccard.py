@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from seamfold.llm.core import as_long, ngrams, prepare, scratch, word_hashes
 from seamfold.llm.repeats import may_hold, members, repeated
-from seamfold.llm.setjoin import LONG, link, postings, rare_prefix
+from seamfold.llm.setjoin import LONG, degrees, link, postings, rare_prefix
 
 def shingles(text: str | None, words: int) -> np.ndarray:
     """Sorted distinct hashes of the shingles of a text, A-Z lower-cased."""
@@ -28,13 +28,14 @@ def _texts(batch: pa.RecordBatch):
     return batch.column(1).to_pylist()
 
 
-def jaccard_components(docs: DataFrame, words: int = 4, num: int = 85, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def jaccard_components(docs: DataFrame, words: int = 4, num: int = 85, den: int = 100, id_col: str = "doc_id", text_col: str = "text", links: bool = True) -> DataFrame:
     """(doc_id, n_shingles, component_id, n_links) for every row of docs.
 
     Two documents are linked if den * |both| >= num * |either| over their sets of
     distinct shingles of so many words (of fewer words: the whole sequence as one).
-    component_id is the smallest id that links reach; n_links counts the links to
-    other sets that the search went through. Null and empty texts have the empty set
+    component_id is the smallest id that links reach; n_links counts all other sets that
+    the document's set is linked to, equal sets being one; it is left out if links is
+    False. Null and empty texts have the empty set
     and are linked with nothing; a null id stays alone with a null component. Repeated
     ids are one document for the component but keep their rows. Other columns are
     ignored. No rows give no rows.
@@ -81,11 +82,13 @@ def jaccard_components(docs: DataFrame, words: int = 4, num: int = 85, den: int
 
         return docs.mapInArrow(sets, "node long, keys binary").join(nodes, "node", "left_semi").dropDuplicates(["node"])
 
-    found, links = link(posts, load_sets, num, den)
-    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
-    placed = groups.join(found, "node", "left").join(degree, "node", "left").select("digest", F.coalesce("component", "node").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    return outlines.select("doc_id", F.col("n").alias("n_shingles"), "digest").join(placed, "digest", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("digest").isNull() | F.col("doc_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    found, sets = link(posts, load_sets, num, den)
+    placed = groups.join(found, "node", "left").select("node", "digest", F.coalesce("component", "node").alias("component_id"))
+    out = ["doc_id", "n_shingles", F.when(F.col("digest").isNull() | F.col("doc_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")]
+    if links:
+        placed = placed.join(degrees(scratch(found, "found"), sets, num, den), "node", "left")
+        out.append(F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    return outlines.select("doc_id", F.col("n").alias("n_shingles"), "digest").join(placed.drop("node"), "digest", "left").select(*out)
 
 
 def keep_first(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -93,6 +96,6 @@ def keep_first(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -
 
     Rows that share an id stay or go together; null ids, null and empty texts stay.
     """
-    comps = jaccard_components(docs, words, num, den)
+    comps = jaccard_components(docs, words, num, den, links=False)
     later = comps.where("n_shingles > 0 and component_id < doc_id").select("doc_id").distinct()
     return docs.join(later, "doc_id", "left_anti").select(*docs.columns)

@@ -23,7 +23,12 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op3_jaccard.jaccard_components(_table(spark, sf_dir, "documents"), words=4, num=85, den=100).select("doc_id", "n_shingles", "component_id")
+    return op3_jaccard.jaccard_components(_table(spark, sf_dir, "documents"), words=4, num=85, den=100, links=False)
+
+
+def op3_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with every document's number of links, which the SQL does not give."""
+    return op3_jaccard.jaccard_components(_table(spark, sf_dir, "documents"), words=4, num=85, den=100)
 
 
 #: The control strings' own conversation, which the formatting query adds to its table.
@@ -68,7 +73,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_decontamination, op3_jaccard_join, op4_chat_format, op5_quality_classifier, op6_tiff_media, op7_lm_scores, op8_best_fit_packing, op9_token_counts, op10_substring_dedup, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_decontamination, op3_jaccard_join, op3_jaccard_links, op4_chat_format, op5_quality_classifier, op6_tiff_media, op7_lm_scores, op8_best_fit_packing, op9_token_counts, op10_substring_dedup, pipeline)}
 
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 _ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

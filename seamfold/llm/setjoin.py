@@ -4,7 +4,9 @@ Candidates come from postings (key, node): two sets can only be linked if they s
 a key. Groups of near copies would give a square number of pairs, so the search goes
 in two rounds. First every node is held against the nodes that have the key of a list
 earliest, having the fewest keys of their own, which gathers most of each group; then only pairs whose ends are not yet known
-to be connected are tried, all of them. That loses no connection.
+to be connected are tried, all of them. That loses no connection. All links within the
+components, a square number in a group of near copies, are counted by degrees, block
+against block, without a row for each pair.
 """
 
 from __future__ import annotations
@@ -26,6 +28,10 @@ from seamfold.llm.repeats import Filter
 
 #: Sets that are held against one query set at a time.
 BLOCK = 32
+#: Sets, and bytes of sets, in a block of a component whose links are counted.
+MANY, MANY_BYTES = 256, 1 << 22
+#: Distinct keys that two blocks are held against each other by at a time.
+WIDE = 2048
 #: A key in this many sets counts as a long list.
 LONG = 24
 #: Sizes are banded by powers of this where sets meet.
@@ -227,8 +233,8 @@ def link(posts: DataFrame, load_sets: Callable[[DataFrame], DataFrame], num: int
     bitmaps instead. load_sets takes the nodes (node) that are needed and returns (node,
     keys); finder is search or count.
 
-    Returns (node, component) for linked nodes and the links found (a, b, both): all
-    that connect different components, not each pair within one.
+    Returns (node, component) for linked nodes and the sets (node, keys) that were loaded,
+    all linked ones among them.
     """
     lists = posts.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("key")
     shared = scratch(posts.join(lists, "key"), "shared")
@@ -251,7 +257,68 @@ def link(posts: DataFrame, load_sets: Callable[[DataFrame], DataFrame], num: int
     else:
         pairs = _in_reach(left, num, den)
     links = scratch(near.unionByName(verify(scratch(pairs, "pairs"), sets, num, den, decode, finder)), "links")
-    return components(links), links
+    return components(links), sets
+
+
+def both_counts(xs: list[np.ndarray], ys: list[np.ndarray]) -> np.ndarray:
+    """How many keys each of xs has in common with each of ys."""
+    out = np.zeros((len(xs), len(ys)), np.int64)
+    _, key = np.unique(np.concatenate([*xs, *ys]), return_inverse=True)
+    row = np.repeat(np.arange(len(xs) + len(ys)), [len(x) for x in (*xs, *ys)])
+    some = np.bincount(key)[key] > 1
+    _, key = np.unique(key[some], return_inverse=True)
+    order = np.argsort(key, kind="stable")
+    key, row = key[order], row[some][order]
+    for low in range(0, int(key[-1]) + 1 if len(key) else 0, WIDE):
+        a, b = np.searchsorted(key, (low, low + WIDE))
+        held = np.zeros((len(xs) + len(ys), min(WIDE, int(key[-1]) + 1 - low)), np.float32)
+        held[row[a:b], key[a:b] - low] = 1
+        out += np.rint(held[: len(xs)] @ held[len(xs) :].T).astype(np.int64)
+    return out
+
+
+def degrees(found: DataFrame, sets: DataFrame, num: int, den: int, decode: Callable[[list[bytes]], list[np.ndarray]] = as_keys) -> DataFrame:
+    """(node, n_links): with how many other nodes of its component each node of found is similar enough.
+
+    found: (node, component). Every pair of a component is compared, in blocks of about
+    MANY sets or MANY_BYTES; a set is sent once for each block of its component.
+    """
+    held = found.join(sets, "node")
+    size = held.groupBy("component").agg(F.greatest(F.ceil(F.count("*") / F.lit(MANY)), F.ceil(F.sum(F.octet_length("keys")) / F.lit(MANY_BYTES)), F.lit(1)).cast("int").alias("blocks"))
+    dealt = held.join(size, "component").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = dealt.select("component", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "keys").repartition("component", "lo", "hi").sortWithinPartitions("component", "lo", "hi", "block")
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        group, block, nodes, blobs = None, [], [], []
+
+        def flush():
+            keys, second = decode(blobs), np.array(block) == group[2]
+            size = np.array([len(k) for k in keys], np.int64)
+            xs, ys = (np.flatnonzero(~second), np.flatnonzero(second)) if group[1] < group[2] else (np.arange(len(keys)), np.arange(len(keys)))
+            n = np.zeros(len(keys), np.int64)
+            if len(xs) and len(ys):
+                both = both_counts([keys[i] for i in xs], [keys[i] for i in ys])
+                hit = den * both >= num * (size[xs][:, None] + size[ys][None, :] - both)
+                n[xs] += hit.sum(axis=1)
+                if group[1] < group[2]:
+                    n[ys] += hit.sum(axis=0)
+                else:
+                    n -= 1  # a set and itself
+            return pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(n)], names=["node", "n"])
+
+        for batch in batches:
+            for c, lo, hi, own, node, blob in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                if (c, lo, hi) != group:
+                    if nodes:
+                        yield flush()
+                    group, block, nodes, blobs = (c, lo, hi), [], [], []
+                block.append(own)
+                nodes.append(node)
+                blobs.append(blob)
+        if nodes:
+            yield flush()
+
+    return rows.mapInArrow(run, "node long, n long").groupBy("node").agg(F.sum("n").alias("n_links"))
 
 
 _BITS = [f"bits{i}" for i in range(WORDS)]

@@ -73,6 +73,24 @@ def test_jaccard_components_match_brute_force(spark):
         assert r.doc_id is None or r.n_shingles in [len(s) for s in sets[r.doc_id]]
 
 
+def test_jaccard_counts_every_link(spark, monkeypatch):
+    monkeypatch.setattr(setjoin, "MANY", 7)
+    rng = random.Random(11)
+    base, rows = [str(rng.randrange(900)) for _ in range(150)], []
+    for i in range(40):
+        w = base[:]
+        for _ in range(i % 6):
+            w[rng.randrange(len(w))] = str(rng.randrange(900))
+        rows.append((i, " ".join(w)))
+    rows += [(40, rows[1][1]), (41, rows[5][1].upper()), (42, "one two"), (43, None), (None, rows[2][1])]
+    sets = {i: frozenset(zip(*((t or "").lower().split()[k:] for k in range(4)), strict=False)) or frozenset([t] if t else []) for i, t in rows}
+    want = {i: sum(100 * len(s & o) >= 85 * len(s | o) for o in set(sets.values()) - {s} if s and o) for i, s in sets.items()}
+    got = {r.doc_id: r.n_links for r in op3_jaccard.jaccard_components(frame(spark, rows)).collect()}
+    assert got == want and max(want.values()) > 10 and len({x for x in want.values() if x}) > 2
+    xs = [np.array(sorted(rng.sample(range(9000), rng.randint(0, 3000))), np.uint64) for _ in range(8)]
+    assert setjoin.both_counts(xs[:3], xs[3:]).tolist() == [[len(np.intersect1d(x, y)) for y in xs[3:]] for x in xs[:3]]
+
+
 def test_divide_skip_counts():
     for _ in range(200):
         lists = [sorted(RND.sample(range(30), RND.randint(0, 20))) for _ in range(RND.randint(1, 25))]
