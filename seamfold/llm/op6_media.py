@@ -20,6 +20,8 @@ from seamfold.llm.core import prepare
 
 #: Payloads are padded to a positive multiple of this, 24 x 24 samples.
 UNIT, SIDE = 576, 24
+#: Rows whose differences are taken at a time.
+STRIP = 1024
 
 
 def payload(text: str | None) -> tuple[int, bytes]:
@@ -73,6 +75,16 @@ def _row(doc, p: tiff.Page | str) -> dict:
     return {"doc_id": doc, "page": p.number, "width": p.width, "height": p.height, "channels": p.channels, "compression": p.compression, "predictor": p.predictor, "tiled": p.tiled, "samples": p.samples.tobytes()}
 
 
+def _contrast(samples: np.ndarray, axis: int) -> int:
+    """The sum of absolute differences of neighbours, STRIP rows at a time."""
+    total = 0
+    for a in range(0, len(samples), STRIP):
+        # a strip also has the row that it borders on
+        part = samples[a : a + STRIP + 1 - axis].astype(np.int16)
+        total += int(np.abs(np.diff(part, axis=axis)).sum())
+    return total
+
+
 def feature(pages: list[tiff.Page]) -> str:
     """Sizes, mean, deviation, vertical and horizontal contrast and a histogram of the decoded pages."""
     flat = np.concatenate([p.samples.reshape(-1) for p in pages])
@@ -80,8 +92,7 @@ def feature(pages: list[tiff.Page]) -> str:
     value = np.arange(256.0)
     mean = float(count @ value) / len(flat)
     spread = max(0.0, float(count @ value**2) / len(flat) - mean**2) ** 0.5
-    side = sum(int(np.abs(np.diff(p.samples.astype(np.int16), axis=1)).sum()) for p in pages[:2])
-    down = sum(int(np.abs(np.diff(p.samples.astype(np.int16), axis=0)).sum()) for p in pages[:2])
+    side, down = (sum(_contrast(p.samples, axis) for p in pages) for axis in (1, 0))
     return f"pages={len(pages)};sizes={','.join(f'{p.width}x{p.height}' for p in pages)};mean={mean:.4f};std={spread:.4f};dx={side};dy={down};hist={','.join(map(str, count.reshape(16, 16).sum(axis=1).tolist()))}"
 
 

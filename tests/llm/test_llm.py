@@ -262,6 +262,16 @@ def test_media(spark):
     assert [(r.doc_id, r.page, r.error is None) for r in rows] == [(1, 0, True), (2, 0, True), (3, None, False)]
 
 
+def test_feature_covers_all_pages(monkeypatch):
+    monkeypatch.setattr(op6_media, "STRIP", 3)
+    data = bytes(RND.choice(b"abcz") for _ in range(9 * 576))
+    pages = lambda d: list(tiff.walk(op6_media.store(d)))
+    got = dict(x.split("=") for x in op6_media.feature(pages(data)).split(";"))
+    whole = [p.samples.astype(int) for p in pages(data)]
+    assert (int(got["dx"]), int(got["dy"])) == tuple(sum(int(np.abs(np.diff(p, axis=k)).sum()) for p in whole) for k in (1, 0))
+    assert op6_media.feature(pages(data)) != op6_media.feature(pages(data[:1152] + bytes(sorted(data[1152:]))))
+
+
 def test_elias_fano():
     rng = np.random.default_rng(0)
     for n in (0, 1, 7, 5000):
