@@ -3,8 +3,8 @@
 A line's shingles are all runs of SHINGLE characters of its text, lower-cased and with
 white space collapsed. Signatures take ROWS * BANDS minima: long lines use one hash
 whose range is cut into that many bins (empty bins borrow from their right), short
-lines independent hashes, and lines near the limit both, so that similar lines always
-share a scheme. Lines with an equal band meet in setjoin.link, which checks exact
+lines independent hashes, and lines near the limit both; what counts is how many distinct
+shingles a line has, so that similar lines always share a scheme. Lines with an equal band meet in setjoin.link, which checks exact
 Jaccard similarity and gives the components.
 """
 
@@ -23,7 +23,7 @@ from seamfold.llm.setjoin import count, link
 SHINGLE = 8
 #: A pair at similarity 0.8 is missed with probability (1 - 0.8**5)**16 = 0.0017.
 ROWS, BANDS = 5, 16
-#: Fewer shingles than this: independent hashes; at least LONG_FROM: one binned hash.
+#: Fewer distinct shingles than this: independent hashes; at least LONG_FROM: one binned hash.
 SHORT_TO, LONG_FROM = 120, 96
 #: Characters whose shingles are hashed at a time.
 PIECE = 1 << 17
@@ -74,6 +74,17 @@ def _decode(blobs: list[bytes]) -> list[np.ndarray]:
     return shingle_sets([blob.decode("utf-8", "surrogatepass") for blob in blobs])
 
 
+def _distinct(h: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """How many distinct shingles each line has, for lines that have LONG_FROM or more; of others, all are counted."""
+    out = count.copy()
+    at = np.flatnonzero(count >= LONG_FROM)
+    starts = np.cumsum(count) - count
+    for i in at.tolist():
+        s = np.sort(h[starts[i] : starts[i] + count[i]])
+        out[i] = 1 + np.count_nonzero(s[1:] != s[:-1])
+    return out
+
+
 def _binned(h: np.ndarray, count: np.ndarray) -> np.ndarray:
     sig = np.full(len(count) * _K, np.uint64(0xFFFFFFFFFFFFFFFF))
     place = ((h >> np.uint64(32)) * np.uint64(_K)) >> np.uint64(32)
@@ -111,7 +122,8 @@ def band_keys(lines: list[str]) -> list[np.ndarray]:
             b += 1
         h, count = shingle_hashes(lines[a:b])
         keys: list[list] = [[] for _ in range(b - a)]
-        for scheme, pick, sign in ((0, count <= SHORT_TO, _independent), (1, count >= LONG_FROM, _binned)):
+        size = _distinct(h, count)
+        for scheme, pick, sign in ((0, size <= SHORT_TO, _independent), (1, size >= LONG_FROM, _binned)):
             if pick.any():
                 own = np.repeat(pick, count) if not pick.all() else slice(None)
                 for i, k in zip(np.flatnonzero(pick).tolist(), _bands(sign(h[own], count[pick]), scheme), strict=True):

@@ -172,6 +172,15 @@ def test_line_signatures_find_similar_lines():
     assert found > 50
 
 
+def test_repetitive_lines_share_bands():
+    for unit in ("-", "= ", "ab cd ef "):
+        lines = [(unit * 400)[:n].strip() for n in (50, 110, 130, 200, 3000)]
+        keys = [set(k.tolist()) for k in op1_lines.band_keys(lines)]
+        assert all(keys[0] & k for k in keys)
+    long = " ".join(words(80))
+    assert set(op1_lines.band_keys([long])[0].tolist()) & set(op1_lines.band_keys([long + " " + "-" * 900])[0].tolist())
+
+
 def test_overlaps(spark):
     item = words(30)
     near = item[:]
