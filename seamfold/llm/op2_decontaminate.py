@@ -2,7 +2,9 @@
 
 A window of SPAN words is hashed under each mask, which ignores the positions marked 0,
 in the benchmark and in the documents. Where a hash agrees, the two windows are compared
-word by word and count if enough words are equal, whatever the mask ignored.
+word by word and count if enough words are equal, whatever the mask ignored. An item
+that is shorter than a window is one window; its seeds are runs of its words, of which
+it has one more than words may differ, so that one of them is equal.
 """
 
 from __future__ import annotations
@@ -14,9 +16,11 @@ from pyspark.sql import functions as F
 
 from seamfold.llm.core import prepare
 
-#: Eight words decide of thirteen; each mask ignores words that the other looks at.
-MASKS = ("1110100110101", "1011011001011")
+#: Eight words decide of thirteen; whichever two words differ, some mask ignores both.
+MASKS = ("1110100110101", "1011011001011", "1110011101100", "0111110110010", "0111001100111", "1011100011110", "0001111010111", "1100101111001", "0010111011101", "1101010101110")
 SPAN = 13
+#: Masks that one pass over the documents hashes; the code of more is too long to be compiled.
+TOGETHER = 2
 #: Benchmark hashes that are broadcast at a time, about 150 bytes each.
 BLOCK = 200_000
 
@@ -26,42 +30,68 @@ def word_codes(text: Column) -> Column:
     return F.transform(F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), ""), lambda w: F.xxhash64(w))
 
 
-def _seeds(codes: str, at: Column) -> Column:
-    """The hashes of the window that starts at a position, one for each mask."""
-    return F.array(*(F.xxhash64(F.lit(k), *(F.get(codes, at + i) for i, x in enumerate(m) if x == "1")) for k, m in enumerate(MASKS)))
+def _seeds(codes: str, at: Column, first: int) -> Column:
+    """The hashes of the window that starts at a position, one for each of TOGETHER masks."""
+    return F.array(*(F.xxhash64(F.lit(k), *(F.get(codes, at + i) for i, x in enumerate(MASKS[k]) if x == "1")) for k in range(first, min(first + TOGETHER, len(MASKS)))))
+
+
+def runs(n: int, least: float) -> list[tuple[int, int]]:
+    """(place, length) of the runs that an item of n words is cut into, one of which is equal wherever the item is found."""
+    parts = 1 + max(k for k in range(n) if n - k >= least * n)
+    cuts = [n * k // parts for k in range(parts + 1)]
+    return [(a, b - a) for a, b in zip(cuts, cuts[1:], strict=False)]
+
+
+def _run(codes: str, at: Column, length: int) -> Column:
+    """The hash of so many words from a position on."""
+    return F.xxhash64(F.lit(-length), *(F.get(codes, at + i) for i in range(length)))
 
 
 def overlaps(docs: DataFrame, bench: DataFrame, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """(doc_id, item_id, n_hits, first_word, last_word, best) for each document and item that overlap.
 
     They overlap if SPAN consecutive words of each are equal in at least the share least
-    of their places and all those of some mask. n_hits counts agreeing hashes that were
+    of their places and all those of some mask, which holds wherever two words differ at
+    most; an item of fewer words is compared as a whole with as many words. n_hits counts agreeing hashes that were
     verified; first_word and last_word (exclusive) bound the words of the document
     under them, counted from 0; best is the largest share of equal words. Texts of fewer
-    than SPAN words, null and empty texts and null ids overlap with nothing. Equal ids
+    words than are compared, null and empty texts and null ids overlap with nothing. Equal ids
     are reported together. Other columns, also of equal names in both tables, are
     ignored. Empty tables give no rows.
 
     The benchmark is broadcast in blocks of BLOCK hashes, after counting them.
     """
     prepare(docs.sparkSession)
-    items = bench.select(F.col(item_col).cast("long").alias("item_id"), word_codes(F.col(item_text)).alias("item")).where(f"item_id is not null and size(item) >= {SPAN}")
-    items = items.select("item_id", "item", F.explode(F.sequence(F.lit(0), F.size("item") - SPAN)).alias("j"))
-    seeds = items.select("item_id", F.slice("item", F.col("j") + 1, SPAN).alias("window"), F.explode(_seeds("item", F.col("j"))).alias("seed"))
-    blocks = max(1, -(-seeds.count() // BLOCK))
+    items = bench.select(F.col(item_col).cast("long").alias("item_id"), word_codes(F.col(item_text)).alias("item")).where("item_id is not null")
+    whole = items.where(f"size(item) >= {SPAN}").select("item_id", "item", F.explode(F.sequence(F.lit(0), F.size("item") - SPAN)).alias("j"))
+    window = F.slice("item", F.col("j") + 1, SPAN).alias("window")
+    passes = [(whole.select("item_id", window, F.lit(SPAN).alias("n"), F.lit(0).alias("at"), F.explode(_seeds("item", F.col("j"), k)).alias("seed")), F.when(F.col("i") + SPAN <= F.size("codes"), _seeds("codes", F.col("i"), k))) for k in range(0, len(MASKS), TOGETHER)]
+    sizes = [r[0] for r in items.select(F.size("item")).where(f"size(item) between 1 and {SPAN - 1}").distinct().collect()]  # fewer than SPAN rows
+    short = []
+    for n in sizes:
+        cut = F.explode(F.array(*(F.struct(F.lit(at).alias("at"), _run("item", F.lit(at), length).alias("seed")) for at, length in runs(n, least))))
+        short.append(items.where(F.size("item") == n).select("item_id", F.col("item").alias("window"), F.lit(n).alias("n"), cut.alias("cut")).select("item_id", "window", "n", "cut.at", "cut.seed"))
+    if short:
+        lengths = sorted({length for n in sizes for _, length in runs(n, least)})
+        passes.append((reduce(DataFrame.unionByName, short), F.array(*(F.when(F.col("i") + k <= F.size("codes"), _run("codes", F.col("i"), k)) for k in lengths))))
 
     coded = docs.select(F.col(id_col).cast("long").alias("doc_id"), word_codes(F.col(text_col)).alias("codes"))
     # the outer form keeps Spark from deriving a filter that would hash all words twice
     spots = coded.select("doc_id", "codes", F.posexplode_outer("codes").alias("i", "code"))
-    tried = spots.select("doc_id", "codes", "i", F.explode_outer(F.when(F.col("i") + SPAN <= F.size("codes"), _seeds("codes", F.col("i")))).alias("seed"))
-    equal = reduce(lambda a, b: a + b, (F.when(F.get("codes", F.col("i") + k) == F.get("window", F.lit(k)), 1).otherwise(0) for k in range(SPAN)))
-
-    def against(block: DataFrame) -> DataFrame:
-        return tried.join(F.broadcast(block), "seed").select("doc_id", "item_id", "i", equal.alias("equal")).where((F.col("equal") >= least * SPAN) & F.col("doc_id").isNotNull())
-
-    parts = [against(seeds.where(F.pmod(F.xxhash64("item_id", "window"), F.lit(blocks)) == b) if blocks > 1 else seeds) for b in range(blocks)]
+    start = F.col("i") - F.col("at")
+    equal = reduce(lambda a, b: a + b, (F.when(F.get("codes", start + k) == F.get("window", F.lit(k)), 1).otherwise(0) for k in range(SPAN)))
+
+    def against(block: DataFrame, own: Column) -> DataFrame:
+        tried = spots.select("doc_id", "codes", "i", F.explode_outer(own).alias("seed"))
+        met = tried.join(F.broadcast(block), "seed").where((start >= 0) & (start + F.col("n") <= F.size("codes")))
+        return met.select("doc_id", "item_id", start.alias("i"), "n", equal.alias("equal")).where((F.col("equal") >= least * F.col("n")) & F.col("doc_id").isNotNull())
+
+    parts = []
+    for seeds, own in passes:
+        blocks = max(1, -(-seeds.count() // BLOCK))
+        parts += [against(seeds.where(F.pmod(F.xxhash64("item_id", "window"), F.lit(blocks)) == b) if blocks > 1 else seeds, own) for b in range(blocks)]
     hits = reduce(DataFrame.unionByName, parts)
-    return hits.groupBy("doc_id", "item_id").agg(F.count("*").alias("n_hits"), F.min("i").cast("long").alias("first_word"), (F.max("i") + SPAN).cast("long").alias("last_word"), (F.max("equal") / F.lit(float(SPAN))).alias("best"))
+    return hits.groupBy("doc_id", "item_id").agg(F.count("*").alias("n_hits"), F.min("i").cast("long").alias("first_word"), F.max(F.col("i") + F.col("n")).cast("long").alias("last_word"), F.max(F.col("equal") / F.col("n").cast("double")).alias("best"))
 
 
 def decontaminate(docs: DataFrame, bench: DataFrame, least: float = 0.8) -> DataFrame:

@@ -195,6 +195,27 @@ def test_overlaps(spark):
     assert op2_decontaminate.overlaps(frame(spark, []), bench).count() == 0
 
 
+def test_overlaps_are_found_wherever_words_differ(spark):
+    rng = random.Random(17)
+    items = {n: [f"w{n}x{k}" for k in range(n)] for n in (1, 4, 5, 9, 10, 12, 13, 15)}
+    rows, want = [], set()
+    for n, item in items.items():
+        span = min(n, 13)
+        most = max(k for k in range(span) if span - k >= 0.8 * span)
+        for gone in [g for k in range(min(most, 2) + 2) for g in itertools.combinations(range(n), k)]:
+            if rng.random() < 0.3 and n > 13:
+                continue
+            w = [f"other{k}" if k in gone else x for k, x in enumerate(item)]
+            doc = len(rows)
+            rows.append((doc, " ".join(["before"] * (doc % 3) + w + ["after"] * (doc % 2))))
+            if any(sum(k in gone for k in range(a, a + span)) <= most for a in range(n - span + 1)):
+                want.add((doc, n))
+    bench = frame(spark, [(n, " ".join(w)) for n, w in items.items()]).withColumn("item_id", F.col("doc_id"))
+    got = op2_decontaminate.overlaps(frame(spark, rows), bench).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == want and len(want) < len(rows)
+    assert all(r.best >= 0.8 and r.last_word - r.first_word >= min(r.item_id, 13) for r in got)
+
+
 def test_masks_ignore_places():
     assert all(len(m) == op2_decontaminate.SPAN and m.count("1") == 8 for m in op2_decontaminate.MASKS)
 
