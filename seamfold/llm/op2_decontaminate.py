@@ -1,10 +1,12 @@
 """Benchmark decontamination by spaced seeds, with DataFrame functions only.
 
-A window of SPAN words is hashed under each mask, which ignores the positions marked 0,
-in the benchmark and in the documents. Where a hash agrees, the two windows are compared
-word by word and count if enough words are equal, whatever the mask ignored. An item
-that is shorter than a window is one window; its seeds are runs of its words, of which
-it has one more than words may differ, so that one of them is equal.
+A mask laid over consecutive words ignores the positions marked 0. Its hashes are taken
+at every place of the benchmark and of the documents and joined; around each place where
+two agree, the windows of SPAN words that hold it are compared word by word and count if
+enough words are equal. The masks are shorter than a window, so each has several places
+in it, and wherever two words of a window differ, some mask finds a place that ignores
+both. An item that is shorter than a window is one window; its seeds are runs of its
+words, of which it has one more than words may differ, so that one of them is equal.
 """
 
 from __future__ import annotations
@@ -14,15 +16,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seamfold.llm.core import prepare
+from seamfold.llm.core import prepare, scratch
 
-#: Eight words decide of thirteen; whichever two words differ, some mask ignores both.
-MASKS = ("1110100110101", "1011011001011", "1110011101100", "0111110110010", "0111001100111", "1011100011110", "0001111010111", "1100101111001", "0010111011101", "1101010101110")
+#: Together they find any SPAN words of which all but two are equal.
+MASKS = ("11101011", "110100111")
 SPAN = 13
-#: Masks that one pass over the documents hashes; the code of more is too long to be compiled.
-TOGETHER = 2
-#: Benchmark hashes that are broadcast at a time, about 150 bytes each.
-BLOCK = 200_000
+#: Benchmark hashes that are broadcast, about 250 bytes each; more are joined by a shuffle.
+BROADCAST = 400_000
+#: Ids of documents that are broadcast.
+BROADCAST_IDS = 1_000_000
 
 
 def word_codes(text: Column) -> Column:
@@ -30,9 +32,10 @@ def word_codes(text: Column) -> Column:
     return F.transform(F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), ""), lambda w: F.xxhash64(w))
 
 
-def _seeds(codes: str, at: Column, first: int) -> Column:
-    """The hashes of the window that starts at a position, one for each of TOGETHER masks."""
-    return F.array(*(F.xxhash64(F.lit(k), *(F.get(codes, at + i) for i, x in enumerate(MASKS[k]) if x == "1")) for k in range(first, min(first + TOGETHER, len(MASKS)))))
+def _seed(codes: str, at: Column, k: int) -> Column:
+    """The hash under mask k of the words from a position on; null beyond the text's end."""
+    hashed = F.xxhash64(F.lit(k), *(F.get(codes, at + i) for i, x in enumerate(MASKS[k]) if x == "1"))
+    return F.when(at + len(MASKS[k]) <= F.size(codes), hashed)
 
 
 def runs(n: int, least: float) -> list[tuple[int, int]]:
@@ -44,56 +47,75 @@ def runs(n: int, least: float) -> list[tuple[int, int]]:
 
 def _run(codes: str, at: Column, length: int) -> Column:
     """The hash of so many words from a position on."""
-    return F.xxhash64(F.lit(-length), *(F.get(codes, at + i) for i in range(length)))
+    return F.when(at + length <= F.size(codes), F.xxhash64(F.lit(-length), *(F.get(codes, at + i) for i in range(length))))
 
 
-def overlaps(docs: DataFrame, bench: DataFrame, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
+def _agreeing(least: float) -> Column:
+    """The windows (i, j, n, equal) around a hash that agrees, of those that are equal enough.
+
+    Reads codes and item, the places i and j of the hash in them, and n and before: the
+    words of a window, and how far before the hash the first one may start.
+    """
+    places = F.sequence(F.lit(0), F.col("before") + F.col("n") - 1)
+    equal = F.transform(places, lambda k: F.when(F.get("codes", F.col("i") - F.col("before") + k) == F.get("item", F.col("j") - F.col("before") + k), 1).otherwise(0))
+    first = lambda t, at: F.col(at) - F.col("before") + t
+    window = lambda t: F.struct(first(t, "i").alias("i"), first(t, "j").alias("j"), F.aggregate(F.slice(F.col("same"), t + 1, F.col("n")), F.lit(0), lambda a, x: a + x).alias("equal"))
+    whole = lambda w: (w.i >= 0) & (w.j >= 0) & (w.i + F.col("n") <= F.size("codes")) & (w.j + F.col("n") <= F.size("item")) & (w.equal >= least * F.col("n"))
+    return equal, F.filter(F.transform(F.sequence(F.lit(0), F.col("last")), window), whole)
+
+
+def overlaps(docs: DataFrame, bench: DataFrame, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", broadcast: int = BROADCAST) -> DataFrame:
     """(doc_id, item_id, n_hits, first_word, last_word, best) for each document and item that overlap.
 
     They overlap if SPAN consecutive words of each are equal in at least the share least
-    of their places and all those of some mask, which holds wherever two words differ at
-    most; an item of fewer words is compared as a whole with as many words. n_hits counts agreeing hashes that were
-    verified; first_word and last_word (exclusive) bound the words of the document
+    of their places (with the default, in all but two); an item of fewer words is compared
+    as a whole with as many words. For a share that lets more than two words differ, only
+    windows in which a mask agrees are found. n_hits counts the pairs of places, in the document and in the item, whose
+    windows agree; first_word and last_word (exclusive) bound the words of the document
     under them, counted from 0; best is the largest share of equal words. Texts of fewer
     words than are compared, null and empty texts and null ids overlap with nothing. Equal ids
-    are reported together. Other columns, also of equal names in both tables, are
+    are reported together, and repeated rows as one. Other columns, also of equal names in both tables, are
     ignored. Empty tables give no rows.
 
-    The benchmark is broadcast in blocks of BLOCK hashes, after counting them.
+    The benchmark's hashes are broadcast if they are at most so many, which is counted first;
+    more are joined by a shuffle, and documents with a hit are read again.
     """
     prepare(docs.sparkSession)
-    items = bench.select(F.col(item_col).cast("long").alias("item_id"), word_codes(F.col(item_text)).alias("item")).where("item_id is not null")
-    whole = items.where(f"size(item) >= {SPAN}").select("item_id", "item", F.explode(F.sequence(F.lit(0), F.size("item") - SPAN)).alias("j"))
-    window = F.slice("item", F.col("j") + 1, SPAN).alias("window")
-    passes = [(whole.select("item_id", window, F.lit(SPAN).alias("n"), F.lit(0).alias("at"), F.explode(_seeds("item", F.col("j"), k)).alias("seed")), F.when(F.col("i") + SPAN <= F.size("codes"), _seeds("codes", F.col("i"), k))) for k in range(0, len(MASKS), TOGETHER)]
-    sizes = [r[0] for r in items.select(F.size("item")).where(f"size(item) between 1 and {SPAN - 1}").distinct().collect()]  # fewer than SPAN rows
-    short = []
+    items = bench.select(F.col(item_col).cast("long").alias("item_id"), word_codes(F.col(item_text)).alias("item")).where("item_id is not null and size(item) > 0")
+    long = items.where(f"size(item) >= {SPAN}").select("*", F.posexplode("item").alias("j", "word"))
+    masked = lambda k: F.struct(_seed("item", F.col("j"), k).alias("seed"), F.lit(SPAN - len(MASKS[k])).alias("before"))
+    seeds = long.select("item_id", "item", "j", F.lit(SPAN).alias("n"), F.explode(F.array(*map(masked, range(len(MASKS)))).alias("x")).alias("x")).select("item_id", "j", "n", "x.seed", "x.before", F.col("x.before").alias("last"), "item")
+    sizes = [r[0] for r in items.select(F.size("item")).where(f"size(item) < {SPAN}").distinct().collect()]  # fewer than SPAN rows
     for n in sizes:
-        cut = F.explode(F.array(*(F.struct(F.lit(at).alias("at"), _run("item", F.lit(at), length).alias("seed")) for at, length in runs(n, least))))
-        short.append(items.where(F.size("item") == n).select("item_id", F.col("item").alias("window"), F.lit(n).alias("n"), cut.alias("cut")).select("item_id", "window", "n", "cut.at", "cut.seed"))
-    if short:
-        lengths = sorted({length for n in sizes for _, length in runs(n, least)})
-        passes.append((reduce(DataFrame.unionByName, short), F.array(*(F.when(F.col("i") + k <= F.size("codes"), _run("codes", F.col("i"), k)) for k in lengths))))
-
-    coded = docs.select(F.col(id_col).cast("long").alias("doc_id"), word_codes(F.col(text_col)).alias("codes"))
+        cut = F.explode(F.array(*(F.struct(F.lit(at).alias("j"), _run("item", F.lit(at), length).alias("seed"), F.lit(at).alias("before")) for at, length in runs(n, least))))
+        short = items.where(F.size("item") == n).select("item_id", "item", cut.alias("x"))
+        seeds = seeds.unionByName(short.select("item_id", "x.j", F.lit(n).alias("n"), "x.seed", "x.before", F.lit(0).alias("last"), "item"))
+    seeds = seeds.where("seed is not null")
+    lengths = sorted({length for n in sizes for _, length in runs(n, least)})
+
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    coded = docs.select("doc_id", F.xxhash64("text").alias("mark"), word_codes(F.col("text")).alias("codes"))
     # the outer form keeps Spark from deriving a filter that would hash all words twice
-    spots = coded.select("doc_id", "codes", F.posexplode_outer("codes").alias("i", "code"))
-    start = F.col("i") - F.col("at")
-    equal = reduce(lambda a, b: a + b, (F.when(F.get("codes", start + k) == F.get("window", F.lit(k)), 1).otherwise(0) for k in range(SPAN)))
-
-    def against(block: DataFrame, own: Column) -> DataFrame:
-        tried = spots.select("doc_id", "codes", "i", F.explode_outer(own).alias("seed"))
-        met = tried.join(F.broadcast(block), "seed").where((start >= 0) & (start + F.col("n") <= F.size("codes")))
-        return met.select("doc_id", "item_id", start.alias("i"), "n", equal.alias("equal")).where((F.col("equal") >= least * F.col("n")) & F.col("doc_id").isNotNull())
-
-    parts = []
-    for seeds, own in passes:
-        blocks = max(1, -(-seeds.count() // BLOCK))
-        parts += [against(seeds.where(F.pmod(F.xxhash64("item_id", "window"), F.lit(blocks)) == b) if blocks > 1 else seeds, own) for b in range(blocks)]
-    hits = reduce(DataFrame.unionByName, parts)
-    return hits.groupBy("doc_id", "item_id").agg(F.count("*").alias("n_hits"), F.min("i").cast("long").alias("first_word"), F.max(F.col("i") + F.col("n")).cast("long").alias("last_word"), F.max(F.col("equal") / F.col("n").cast("double")).alias("best"))
+    spots = coded.select("doc_id", "mark", "codes", F.posexplode_outer("codes").alias("i", "code"))
+    own = F.array(*(_seed("codes", F.col("i"), k) for k in range(len(MASKS))), *(_run("codes", F.col("i"), k) for k in lengths))
+    tried = spots.select("doc_id", "mark", "codes", "i", F.explode_outer(own).alias("seed"))
+    if seeds.count() <= broadcast:
+        met = tried.join(F.broadcast(seeds), "seed").where("doc_id is not null")
+    else:
+        hits = tried.drop("codes").join(seeds.select("seed", "item_id", "j", "n", "before", "last"), "seed").where("doc_id is not null").drop("seed")
+        again = coded.join(hits.select("doc_id", "mark").distinct(), ["doc_id", "mark"], "left_semi").dropDuplicates(["doc_id", "mark"])
+        met = hits.join(again, ["doc_id", "mark"]).join(items.dropDuplicates(["item_id", "item"]), "item_id")
+    same, windows = _agreeing(least)
+    found = met.select("doc_id", "item_id", "i", "j", "n", "before", "last", "codes", "item", same.alias("same")).select("doc_id", "item_id", "n", F.explode(windows).alias("w"))
+    places = found.groupBy("doc_id", "item_id", "n", "w.i", "w.j").agg(F.max("w.equal").alias("equal"))
+    return places.groupBy("doc_id", "item_id").agg(F.count("*").alias("n_hits"), F.min("i").cast("long").alias("first_word"), F.max(F.col("i") + F.col("n")).cast("long").alias("last_word"), F.max(F.col("equal") / F.col("n").cast("double")).alias("best"))
 
 
 def decontaminate(docs: DataFrame, bench: DataFrame, least: float = 0.8) -> DataFrame:
-    """The rows of docs that overlap with no item; the columns stay. Null ids stay."""
-    return docs.join(overlaps(docs, bench, least).select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    """The rows of docs that overlap with no item; the columns stay. Null ids stay, and null, empty and short texts.
+
+    All rows of an id go if one does. An empty benchmark leaves docs as they are.
+    """
+    gone = scratch(overlaps(docs, bench, least).select("doc_id").distinct(), "gone")
+    gone = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)

@@ -80,26 +80,25 @@ _ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abc
 _CODES = r"list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '')"
 
 
-def _seed(mask: str) -> str:
-    return " || ' ' || ".join(f"w[i + {k}]" for k, x in enumerate(mask) if x == "1")
-
-
-_EQUAL = " + ".join(f"(d.w[d.i + {k}] = b.w[b.i + {k}])::int" for k in range(op2_decontaminate.SPAN))
+_SPAN = op2_decontaminate.SPAN
+_EQUAL = " + ".join(f"(d.w[h.i + {k}] = b.w[h.j + {k}])::int" for k in range(_SPAN))
 _ESCAPED = "regexp_replace(replace({0}, '\\', '\\\\'), '(" + "|".join("".join(f"\\{c}" if not c.isalnum() else c for c in x) for x in op4_chat.CONTROL) + ")', 'x\\0', 'g')"
 _MARKS = len(op4_chat.OPEN) + len(op4_chat.BREAK) + len(op4_chat.CLOSE)
 
 ORACLES = {
+    # windows of 13 words of which 11 are equal have four equal words in a row: the SQL needs no masks
     "op2_decontamination": f"""
-        WITH d0 AS (SELECT doc_id, {_CODES} AS w FROM documents WHERE text IS NOT NULL AND doc_id IS NOT NULL),
-             b0 AS (SELECT item_id, {_CODES} AS w FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL),
-             d1 AS (SELECT doc_id, w, unnest(range(1, len(w) - {op2_decontaminate.SPAN - 2})) AS i FROM d0),
-             b1 AS (SELECT item_id, w, unnest(range(1, len(w) - {op2_decontaminate.SPAN - 2})) AS i FROM b0),
-             d AS ({" UNION ALL ".join(f"SELECT *, {k} AS m, {_seed(m)} AS s FROM d1" for k, m in enumerate(op2_decontaminate.MASKS))}),
-             b AS ({" UNION ALL ".join(f"SELECT *, {k} AS m, {_seed(m)} AS s FROM b1" for k, m in enumerate(op2_decontaminate.MASKS))}),
-             hit AS (SELECT doc_id, item_id, d.i - 1 AS i, {_EQUAL} AS equal FROM d JOIN b ON d.m = b.m AND d.s = b.s)
-        SELECT doc_id, item_id, count(*) AS n_hits, min(i) AS first_word, max(i) + {op2_decontaminate.SPAN} AS last_word,
-               max(equal) / {op2_decontaminate.SPAN}.0::DOUBLE AS best
-        FROM hit WHERE equal >= 0.8 * {op2_decontaminate.SPAN} GROUP BY doc_id, item_id""",
+        WITH d0 AS (SELECT doc_id, {_CODES} AS w, row_number() OVER () AS r FROM documents WHERE text IS NOT NULL AND doc_id IS NOT NULL),
+             b0 AS (SELECT item_id, {_CODES} AS w, row_number() OVER () AS q FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL),
+             d4 AS (SELECT r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] AS g FROM (SELECT r, w, unnest(range(1, len(w) - 2)) AS i FROM d0)),
+             b4 AS (SELECT q, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] AS g FROM (SELECT q, w, unnest(range(1, len(w) - 2)) AS i FROM b0)),
+             h AS (SELECT DISTINCT r, q, i - k AS i, j - k AS j FROM (SELECT r, q, d4.i AS i, b4.i AS j, unnest(range(0, {_SPAN - 3})) AS k FROM d4 JOIN b4 ON d4.g = b4.g)),
+             long AS (SELECT doc_id, item_id, {_SPAN} AS n, h.i, h.j, {_EQUAL} AS equal FROM h JOIN d0 d ON h.r = d.r JOIN b0 b ON h.q = b.q
+                      WHERE h.i >= 1 AND h.j >= 1 AND h.i + {_SPAN - 1} <= len(d.w) AND h.j + {_SPAN - 1} <= len(b.w)),
+             short AS (SELECT doc_id, item_id, len(b.w) AS n, d.i, 1 AS j, len(list_filter(range(0, len(b.w)), lambda k: d.w[d.i + k] = b.w[1 + k])) AS equal
+                       FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d0) d JOIN b0 b ON len(b.w) BETWEEN 1 AND {_SPAN - 1} AND d.i + len(b.w) - 1 <= len(d.w)),
+             hit AS (SELECT doc_id, item_id, n, i, j, max(equal) AS equal FROM (FROM long UNION ALL FROM short) WHERE equal >= 0.8 * n GROUP BY doc_id, item_id, n, i, j)
+        SELECT doc_id, item_id, count(*) AS n_hits, min(i) - 1 AS first_word, max(i + n) - 1 AS last_word, max(equal / n::DOUBLE) AS best FROM hit GROUP BY doc_id, item_id""",
     "op3_jaccard_join": f"""
         WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex({_ASCII_LOWER}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
              s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
