@@ -10,6 +10,7 @@ from pathlib import Path
 
 import numpy as np
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 
 #: Rows per Arrow batch; with the long tail of document sizes this keeps a batch near 10 MB.
@@ -17,6 +18,7 @@ ARROW_ROWS = 2000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _tables: list[tuple[SparkSession, str]] = []
+_sent: list[Broadcast] = []
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -52,16 +54,37 @@ def scratch(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/seamfold-{label}-{uuid.uuid4().hex}"
     schema = df.schema
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     _tables.append((spark, path))
     return spark.read.schema(schema).parquet(path)
 
 
-def release() -> None:
-    """Delete every scratch table made so far; only when what was built on them is written."""
-    while _tables:
-        spark, path = _tables.pop()
-        _delete(spark, path)
+def drop(df: DataFrame) -> None:
+    """Delete the scratch tables that df reads directly; nothing that is still to be computed may need them."""
+    paths = {os.path.dirname(f) for f in df.inputFiles()}
+    for held in [t for t in _tables if any(p.endswith(t[1].split("://")[-1].lstrip("/")) for p in paths)]:
+        _tables.remove(held)
+        _delete(*held)
+
+
+def send(spark: SparkSession, value) -> Broadcast:
+    """A broadcast that release destroys."""
+    out = spark.sparkContext.broadcast(value)
+    _sent.append(out)
+    return out
+
+
+def mark() -> tuple[int, int]:
+    """How many tables and broadcasts there are now; what comes later can be released alone."""
+    return len(_tables), len(_sent)
+
+
+def release(since: tuple[int, int] = (0, 0)) -> None:
+    """Delete every scratch table and broadcast made since; only when what was built on them is written."""
+    while len(_sent) > since[1]:
+        _sent.pop().destroy()
+    while len(_tables) > since[0]:
+        _delete(*_tables.pop())
 
 
 @atexit.register
@@ -70,6 +93,7 @@ def _at_exit() -> None:
         if getattr(spark.sparkContext, "_jsc", None) is None:
             return
     try:
+        _sent.clear()
         release()
     except Exception:  # noqa: BLE001  the JVM may be gone already
         _tables.clear()

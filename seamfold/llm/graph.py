@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seamfold.llm.core import scratch
@@ -56,22 +56,23 @@ def _forest(batches):
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) for every node of an edge, component being its smallest node.
 
-    Each round points all larger neighbours of a node to its smallest one and then
-    all smaller ones too (large star, small star), which takes a number of rounds
-    logarithmic in the diameter. Every step is an aggregation that combines before
-    the shuffle or a plain equi-join, which Spark can split where a node is hot; the
-    driver sees one boolean a round. Null ends and loops are ignored; no edges give
-    no rows.
+    Each round points every node to its smallest neighbour below it, gives its other ones
+    that neighbour to point to, and lets all nodes skip to what their neighbour pointed to;
+    the rounds are logarithmic in the diameter. Steps are windows over what a node points
+    to, which local forests keep short, and plain equi-joins, which Spark can split where a
+    node is hot; the driver sees one boolean a round. Null ends and loops are ignored; no
+    edges give no rows.
     """
     e = edges.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b")).where("a is not null and b is not null and a <> b")
-    e = scratch(e.mapInArrow(_forest, "a long, b long").distinct(), "forest")
+    # written, since each round reads it twice
+    e = scratch(e.mapInArrow(_forest, "a long, b long"), "forest")
     while True:
-        if not e.join(e.select(F.col("a").alias("b")).distinct(), "b", "left_semi").limit(1).count() and not e.groupBy("a").count().where("count > 1").limit(1).count():
+        held = e.distinct().withColumn("m", F.min("b").over(Window.partitionBy("a")))
+        up = held.where("b = m").select("a", "m")
+        skip = up.join(up.select(F.col("a").alias("m"), F.col("m").alias("further")), "m", "left")
+        moved = skip.select("a", F.coalesce("further", "m").alias("b"), F.col("further").isNotNull().alias("moved"))
+        e = scratch(moved.unionByName(held.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"), F.lit(True).alias("moved"))), "stars")
+        if not e.where("moved").limit(1).count():
             break
-        both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").where("b > a and b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        down = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(down, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("x")).select("x.a", "x.b").where("a <> b").distinct()
-        e = scratch(small, "stars")
+        e = e.select("a", "b")
     return e.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(e.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

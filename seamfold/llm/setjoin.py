@@ -15,11 +15,10 @@ import heapq
 import math
 from bisect import bisect_left
 from collections.abc import Callable, Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seamfold.llm.core import scratch
@@ -36,8 +35,6 @@ WIDE = 2048
 LONG = 24
 #: Sizes are banded by powers of this where sets meet.
 STEP = 1.02
-#: Longs of a bitmap.
-WORDS = 32
 #: Bytes of sets that are decoded at a time.
 SLICE = 1 << 18
 #: DivideSkip's cost factor of a heap step against a binary probe.
@@ -130,30 +127,6 @@ def slices(blobs: list[bytes]) -> Iterator[tuple[int, int]]:
         yield a, len(blobs)
 
 
-def bitmap(keys: np.ndarray) -> np.ndarray:
-    """WORDS longs with the bit of every key set."""
-    at = (keys % np.uint64(64 * WORDS)).astype(np.int64)
-    bits = np.zeros(64 * WORDS, np.uint8)
-    bits[at] = 1
-    return np.packbits(bits, bitorder="little").view(np.int64)
-
-
-def bitmaps(sets: DataFrame, decode: Callable[[list[bytes]], list[np.ndarray]]) -> DataFrame:
-    """(node, n, bits) of (node, keys): the size of each set and its bitmap."""
-
-    def run(batches):
-        for batch in batches:
-            blobs, n, bits = batch.column(1).to_pylist(), [], []
-            for a, b in slices(blobs):
-                for keys in decode(blobs[a:b]):
-                    n.append(len(keys))
-                    bits.append(bitmap(keys))
-            flat = np.concatenate(bits) if bits else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * WORDS), pa.array(flat))], names=["node", "n", "bits"])
-
-    return sets.select("node", "keys").mapInArrow(run, "node long, n long, bits array<long>")
-
-
 def _searcher(num: int, den: int, decode: Callable[[list[bytes]], list[np.ndarray]], finder: Callable):
     names = ["a", "b", "both"]
 
@@ -222,15 +195,14 @@ def postings(outlines: DataFrame) -> DataFrame:
     return outlines.select("node", "n", F.explode(F.arrays_zip("keys", "places")).alias("k")).select(F.col("k.keys").alias("key"), "node", "n", F.col("k.places").alias("pos"))
 
 
-def link(posts: DataFrame, load_sets: Callable[[DataFrame], DataFrame], num: int, den: int, decode: Callable[[list[bytes]], list[np.ndarray]] = as_keys, finder: Callable = search, by_bitmap: bool = False) -> tuple[DataFrame, DataFrame]:
+def link(posts: DataFrame, load_sets: Callable[[DataFrame], DataFrame], num: int, den: int, decode: Callable[[list[bytes]], list[np.ndarray]] = as_keys, finder: Callable = search) -> tuple[DataFrame, DataFrame]:
     """Components and links of the sets whose postings are given.
 
     posts: (key, node, n, pos), one row for each node and key; n is the set's size and
     pos the key's place in it under an order that all sets share, rare keys first. Sets
     whose first shared key stands at places i and j have at most min(n-i, n-j) keys in
     common, and the smaller of two similar sets shares one of its first n - ceil(2t/(1+t)n)
-    + 1 keys. Without such an order, n is 1 and pos 0, and by_bitmap bounds pairs by
-    bitmaps instead. load_sets takes the nodes (node) that are needed and returns (node,
+    + 1 keys. load_sets takes the nodes (node) that are needed and returns (node,
     keys); finder is search or count.
 
     Returns (node, component) for linked nodes and the sets (node, keys) that were loaded,
@@ -252,10 +224,7 @@ def link(posts: DataFrame, load_sets: Callable[[DataFrame], DataFrame], num: int
     home = scratch(home.select("key", "node", "n", "pos", "component"), "home")
     mixed = home.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
     left = home.join(mixed, "key")
-    if by_bitmap:
-        near, pairs = _alike(left, near, sets, num, den, decode, finder)
-    else:
-        pairs = _in_reach(left, num, den)
+    pairs = _in_reach(left, num, den)
     links = scratch(near.unionByName(verify(scratch(pairs, "pairs"), sets, num, den, decode, finder)), "links")
     return components(links), sets
 
@@ -277,6 +246,19 @@ def both_counts(xs: list[np.ndarray], ys: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def few_counts(xs: list[np.ndarray], ys: list[np.ndarray]) -> np.ndarray:
+    """The same for a few sets, by binary search."""
+    out = np.zeros((len(xs), len(ys)), np.int64)
+    keys, size = np.concatenate(ys), [len(y) for y in ys]
+    of = np.repeat(np.arange(len(ys)), size)
+    for i, x in enumerate(xs):
+        if len(x):
+            place = np.searchsorted(x, keys)
+            place[place == len(x)] = 0
+            out[i] = np.bincount(of[x[place] == keys], minlength=len(ys))
+    return out
+
+
 def degrees(found: DataFrame, sets: DataFrame, num: int, den: int, decode: Callable[[list[bytes]], list[np.ndarray]] = as_keys) -> DataFrame:
     """(node, n_links): with how many other nodes of its component each node of found is similar enough.
 
@@ -321,44 +303,6 @@ def degrees(found: DataFrame, sets: DataFrame, num: int, den: int, decode: Calla
     return rows.mapInArrow(run, "node long, n long").groupBy("node").agg(F.sum("n").alias("n_links"))
 
 
-_BITS = [f"bits{i}" for i in range(WORDS)]
-
-
-def _apart(x: str, y: str) -> Column:
-    """How many bits only one of two bitmaps has; their longs are columns, which keeps this in generated code."""
-    return reduce(Column.__add__, (F.bit_count(F.col(x + b).bitwiseXOR(F.col(y + b))) for b in _BITS))
-
-
-def _alike(left: DataFrame, near: DataFrame, sets: DataFrame, num: int, den: int, decode: Callable, finder: Callable) -> tuple[DataFrame, DataFrame]:
-    """More links, and the pairs (a, b) across components that share a key and whose bitmaps allow the similarity.
-
-    Each bit that only one of two sets has stands for a key, or more, that only it has,
-    and similar sets have at most (den - num) / (den + num) of their sizes' sum apart.
-    Before all pairs are listed, every node is held against those three nodes that
-    bitmaps show closest to it, of one drawn from each of its lists.
-    """
-    left = left.select("key", "node", "component")
-    marks = bitmaps(sets.join(left.select("node").distinct(), "node", "left_semi"), decode)
-    marks = marks.select("node", "n", *(F.coalesce(F.get("bits", F.lit(i)), F.lit(0)).alias(b) for i, b in enumerate(_BITS)))
-    marked = scratch(left.join(marks, "node"), "marked")
-    under = lambda df, x: df.select("key", *(F.col(c).alias(x + c) for c in ("node", "component", "n", *_BITS)))
-    sizes = den * F.least("x_n", "y_n") >= num * F.greatest("x_n", "y_n")
-    near_enough = sizes & ((den + num) * _apart("x_", "y_") <= (den - num) * (F.col("x_n") + F.col("y_n")))
-
-    drawn = left.groupBy("key").agg(F.min(F.struct(F.xxhash64("key", "node"), "node")).alias("head")).select("key", F.col("head.node").alias("node"))
-    heads = drawn.join(marked, ["key", "node"])
-    met = under(marked, "x_").join(under(heads, "y_"), "key").where((F.col("x_component") != F.col("y_component")) & near_enough)
-    close = met.groupBy(F.col("x_node").alias("node")).agg(F.slice(F.array_sort(F.collect_set(F.struct(_apart("x_", "y_").alias("apart"), F.col("y_node").alias("head")))), 1, 3).alias("best"))
-    stars = scratch(close.select(F.explode("best.head").alias("b"), "node").select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct(), "stars")
-    near = scratch(near.unionByName(verify(stars, sets, num, den, decode, finder)), "nearer")
-
-    known = components(near)
-    marked = marked.drop("component").join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    pairs = under(marked, "x_").join(under(marked, "y_"), "key").where((F.col("x_component") < F.col("y_component")) & near_enough)
-    pairs = pairs.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
-    return near, pairs.join(stars, ["a", "b"], "left_anti")
-
-
 def _in_reach(left: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs (a, b) across components that sizes and places of their shared key allow.
 

@@ -88,7 +88,7 @@ def test_jaccard_counts_every_link(spark, monkeypatch):
     got = {r.doc_id: r.n_links for r in op3_jaccard.jaccard_components(frame(spark, rows)).collect()}
     assert got == want and max(want.values()) > 10 and len({x for x in want.values() if x}) > 2
     xs = [np.array(sorted(rng.sample(range(9000), rng.randint(0, 3000))), np.uint64) for _ in range(8)]
-    assert setjoin.both_counts(xs[:3], xs[3:]).tolist() == [[len(np.intersect1d(x, y)) for y in xs[3:]] for x in xs[:3]]
+    assert setjoin.both_counts(xs[:3], xs[3:]).tolist() == setjoin.few_counts(xs[:3], xs[3:]).tolist() == [[len(np.intersect1d(x, y)) for y in xs[3:]] for x in xs[:3]]
 
 
 def test_divide_skip_counts():
@@ -145,13 +145,37 @@ def test_line_components_of_near_copies_match_brute_force(spark):
     assert 1 < len(set(got.values())) < len(lines)
 
 
-def test_bitmaps_never_hide_similar_sets():
-    rng = np.random.default_rng(3)
-    for n in (1, 5, 40, 400, 5000):
-        a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
-        b = np.unique(np.concatenate([a[: len(a) * 9 // 10], rng.integers(0, 1 << 63, n // 10, dtype=np.uint64)]))
-        apart = int(np.unpackbits((setjoin.bitmap(a) ^ setjoin.bitmap(b)).view(np.uint8)).sum())
-        assert apart <= len(np.setxor1d(a, b))
+def test_lines_of_repeated_ids(spark):
+    a, b, c = (" ".join(words(20)) for _ in range(3))
+    rows = [(1, b), (3, a), (3, b), (3, a), (4, c + "\n" + a), (5, None), (5, b + " tail")]
+    docs = frame(spark, rows).withColumnsRenamed({"lang": "gone", "source": "kept"})
+    kept = op1_lines.drop_lines(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id, r.text or "", r.n_chars or 0) for r in kept.collect()) == sorted((i, t or "", len(t or "")) for i, t in [(1, b), (3, a), (3, a), (4, c), (5, None)])
+    assert op1_lines.line_components(frame(spark, [])).count() == 0 and op1_lines.drop_lines(frame(spark, [])).count() == 0
+
+
+def test_large_buckets_are_searched_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(op1_lines, "MANY", 5)
+    monkeypatch.setattr(op1_lines, "HEADS", 1)
+    rng = random.Random(7)
+    lines = [[rng.choice(VOCABULARY) for _ in range(40)]]
+    for _ in range(80):
+        own = list(rng.choice(lines))
+        for _ in range(rng.randrange(1, 6)):
+            own[rng.randrange(len(own))] = rng.choice(VOCABULARY)
+        lines.append(own)
+    lines = [" ".join(x) for x in lines]
+    sets, uf = [set(op1_lines.shingle_set(x).tolist()) for x in lines], graph.UnionFind()
+    for i, j in itertools.combinations(range(len(sets)), 2):
+        both = len(sets[i] & sets[j])
+        if 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both):
+            uf.union(i, j)
+    got = {r.doc_id: r.keep_doc for r in op1_lines.line_components(frame(spark, list(enumerate(lines)))).collect()}
+    assert got == {i: uf.find(i) for i in range(len(lines))} and 1 < len(set(got.values())) < len(lines)
+
+
+def test_slices():
     assert [b - a for a, b in setjoin.slices([b"x" * setjoin.SLICE, b"", b"y", b"z" * setjoin.SLICE])] == [2, 1, 1]
     assert list(setjoin.slices([])) == []
 
@@ -216,8 +240,35 @@ def test_overlaps_are_found_wherever_words_differ(spark):
     assert all(r.best >= 0.8 and r.last_word - r.first_word >= min(r.item_id, 13) for r in got)
 
 
-def test_masks_ignore_places():
-    assert all(len(m) == op2_decontaminate.SPAN and m.count("1") == 8 for m in op2_decontaminate.MASKS)
+def test_masks_find_windows_wherever_two_words_differ():
+    masks, span = op2_decontaminate.MASKS, op2_decontaminate.SPAN
+    assert all("0" in m and m[0] == m[-1] == "1" and len(m) < span for m in masks)
+    for gone in itertools.combinations(range(span), 2):
+        assert any(all(m[p - at] == "0" for p in gone if 0 <= p - at < len(m)) for m in masks for at in range(span - len(m) + 1))
+
+
+def test_overlaps_by_shuffle_are_the_same(spark):
+    rng = random.Random(23)
+    items = [[rng.choice("abcdefghijklmnopqrst") for _ in range(n)] for n in (13, 20, 40, 6, 1)]
+    rows = []
+    for k in range(60):
+        w = items[k % 5][:]
+        for _ in range(k % 4):
+            w[rng.randrange(len(w))] = "zz"
+        rows.append((k % 50, " ".join([rng.choice("uvwxy") for _ in range(k % 3)] + w + ["end"])))
+    bench = frame(spark, [(n, " ".join(w)) for n, w in enumerate(items)] + [(2, "other text of an item whose id comes twice")]).withColumn("item_id", F.col("doc_id"))
+    docs = frame(spark, [*rows, (None, rows[0][1]), (7, None)])
+    want = {}
+    for (i, t), (n, w) in itertools.product(rows, enumerate(items)):
+        d, span = t.split(), min(13, len(w))
+        for a, b in itertools.product(range(len(d) - span + 1), range(len(w) - span + 1)):
+            if (equal := sum(x == y for x, y in zip(d[a : a + span], w[b : b + span], strict=True))) >= 0.8 * span:
+                want.setdefault((i, n), {})[a, b] = max(equal / span, want.get((i, n), {}).get((a, b), 0))
+    want = {k: (len(v), min(a for a, _ in v), max(v.values())) for k, v in want.items()}
+    for most in (10**6, 0):
+        got = op2_decontaminate.overlaps(docs, bench, broadcast=most).collect()
+        assert {(r.doc_id, r.item_id): (r.n_hits, r.first_word, r.best) for r in got} == want
+    assert len(want) > 20
 
 
 def test_template():
