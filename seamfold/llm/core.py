@@ -74,16 +74,34 @@ def send(spark: SparkSession, value) -> Broadcast:
     return out
 
 
-def mark() -> tuple[int, int]:
-    """How many tables and broadcasts there are now; what comes later can be released alone."""
-    return len(_tables), len(_sent)
-
-
-def release(since: tuple[int, int] = (0, 0)) -> None:
-    """Delete every scratch table and broadcast made since; only when what was built on them is written."""
-    while len(_sent) > since[1]:
+class Held:
+    """The scratch tables and broadcasts that were made inside a with block, to be freed together."""
+
+    def __enter__(self) -> Held:
+        self.since, self.tables, self.sent = (len(_tables), len(_sent)), [], []
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.tables, self.sent = _tables[self.since[0] :], _sent[self.since[1] :]
+
+    def free(self) -> None:
+        """Only when what was built on them is written."""
+        for b in self.sent:
+            if b in _sent:
+                _sent.remove(b)
+                b.destroy()
+        for t in self.tables:
+            if t in _tables:
+                _tables.remove(t)
+                _delete(*t)
+        self.tables, self.sent = [], []
+
+
+def release() -> None:
+    """Delete every scratch table and broadcast made so far; only when what was built on them is written."""
+    while _sent:
         _sent.pop().destroy()
-    while len(_tables) > since[0]:
+    while _tables:
         _delete(*_tables.pop())
 
 

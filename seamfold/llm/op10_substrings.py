@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seamfold.llm.core import ngrams, prepare, scratch, word_hashes
+from seamfold.llm.core import ngrams, prepare, scratch, send, word_hashes
 from seamfold.llm.repeats import may_hold, members, repeated
 
 #: Exact copies whose marks are broadcast; beyond, they are parted from the rest by a shuffle.
@@ -124,7 +124,7 @@ def repeated_windows(docs: DataFrame, window: int = 13) -> DataFrame:
             if len(words) >= window:
                 yield ngrams(word_hashes(words), window)
 
-    some = spark.sparkContext.broadcast(repeated(docs, all_windows)[0])
+    some = send(spark, repeated(docs, all_windows)[0])
 
     def runs(batches):
         for batch in batches:
@@ -200,7 +200,7 @@ def remove_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id", te
     copies = F.broadcast(copies) if copies.count() <= BROADCAST_COPIES else copies
     firsts, copied = docs.join(copies, "mark", "left_anti").select(docs.columns), docs.join(copies, "mark", "left_semi").select(docs.columns)
     late = scratch(repeated_windows(firsts, window), "late")
-    touched = spark.sparkContext.broadcast(members(late, "mark"))
+    touched = send(spark, members(late, "mark"))
     names = ["doc_id", "n_words", "n_removed", "kept"]
 
     def hits(batch):

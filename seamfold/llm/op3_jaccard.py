@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seamfold.llm.core import as_long, ngrams, prepare, scratch, word_hashes
+from seamfold.llm.core import as_long, ngrams, prepare, scratch, send, word_hashes
 from seamfold.llm.repeats import may_hold, members, repeated
 from seamfold.llm.setjoin import LONG, degrees, link, postings, rare_prefix
 
@@ -50,7 +50,7 @@ def jaccard_components(docs: DataFrame, words: int = 4, num: int = 85, den: int
         for text in _texts(batch):
             yield shingles(text, words)
 
-    some, often = (spark.sparkContext.broadcast(f) for f in repeated(docs, all_keys, (2, LONG)))
+    some, often = (send(spark, f) for f in repeated(docs, all_keys, (2, LONG)))
 
     def outline(batches):
         for batch in batches:
@@ -71,7 +71,7 @@ def jaccard_components(docs: DataFrame, words: int = 4, num: int = 85, den: int
     posts = postings(heads.select(F.col("doc_id").alias("node"), "n", "keys", "places"))
 
     def load_sets(nodes: DataFrame) -> DataFrame:
-        wanted = spark.sparkContext.broadcast(members(nodes, "node"))
+        wanted = send(spark, members(nodes, "node"))
 
         def sets(batches):
             for batch in batches:

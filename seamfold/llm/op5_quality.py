@@ -4,6 +4,7 @@ Documents are sets of hashed n-grams (words, word pairs, runs of four bytes). Cl
 log-count ratios come from all labelled rows; each indicator is scaled by its ratio, the
 vector to unit length, and a hinge-loss model is fitted by dual coordinate descent on a
 bounded, hash-drawn sample of them, a fifth of which turns margins into probabilities.
+The fit runs in one task, whose rows and slots are both bounded; the driver gets weights.
 """
 
 from __future__ import annotations
@@ -15,12 +16,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seamfold.llm.core import mix, prepare, word_hashes
+from seamfold.llm.core import mix, prepare, send, word_hashes
 
 BITS = 18
 SLOTS = 1 << BITS
 #: Labelled rows that the support vector machine is fitted on, at most about.
 FIT_ROWS = 12_000
+#: Slots (4 bytes each) of these rows together, at most about.
+FIT_SLOTS = 30_000_000
 #: Labels that are broadcast; beyond, documents and labels are joined by a shuffle.
 BROADCAST_LABELS = 2_000_000
 _PARTS = 64
@@ -107,11 +110,14 @@ class Model:
         return float(1 / (1 + np.exp(-min(30.0, max(-30.0, z)))))
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int = 5, fit_rows: int = FIT_ROWS) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int = 5, fit_rows: int = FIT_ROWS, fit_slots: int = FIT_SLOTS) -> Model:
     """Learn from the labelled rows that are not held out.
 
     Labels other than 0 and 1 and null ids are left aside; of several labels of one id
-    the largest holds. Counts cover all such rows.
+    the largest holds. Counts cover all such rows, repeated ones each time; the vector machine is fitted on
+    a sample of them of about fit_rows rows and fit_slots slots at most, drawn by id. Null
+    and empty texts are rows without features. An empty table, or one class only, gives a
+    constant model.
     """
     spark = prepare(docs.sparkSession)
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")).where(f"label in (0, 1) and doc_id is not null").where(~held_out("doc_id", folds)).groupBy("doc_id").agg(F.max("label").alias("label"))
@@ -143,7 +149,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int =
     counts = np.concatenate([np.frombuffer(bytes(p["counts"]), np.int64).reshape(2, width) for p in parts], axis=1) + 1.0
     ratio = np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
 
-    share = min(1.0, fit_rows / (parts[0]["n0"] + parts[0]["n1"]))
+    rows_known, slots_known = parts[0]["n0"] + parts[0]["n1"], float(counts.sum() - counts.size)
+    share = min(1.0, fit_rows / rows_known, fit_slots / max(1.0, slots_known))
     drawn = rows.where(F.pmod(F.xxhash64(F.lit("fit"), "doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
 
     def take(batches):
@@ -152,7 +159,21 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int =
             slots = [features(t).astype(np.int32).tobytes() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(slots, pa.binary())], names=["doc_id", "label", "slots"])
 
-    sample = drawn.select("doc_id", "text", "label").mapInArrow(take, "doc_id long, label int, slots binary").toArrow().sort_by("doc_id")  # about fit_rows rows
+    shared = send(spark, ratio)
+
+    def train(sample: pa.Table) -> pa.Table:
+        model = learn(sample.sort_by("doc_id"), shared.value)
+        return pa.table({"weight": pa.array([model.weight.tobytes()], pa.binary()), "a": [model.a], "b": [model.b]})
+
+    sample = drawn.select("doc_id", "text", "label").mapInArrow(take, "doc_id long, label int, slots binary")
+    fitted = sample.withColumn("one", F.lit(0)).groupBy("one").applyInArrow(train, "weight binary, a double, b double").first()
+    if fitted is None:  # no row was drawn
+        return Model(b=0.0)
+    return Model(ratio, np.frombuffer(bytes(fitted["weight"])), fitted["a"], fitted["b"])
+
+
+def learn(sample: pa.Table, ratio: np.ndarray) -> Model:
+    """The model of a sample (doc_id, label, slots): four fifths for its weights, one fifth for its probabilities."""
     slots = [np.frombuffer(x.as_buffer(), np.int32) for x in sample["slots"]]
     ys = np.where(sample["label"].to_numpy() > 0, 1.0, -1.0)
     calibrate = np.array([binascii.crc32(b"c%d" % d) % 5 == 0 for d in sample["doc_id"].to_pylist()], bool)
@@ -168,10 +189,10 @@ def score(docs: DataFrame, model: Model, folds: int = 5, threshold: float = 0.3)
     """(doc_id, held_out, score, predicted) for every row of docs.
 
     Null and empty texts are scored too, as texts without features. A null id counts
-    as not held out. Other columns are ignored.
+    as not held out. Repeated rows keep their rows; no rows give none. Other columns are ignored.
     """
     spark = prepare(docs.sparkSession)
-    shared = spark.sparkContext.broadcast(model)
+    shared = send(spark, model)
 
     def run(batches):
         features, m = Features(), shared.value
@@ -186,7 +207,7 @@ def score(docs: DataFrame, model: Model, folds: int = 5, threshold: float = 0.3)
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """The rows of docs that the model fitted on them does not reject; the columns stay."""
     spark = prepare(docs.sparkSession)
-    shared = spark.sparkContext.broadcast(fit(docs, labels))
+    shared = send(spark, fit(docs, labels))
     names, at = docs.columns, docs.columns.index("text")
 
     def run(batches):

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from seamfold.llm.core import prepare, scratch
+from seamfold.llm.core import prepare, scratch, send
 from seamfold.llm.tokens import encoder
 
 ROOM = 1024
@@ -152,7 +152,7 @@ def pack(docs: DataFrame, room: int = ROOM, end: int | None = END, tokenizer: st
     steps, _ = plan({n: int(c) for n, c in enumerate(counts.sum(axis=1)) if c}, room)
     table = np.array([(s.length, s.first, s.last, s.each, s.bin, s.offset) for s in steps], np.int64).reshape(-1, 6)
     table = table[np.lexsort((table[:, 1], table[:, 0]))]
-    shared = spark.sparkContext.broadcast((before, table))
+    shared = send(spark, (before, table))
     ranked = cut.withColumn("part", part).withColumn("rank", F.row_number().over(Window.partitionBy("length", "part").orderBy("doc_id", "piece", "ids_crc32")) - 1)
 
     def place(batches):
