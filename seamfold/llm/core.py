@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 ARROW_ROWS = 2000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-_tables: list[tuple[SparkSession, str]] = []
+_tables: list[tuple] = []
 _sent: list[Broadcast] = []
 
 
@@ -43,7 +43,9 @@ def shared_folder(spark: SparkSession) -> str:
     return where
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def _delete(spark: SparkSession, path: str, table: str | None = None) -> None:
+    if table:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
@@ -67,6 +69,15 @@ def drop(df: DataFrame) -> None:
         _delete(*held)
 
 
+def bucketed(df: DataFrame, column: str, label: str) -> DataFrame:
+    """Write df as a table in as many buckets of a column as a shuffle has partitions, so that grouping by it needs no shuffle."""
+    spark = df.sparkSession
+    name, path = f"seamfold_{label}_{uuid.uuid4().hex}", f"{shared_folder(spark)}/seamfold-{label}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").option("path", path).bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), column).saveAsTable(name)
+    _tables.append((spark, path, name))
+    return spark.table(name)
+
+
 def send(spark: SparkSession, value) -> Broadcast:
     """A broadcast that release destroys."""
     out = spark.sparkContext.broadcast(value)
@@ -107,7 +118,7 @@ def release() -> None:
 
 @atexit.register
 def _at_exit() -> None:
-    for spark, _ in _tables[:1]:
+    for spark, *_ in _tables[:1]:
         if getattr(spark.sparkContext, "_jsc", None) is None:
             return
     try:

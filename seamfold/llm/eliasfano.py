@@ -104,15 +104,11 @@ class Successors:
 
     def __init__(self, starts: EliasFano, ids: EliasFano) -> None:
         self.starts, self.ids = starts, ids
-        self._table: tuple[np.ndarray, np.ndarray] | None = None
 
-    def pointers(self) -> tuple[np.ndarray, np.ndarray]:
-        """All starts and what each context's ids are relative to, unpacked at the first search."""
-        if self._table is None:
-            starts = self.starts.access(np.arange(self.starts.n)).astype(np.int64)
-            base = self.ids.access(np.maximum(starts - 1, 0)) if self.ids.n else np.zeros(len(starts), np.uint64)
-            self._table = starts, np.where(starts > 0, base, np.uint64(0))
-        return self._table
+    def pointers(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start and end of the contexts' ranges, and what their ids are relative to."""
+        start, end = self.starts.access(context).astype(np.int64), self.starts.access(context + 1).astype(np.int64)
+        return start, end, np.where(start > 0, self.ids.access(np.maximum(start - 1, 0)), np.uint64(0))
 
     @classmethod
     def build(cls, context: np.ndarray, ids: np.ndarray, n_contexts: int) -> Successors:
@@ -128,12 +124,11 @@ class Successors:
         """The place of each (context, id), or -1."""
         if not len(context) or not self.ids.n:
             return np.full(len(context), -1, np.int64)
-        starts, bases = self.pointers()
-        start, end = starts[context], starts[context + 1]
-        out = np.full(len(context), -1, np.int64)
-        at = np.flatnonzero(start < end)
-        out[at] = self.ids.find(ids[at].astype(np.uint64) + bases[context[at]], start[at], end[at])
-        return out
+        # equal contexts that follow each other share their pointers
+        new = np.concatenate([[True], context[1:] != context[:-1]])
+        of = np.cumsum(new) - 1
+        start, end, base = self.pointers(context[new])
+        return self.ids.find(ids.astype(np.uint64) + base[of], start[of], end[of])
 
     def arrays(self) -> list[np.ndarray]:
         return [*self.starts.arrays(), *self.ids.arrays()]
@@ -154,8 +149,7 @@ def dump(arrays: list[np.ndarray]) -> bytes:
     return ";".join(head).encode().ljust(4096) + b"".join(body)
 
 
-def load(path: str) -> list[np.ndarray]:
-    """The arrays of a dumped file, memory-mapped."""
-    whole = np.memmap(path, np.uint8, "r")
+def load(whole) -> list[np.ndarray]:
+    """The arrays of a dumped block (a mapped file, or memory), not copied."""
     head = bytes(whole[:4096]).decode().strip().split(";")[1:]
     return [np.frombuffer(whole, np.dtype(k), int(n), 4096 + int(at)) for k, n, at in (x.split(",") for x in head)]

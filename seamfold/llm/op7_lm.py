@@ -1,34 +1,46 @@
 """LM scoring: a trigram model of the whole corpus, beside an add-0.1 unigram model.
 
 Nothing is capped: every word, pair and triple of the learned rows has its exact count,
-smoothed by absolute discounting and interpolation down to the unigram model. Texts are
-gathered into flushes of FLUSH tokens. Each flush asks the shards, which are dealt by
-context, for the share of a word after its context and for what the context leaves to
-the shorter one; a shard counts all flushes' entries and answers each, and the answers
-meet again in their flush. Shards grow in number with the tokens, so none of this is
-held in one place. A Trie is the compact form of a model that fits into one process.
+smoothed by absolute discounting and interpolation down to the unigram model. The trie's
+levels are cut into shards by context, which grow in number with the tokens:
+
+1. Texts are gathered into flushes of FLUSH tokens, as places in their distinct words.
+   Word shards count the words and give them ids that ascend with their hashes.
+2. Each flush sends its distinct pairs and triples to the shards of their contexts, as
+   columns of ids whose bytes are laid out by significance and compressed.
+3. A shard builds its part of a level: sorted successors of each context in Elias-Fano
+   form under monotone pointers, with quantised shares, in one mapped block. Each flush's
+   entries are then searched in it by context-relative successor search.
+4. The answers meet again in their flush, which adds up its texts' probabilities.
+
+Flushes are written in buckets, so that they are not shuffled for steps 2 and 4.
 """
 
 from __future__ import annotations
 
+import mmap
+import struct
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seamfold.llm.core import mix, prepare, scratch, word_hashes
-from seamfold.llm.eliasfano import Successors
+from seamfold.llm.core import bucketed, mix, prepare, scratch, word_hashes
+from seamfold.llm.eliasfano import Successors, dump, load
 from seamfold.llm.op5_quality import held_out
 
 DISCOUNT = 0.75
 ADD = 0.1
 #: Tokens that a task gathers before it asks for them.
-FLUSH = 1 << 20
+FLUSH = 1 << 21
 #: Tokens of the corpus for each shard.
 SHARD = 1 << 20
-#: A text's end, and what stands before its first word, as tokens' hashes.
-END, BEGIN = np.uint64(0x2545F4914F6CDD1D), np.uint64(0x9FB21C651E98DF25)
-_SHIFT = np.uint64(20)
+#: Values that stand for a level's shares; where there are no more different ones, each stands for itself.
+BOOK = 1 << 16
+#: A text's end as a word's hash, and what stands before its first word as a word's id.
+END, BEGIN = np.uint64(0x2545F4914F6CDD1D), np.uint64(1 << 63)
+_U8, _32 = np.dtype("<u8"), np.uint64(32)
 
 
 def tokens(text: str | None) -> np.ndarray:
@@ -36,222 +48,243 @@ def tokens(text: str | None) -> np.ndarray:
     return np.append(word_hashes((text or "").encode().lower().split()), END)
 
 
-class Vocabulary:
-    """Ids of hashes: 1.. by ascending hash, 0 for all others. Id len+1 stands for a text's begin."""
-
-    DIRECT = 20
+def pack(*columns: np.ndarray) -> bytes:
+    """Columns of one length and of 8-byte numbers, each as its lowest bytes, its second lowest and so on, compressed."""
+    raw = b"".join(np.ascontiguousarray(np.ascontiguousarray(c).view(np.uint8).reshape(len(c), 8).T).tobytes() for c in columns)
+    return struct.pack("<qq", len(raw), len(columns)) + pa.Codec("zstd", compression_level=1).compress(raw, asbytes=True)
 
-    def __init__(self, hashes: np.ndarray) -> None:
-        self.hashes = hashes
-        self.begin = len(hashes) + 1
-        # where the hashes with the same first bits begin: one or two steps find any
-        self.starts = np.searchsorted(hashes >> np.uint64(64 - self.DIRECT), np.arange((1 << self.DIRECT) + 1)).astype(np.int32)
 
-    def ids(self, h: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(h), np.int64)
-        first = (h >> np.uint64(64 - self.DIRECT)).astype(np.int64)
-        at, end, left = self.starts[first], self.starts[first + 1], np.arange(len(h))
-        while len(left):
-            inside = at < end
-            left, at, end = left[inside], at[inside], end[inside]
-            hit = self.hashes[at] == h[left]
-            out[left[hit]] = at[hit] + 1
-            left, at, end = left[~hit], at[~hit] + 1, end[~hit]
-        return out
+def unpack(data: bytes) -> list[np.ndarray]:
+    size, n = struct.unpack_from("<qq", data)
+    raw = np.frombuffer(pa.Codec("zstd").decompress(memoryview(data)[16:], size), np.uint8).reshape(n, 8, -1)
+    return [np.ascontiguousarray(c.T).view(_U8)[:, 0] for c in raw]
 
-    def grams(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Keys of the pairs and of the triples of a text that are wholly in the vocabulary."""
-        ids = np.concatenate([[self.begin], self.ids(h)]).astype(np.uint64)
-        two = ids[:-1] << _SHIFT | ids[1:]
-        fit = (ids[:-1] > 0) & (ids[1:] > 0)
-        three = two[:-1] << _SHIFT | ids[2:]
-        return two[fit], three[fit[:-1] & fit[1:]] | np.uint64(1 << 63)
 
+def ascending(x: np.ndarray) -> np.ndarray:
+    """The differences of an ascending column; np.cumsum undoes it."""
+    return np.diff(x, prepend=np.uint64(0))
 
-def _quantise(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """256 values, and for each number the place of the one that stands for it."""
-    if not len(x):
-        return np.zeros(256), np.zeros(0, np.uint8)
-    edges = np.quantile(x, np.arange(1, 256) / 256)
-    place = np.searchsorted(edges, x, side="right").astype(np.uint8)
-    n = np.bincount(place, minlength=256)
-    return np.bincount(place, x, 256) / np.maximum(n, 1), place
 
+def quantise(x: np.ndarray, size: int = BOOK) -> tuple[np.ndarray, np.ndarray]:
+    """At most size values, and for each number the place of the one that stands for it."""
+    book, place = np.unique(x, return_inverse=True)
+    if len(book) > size:
+        edges = np.quantile(x, np.arange(1, size) / size)
+        place = np.searchsorted(edges, x, side="right")
+        book = np.bincount(place, x, size) / np.maximum(np.bincount(place, minlength=size), 1)
+    return book, place.astype(np.uint16)
 
-def _find(level: Successors, context: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """The places of (context, id), each distinct one searched once."""
-    keys, back = np.unique(context << 20 | ids, return_inverse=True)
-    return level.find(keys >> 20, keys & ((1 << 20) - 1))[back]
 
+class Level:
+    """A shard of a trie level: the successors of its contexts, each with its share, and what every context leaves.
 
-class Trie:
-    """Log10 probabilities and back-off weights of unigrams, pairs and triples."""
+    The share of a word after a context is its discounted count over the context's; what a
+    context leaves is for the shorter one to share out. Both are 0 and 1 where nothing was learned.
+    """
 
     def __init__(self, arrays: list[np.ndarray]) -> None:
-        (self.hashes, self.known, self.log1, self.back1, self.book2, self.code2, self.bookb, self.codeb, self.book3, self.code3), rest = arrays[:10], arrays[10:]
-        self.vocabulary = Vocabulary(self.hashes)
-        self.pairs, self.triples = Successors.of(rest[:8]), Successors.of(rest[8:16])
-
-    def score(self, h: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For the tokens of several texts, one after the other, ending at ends: ids, base and model log10 values.
-
-        A token beyond the vocabulary has id 0 and base 0; its unigram value is for the caller to add to both.
-        """
-        starts = np.concatenate([[0], ends[:-1]])
-        ids = self.vocabulary.ids(h)
-        one = np.concatenate([[0], ids[:-1]])
-        one[starts] = self.vocabulary.begin
-        two = np.concatenate([[0, 0], ids[:-2]])[: len(ids)]
-        two[starts] = 0
-        second = starts[ends - starts > 1] + 1
-        two[second] = self.vocabulary.begin
-        base = self.log1[ids]
-        model = base + self.back1[one]
-        pair = np.full(len(ids), -1, np.int64)
-        at = np.flatnonzero((one > 0) & (ids > 0))
-        pair[at] = _find(self.pairs, one[at], ids[at])
-        hit = pair >= 0
-        model[hit] = self.book2[self.code2[pair[hit]]]
-        # the pair before a token is the context of its triple
-        context = np.concatenate([[-1], pair[:-1]])
-        context[starts] = -1
-        at = np.flatnonzero((context >= 0) & (two > 0))
-        triple = np.full(len(at), -1, np.int64)
-        known = ids[at] > 0
-        triple[known] = _find(self.triples, context[at[known]], ids[at[known]])
-        model[at] += self.bookb[self.codeb[context[at]]]
-        model[at[triple >= 0]] = self.book3[self.code3[triple[triple >= 0]]]
-        return ids, base, model
-
-
-def build(vocab: np.ndarray, counts: np.ndarray, n_texts: int, total: int, kinds: int, pairs: tuple[np.ndarray, np.ndarray], triples: tuple[np.ndarray, np.ndarray]) -> list[np.ndarray]:
-    """The arrays of a Trie from sorted hashes with counts, and sorted (key, count) of pairs and triples."""
-    size = len(vocab) + 2
-    bottom = total + ADD * (kinds + 1)
-    p1 = np.concatenate([[1.0], (counts + ADD) / bottom, [1.0]])
-    seen = np.concatenate([[1.0], counts, [max(1, n_texts)]]).astype(float)
-    mask = np.uint64((1 << 20) - 1)
-    v, w = (pairs[0] >> _SHIFT).astype(np.int64), (pairs[0] & mask).astype(np.int64)
-    kept = (pairs[1] - DISCOUNT) / seen[v]
-    lam1 = 1 - np.bincount(v, kept, size)
-    p2 = kept + lam1[v] * p1[w]
-
-    parent = (triples[0] & np.uint64((1 << 63) - 1)) >> _SHIFT
-    at = np.searchsorted(pairs[0], parent)
-    at[at == len(pairs[0])] = 0
-    fit = pairs[0][at] == parent if len(pairs[0]) else np.zeros(len(parent), bool)
-    at, last, n3 = at[fit], (triples[0][fit] & mask).astype(np.int64), triples[1][fit]
-    kept = (n3 - DISCOUNT) / pairs[1][at]
-    lam2 = 1 - np.bincount(at, kept, max(1, len(v)))
-    below = np.searchsorted(pairs[0], (w[at].astype(np.uint64) << _SHIFT) | last.astype(np.uint64)) if len(at) else at
-    below = np.minimum(below, max(0, len(v) - 1))
-    there = (v[below] == w[at]) & (w[below] == last) if len(at) else np.zeros(0, bool)
-    p3 = kept + lam2[at] * np.where(there, p2[below] if len(at) else 0, lam1[w[at]] * p1[last])
-    log = lambda x: np.log10(np.maximum(x, 1e-12))
-    log1 = np.concatenate([[0.0], np.log10(p1[1:-1]), [0.0]])
-    back1 = log(lam1)
-    back1[0] = 0
-    book2, code2 = _quantise(log(p2))
-    bookb, codeb = _quantise(log(lam2[: len(v)]))
-    book3, code3 = _quantise(log(p3))
-    return [vocab, counts.astype(np.int64), log1, back1, book2, code2, bookb, codeb, book3, code3, *Successors.build(v, w, size).arrays(), *Successors.build(at, last, len(v)).arrays()]
+        self.book, self.codes, self.rest_book, self.rest_codes = arrays[:4]
+        self.successors = Successors.of(arrays[4:])
+
+    @classmethod
+    def build(cls, context: np.ndarray, word: np.ndarray, n: np.ndarray) -> tuple[Level, np.ndarray, np.ndarray]:
+        """The level of entries, equal ones added up, and the entries' contexts and words as places in it."""
+        contexts, c = np.unique(context, return_inverse=True)
+        words, w = np.unique(word, return_inverse=True)
+        keys, place = np.unique(c * len(words) + w, return_inverse=True)
+        count = np.rint(np.bincount(place, n.astype(np.float64), len(keys)))
+        of = keys // max(1, len(words))
+        total, kinds = np.bincount(of, count, len(contexts)), np.bincount(of, count > 0, len(contexts))
+        share = np.where(count > 0, (count - DISCOUNT) / np.maximum(total, 1)[of], 0.0)
+        left = np.where(total > 0, DISCOUNT * kinds / np.maximum(total, 1), 1.0)
+        whole = dump([*quantise(share), *quantise(left), *Successors.build(of, keys % max(1, len(words)), len(contexts)).arrays()])
+        block = mmap.mmap(-1, len(whole))
+        block.write(whole)
+        return cls(load(block)), c, w
+
+    def find(self, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The share of each word after its context, and what the context leaves; contexts and words are places."""
+        place = self.successors.find(context, word)
+        return np.where(place >= 0, self.book[self.codes[place]], 0.0), self.rest_book[self.rest_codes[context]]
+
+    def told(self, context: np.ndarray, word: np.ndarray) -> bytes:
+        """The same for entries that are all there, as codes with the values that they stand for."""
+        shares, share = np.unique(self.codes[self.successors.find(context, word)], return_inverse=True)
+        rests, rest = np.unique(self.rest_codes[context], return_inverse=True)
+        codes = pack(share.astype(_U8) | rest.astype(_U8) << _32)
+        book = pack(np.concatenate([[float(len(shares))], self.book[shares], self.rest_book[rests]]))
+        return struct.pack("<q", len(codes)) + codes + book
+
+
+def heard(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Shares and rests out of what a level told."""
+    (size,) = struct.unpack_from("<q", data)
+    codes, book = unpack(data[8 : 8 + size])[0], unpack(data[8 + size :])[0].view(np.float64)
+    n = int(book[0])
+    return book[1 : n + 1][(codes & np.uint64(0xFFFFFFFF)).astype(np.int64)], book[n + 1 :][(codes >> _32).astype(np.int64)]
 
 
 class Flush:
     """The distinct words, pairs and triples of texts that lie one after the other.
 
-    words: distinct hashes; ids: the tokens as places in them; lengths: tokens of each text.
+    words: distinct ascending hashes; ids: the tokens as places in them; lengths: tokens of each text.
     """
 
     def __init__(self, words: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> None:
-        self.hashes = np.append(words, BEGIN)
+        self.words, self.ids, self.lengths = words, ids.astype(np.int64), lengths
         self.starts = np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype(np.int64)
-        self.ids, self.lengths, size = ids.astype(np.int64), lengths, len(self.hashes)
+
+    def grams(self) -> Flush:
+        """Find the distinct pairs and triples."""
+        size = len(self.words) + 1
         before = np.concatenate([[0], self.ids[:-1]])
         before[self.starts] = size - 1
         pairs, self.pair = np.unique(before * size + self.ids, return_inverse=True)
         self.v, self.w = pairs // size, pairs % size
-        first = np.zeros(len(ids), bool)
+        first = np.zeros(len(self.ids), bool)
         first[self.starts] = True
         self.later = np.flatnonzero(~first)
         triples, self.triple = np.unique(self.pair[self.later - 1] * size + self.ids[self.later], return_inverse=True)
         self.context, self.last = triples // size, triples % size
+        return self
 
-    def entries(self, level: int) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of the contexts and the words of the distinct words (1), pairs (2) or triples (3)."""
-        h = self.hashes
-        if level == 1:
-            return h[:-1], h[:-1]
+    def entries(self, level: int, known: np.ndarray) -> list[np.ndarray]:
+        """Columns of ids of the distinct pairs (2) or triples (3), known being the words' ids; in ascending order."""
+        ids = np.append(known, BEGIN)
         if level == 2:
-            return h[self.v], h[self.w]
-        return mix(mix(h[self.v]) + h[self.w])[self.context], h[self.last]
+            return [ids[self.v], ids[self.w]]
+        return [ids[self.v[self.context]], ids[self.w[self.context]], ids[self.last]]
 
     def times(self, level: int, train: np.ndarray) -> np.ndarray:
-        """How often each of them occurs in the texts that are learned from."""
-        learned = np.repeat(train, self.lengths)
-        if level == 3:
-            return np.bincount(self.triple, learned[self.later], len(self.last)).astype(np.uint32)
-        return np.bincount(self.ids if level == 1 else self.pair, learned, len(self.hashes) - 1 if level == 1 else len(self.w)).astype(np.uint32)
-
-    def deal(self, level: int, shards: int) -> tuple[np.ndarray, np.ndarray]:
-        """The order of the entries by shard, and each shard's first place in it."""
-        shard = (mix(self.entries(level)[0]) % np.uint64(shards)).astype(np.int64)
-        return np.argsort(shard, kind="stable"), np.concatenate([[0], np.cumsum(np.bincount(shard, minlength=shards))])
-
-
-def shares(context: np.ndarray, word: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For entries of all flushes: the context's count, the word's discounted share of it, and what is left to the shorter context."""
-    order = np.lexsort((word, context))
-    c, w, n = context[order], word[order], n[order].astype(np.int64)
-    new_c = np.concatenate([[True], c[1:] != c[:-1]])
-    new = new_c | np.concatenate([[True], w[1:] != w[:-1]])
-    at = np.flatnonzero(new)
-    count = np.add.reduceat(n, at)
-    group = np.flatnonzero(new_c[at])
-    total, kinds = np.add.reduceat(count, group), np.add.reduceat((count > 0).astype(np.int64), group)
-    of = np.cumsum(new_c[at]) - 1
-    share = np.where(count > 0, (count - DISCOUNT) / np.maximum(total, 1)[of], 0)
-    left = np.where(total > 0, DISCOUNT * kinds / np.maximum(total, 1), 1.0)
-    back, entry = np.empty(len(order), np.int64), np.cumsum(new) - 1
-    back[order] = entry
-    return total[of][back], share[back], left[of][back]
-
-
-_U8, _ASKED = np.uint64, "flush long, level int, shard int, context binary, word binary, n binary"
-
-
-def _ask(levels: tuple[int, ...], shards: int):
+        """How often each word (1), pair (2) or triple (3) occurs in the texts that are learned from."""
+        learned = np.repeat(train, self.lengths).astype(np.float64)
+        n = np.bincount(self.triple, learned[self.later], len(self.last)) if level == 3 else np.bincount(self.pair, learned, len(self.w)) if level == 2 else np.bincount(self.ids, learned, len(self.words))
+        return n.astype(_U8)
+
+
+def context_of(columns: list[np.ndarray]) -> np.ndarray:
+    """A hash of all columns but the last."""
+    out = mix(columns[0])
+    for c in columns[1:-1]:
+        out = mix(out + c)
+    return out
+
+
+def dealt(shard: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of entries by shard, and each shard's first place in it."""
+    return np.argsort(shard, kind="stable"), np.concatenate([[0], np.cumsum(np.bincount(shard, minlength=shards))])
+
+
+def shard_of(context: np.ndarray, shards: int) -> np.ndarray:
+    return (mix(context) % np.uint64(shards)).astype(np.int64)
+
+
+def _parts(flush: int, level: int, cuts: np.ndarray, columns: list[np.ndarray]) -> pa.RecordBatch:
+    """Messages (flush, level, shard, data) of columns in the order of shards; the first one ascends within each."""
+    full = np.flatnonzero(np.diff(cuts))
+    data = [pack(ascending(columns[0][a:b]), *(c[a:b] for c in columns[1:])) for a, b in ((cuts[k], cuts[k + 1]) for k in full)]
+    return pa.RecordBatch.from_arrays([pa.array([flush] * len(full), pa.int64()), pa.array([level] * len(full), pa.int32()), pa.array(full, pa.int64()), pa.array(data, pa.binary())], names=["flush", "level", "shard", "data"])
+
+
+_SENT = "flush long, level int, shard long, data binary"
+
+
+def _own(table: pa.Table | pa.RecordBatch, i: int = 0) -> tuple[int, Flush | None, np.ndarray]:
+    """A row of flushes: its number, the flush, and which texts are learned from."""
+    get = lambda k: table[k][i].as_py()
+    words = np.cumsum(unpack(get("words"))[0], dtype=_U8)
+    return get("flush"), Flush(words, np.frombuffer(get("ids"), np.int32), np.array(get("lengths"), np.int64)), np.array(get("train"), bool)
+
+
+def _joined(answers: pa.Table, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """A level's answers, shard after shard."""
+    at = np.flatnonzero(answers["level"].to_numpy() == level)
+    at = at[np.argsort(answers["shard"].to_numpy()[at])]
+    parts = [heard(answers["data"][int(i)].as_py()) for i in at]
+    return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+
+
+def _ask_words(shards: int):
+    """Words go to shards by ranges of their hashes, so that ids that are given by shard ascend with hashes."""
+
     def run(batches):
         for batch in batches:
-            for flush, words, ids, lengths, train in zip(*(batch.column(k).to_pylist() for k in ("flush", "words", "ids", "lengths", "train")), strict=True):
-                f = Flush(np.frombuffer(words, _U8), np.frombuffer(ids, np.int32), np.array(lengths, np.int64))
-                for level in levels:
-                    context, word = f.entries(level)
-                    n = f.times(level, np.array(train, bool))
-                    order, cuts = f.deal(level, shards)
-                    context, word, n = context[order], word[order], n[order]
-                    full = np.flatnonzero(np.diff(cuts))
-                    part = lambda x: pa.array([x[cuts[k] : cuts[k + 1]].tobytes() for k in full], pa.binary())  # noqa: B023, E731
-                    yield pa.RecordBatch.from_arrays([pa.array([flush] * len(full), pa.int64()), pa.array([level] * len(full), pa.int32()), pa.array(full.astype(np.int32)), part(context), part(word) if level > 1 else pa.array([b""] * len(full), pa.binary()), part(n)], names=["flush", "level", "shard", "context", "word", "n"])
+            for i in range(batch.num_rows):
+                flush, f, train = _own(batch, i)
+                shard = ((f.words >> _32) * np.uint64(shards) >> _32).astype(np.int64)
+                yield _parts(flush, 1, np.searchsorted(shard, np.arange(shards + 1)), [f.words, f.times(1, train)])
 
     return run
 
 
-_ANSWERED = pa.schema([("flush", pa.int64()), ("level", pa.int32()), ("shard", pa.int32()), ("known", pa.int64()), ("first", pa.binary()), ("second", pa.binary())])
+def _count_words(table: pa.Table) -> pa.Table:
+    """Each flush's words of a shard: their ids and counts; known: the words with a count, once a shard."""
+    parts = [unpack(x.as_py()) for x in table["data"]]
+    hashes = [np.cumsum(p[0], dtype=_U8) for p in parts]
+    words, place = np.unique(np.concatenate(hashes), return_inverse=True)
+    count = np.bincount(place, np.concatenate([p[1] for p in parts]).astype(np.float64), len(words)).astype(_U8)
+    ids = np.uint64(table["shard"][0].as_py()) << _32 | place.astype(_U8)
+    cuts = np.concatenate([[0], np.cumsum([len(h) for h in hashes])])
+    data = [pack(ascending(ids[a:b]), count[place[a:b]]) for a, b in zip(cuts, cuts[1:], strict=False)]
+    known = [int((count > 0).sum())] + [0] * (len(parts) - 1)
+    return pa.Table.from_arrays([table["flush"], table["level"], table["shard"], pa.array(data, pa.binary()), pa.array(known, pa.int64())], names=["flush", "level", "shard", "data", "known"])
+
+
+def _known(answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and counts of a flush's words, in their order."""
+    at = np.argsort(answers["shard"].to_numpy())
+    parts = [unpack(answers["data"][int(i)].as_py()) for i in at]
+    return np.concatenate([np.cumsum(p[0], dtype=_U8) for p in parts]), np.concatenate([p[1] for p in parts])
+
+
+def _ask(shards: int):
+    def run(own: pa.Table, single: pa.Table) -> pa.Table:
+        flush, f, train = _own(own)
+        f.grams()
+        ids, _ = _known(single)
+        out = []
+        for level in (2, 3):
+            columns = f.entries(level, ids)
+            order, cuts = dealt(shard_of(context_of(columns), shards), shards)
+            out.append(_parts(flush, level, cuts, [c[order] for c in [*columns, f.times(level, train)]]))
+        return pa.Table.from_batches(out)
+
+    return run
 
 
 def _answer(table: pa.Table) -> pa.Table:
-    """Each flush's entries of a shard: counts of words, or shares and rests; known: the words with a count, once a shard."""
-    level, joined = table["level"][0].as_py(), lambda k, t: np.frombuffer(b"".join(x.as_py() for x in table[k]), t)
-    context, n = joined("context", _U8), joined("n", np.uint32)
-    total, share, left = shares(context, context if level == 1 else joined("word", _U8), n)
-    cuts = np.concatenate([[0], np.cumsum([len(x.as_py()) // 8 for x in table["context"]])]).tolist()
-    known = [0] * table.num_rows
-    if level == 1:
-        known[0] = len(np.unique(context[total > 0]))
-    first, second = (total, left[:0]) if level == 1 else (share, left)
-    part = lambda x: pa.array([x[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary())
-    return pa.Table.from_arrays([table["flush"], table["level"], table["shard"], pa.array(known, pa.int64()), part(first), part(second)], schema=_ANSWERED)
+    """For each flush's entries of a shard their shares, and what their contexts leave, found in the shard's level."""
+    parts = [unpack(x.as_py()) for x in table["data"]]
+    columns = [np.concatenate([np.cumsum(p[0], dtype=_U8) for p in parts]), *(np.concatenate([p[k] for p in parts]) for k in range(1, len(parts[0])))]
+    level, c, w = Level.build(context_of(columns[:-1]), columns[-2], columns[-1])
+    cuts = np.concatenate([[0], np.cumsum([len(p[0]) for p in parts])])
+    del columns
+    data = [level.told(c[a:b], w[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
+    return pa.Table.from_arrays([table["flush"], table["level"], table["shard"], pa.array(data, pa.binary())], names=["flush", "level", "shard", "data"])
+
+
+def _score(shards: int, bottom: float):
+    def run(own: pa.Table, answers: pa.Table) -> pa.Table:
+        _, f, _ = _own(own)
+        f.grams()
+        ids, count = _known(answers.filter(pa.array(answers["level"].to_numpy() == 1)))
+        p1 = (count.astype(np.float64) + ADD) / bottom
+
+        def found(level: int) -> tuple[np.ndarray, np.ndarray]:
+            order, _ = dealt(shard_of(context_of(f.entries(level, ids)), shards), shards)
+            share, left = np.empty(len(order)), np.empty(len(order))
+            share[order], left[order] = _joined(answers, level)
+            return share, left
+
+        share, left = found(2)
+        model = (share + left * p1[f.w])[f.pair]
+        if len(f.later):
+            share, left = found(3)
+            model[f.later] = share[f.triple] + left[f.triple] * model[f.later]
+        add = lambda x: pa.array(np.add.reduceat(x, f.starts))
+        return pa.Table.from_arrays([own["doc_ids"].combine_chunks().flatten(), pa.array(f.lengths), add((count > 0).astype(np.int64)[f.ids]), add(np.log10(p1)[f.ids]), add(np.log10(model))], names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
+
+    return run
 
 
 def lm_scores(docs: DataFrame, folds: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -259,8 +292,8 @@ def lm_scores(docs: DataFrame, folds: int = 10, id_col: str = "doc_id", text_col
 
     Learns from the rows whose id's crc32 is not divisible by folds; rows with a null id
     are neither held out nor learned from. Tokens are words and each text's end; null
-    and empty texts have their end only. Words and contexts are told apart by a 64-bit
-    hash. Without any training token both models give every token the same probability.
+    and empty texts have their end only. Repeated rows are learned from and scored each. Words and contexts are told apart by a 64-bit
+    hash. A shard's shares are quantised to BOOK values, which are exact up to that many. Without any training token both models give every token the same probability.
     Other columns are ignored; no rows give no rows.
     """
     spark = prepare(docs.sparkSession)
@@ -272,7 +305,7 @@ def lm_scores(docs: DataFrame, folds: int = 10, id_col: str = "doc_id", text_col
 
         def flush():
             words, place = np.unique(np.concatenate(held), return_inverse=True)
-            row = {"flush": [part << 32 | at], "doc_ids": [ids], "train": [train], "lengths": [[len(h) for h in held]], "words": [words.tobytes()], "ids": [place.astype(np.int32).tobytes()], "n": [size], "n_train": [sum(len(h) for h, t in zip(held, train, strict=True) if t)]}
+            row = {"flush": [part << 32 | at], "doc_ids": [ids], "train": [train], "lengths": [[len(h) for h in held]], "words": [pack(ascending(words))], "ids": [place.astype(np.int32).tobytes()], "n": [size], "n_train": [sum(len(h) for h, t in zip(held, train, strict=True) if t)]}
             return pa.RecordBatch.from_pydict(row, schema=pa.schema([("flush", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("train", pa.list_(pa.bool_())), ("lengths", pa.list_(pa.int64())), ("words", pa.binary()), ("ids", pa.binary()), ("n", pa.int64()), ("n_train", pa.int64())]))
 
         for batch in batches:
@@ -287,46 +320,15 @@ def lm_scores(docs: DataFrame, folds: int = 10, id_col: str = "doc_id", text_col
         if size:
             yield flush()
 
-    flushes = scratch(docs.mapInArrow(gather, "flush long, doc_ids array<long>, train array<boolean>, lengths array<long>, words binary, ids binary, n long, n_train long"), "flushes")
+    flushes = bucketed(docs.mapInArrow(gather, "flush long, doc_ids array<long>, train array<boolean>, lengths array<long>, words binary, ids binary, n long, n_train long"), "flush", "flushes")
     whole = flushes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("n_train"), F.lit(0)).alias("total")).first()
-    total, shards = int(whole["total"]), max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), int(whole["n"]) // SHARD)
-
-    def answers(*levels: int) -> DataFrame:
-        asked = flushes.select("flush", "words", "ids", "lengths", "train").mapInArrow(_ask(levels, shards), _ASKED)
-        return asked.groupBy("level", "shard").applyInArrow(_answer, "flush long, level int, shard int, known long, first binary, second binary")
+    total, shards = int(whole["total"]), max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(whole["n"]) // SHARD)
 
-    single = scratch(answers(1), "words")
+    own = flushes.select("flush", "doc_ids", "train", "lengths", "words", "ids")
+    single = scratch(own.mapInArrow(_ask_words(shards), _SENT).groupBy("shard").applyInArrow(_count_words, _SENT + ", known long"), "words")
     known = int(single.agg(F.coalesce(F.sum("known"), F.lit(0))).first()[0])
-    bottom = total + ADD * (known + 1)
-
-    def score(table: pa.Table) -> pa.Table:
-        levels, own = table["level"].to_numpy(), 0
-        own = int(np.flatnonzero(levels == 0)[0])
-        get = lambda k: table[k][own].as_py()
-        doc_ids, lengths = get("doc_ids"), np.array(get("lengths"), np.int64)
-        f = Flush(np.frombuffer(get("words"), _U8), np.frombuffer(get("ids"), np.int32), lengths)
-        shard = table["shard"].to_numpy()
-
-        def answered(level: int, column: str, kind) -> np.ndarray:
-            at = np.flatnonzero(levels == level)
-            at = at[np.argsort(shard[at])]
-            order, _ = f.deal(level, shards)
-            out = np.empty(len(order), kind)
-            out[order] = np.frombuffer(b"".join(table[column][int(i)].as_py() for i in at), kind)
-            return out
-
-        count = answered(1, "first", np.int64)
-        p1 = (count + ADD) / bottom
-        p2 = answered(2, "first", float) + answered(2, "second", float) * p1[f.w]
-        model = p2[f.pair]
-        if len(f.later):
-            p3 = answered(3, "first", float)[f.triple] + answered(3, "second", float)[f.triple] * model[f.later]
-            model[f.later] = p3
-        add = lambda x: pa.array(np.add.reduceat(x, f.starts))
-        return pa.Table.from_arrays([pa.array(doc_ids, pa.int64()), pa.array(lengths), add((count > 0).astype(np.int64)[f.ids]), add(np.log10(p1)[f.ids]), add(np.log10(model))], names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
-
-    rest = answers(2, 3)
-    own = flushes.select("flush", F.lit(0).alias("level"), F.lit(0).alias("shard"), "doc_ids", "lengths", "words", "ids")
-    meet = own.unionByName(single.unionByName(rest).drop("known"), allowMissingColumns=True)
-    scored = meet.groupBy("flush").applyInArrow(score, "doc_id long, n_tokens long, n_known long, base_score double, score double")
+    single = single.drop("known")
+    asked = own.groupBy("flush").cogroup(single.groupBy("flush")).applyInArrow(_ask(shards), _SENT)
+    answered = single.unionByName(asked.groupBy("level", "shard").applyInArrow(_answer, _SENT))
+    scored = own.groupBy("flush").cogroup(answered.groupBy("flush")).applyInArrow(_score(shards, total + ADD * (known + 1)), "doc_id long, n_tokens long, n_known long, base_score double, score double")
     return scored.select("doc_id", F.coalesce(held_out(F.col("doc_id").cast("string"), folds), F.lit(False)).alias("held_out"), "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")

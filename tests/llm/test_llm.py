@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from seamfold.llm import core, eliasfano, graph, op1_lines, op2_decontaminate, op3_jaccard, op4_chat, op5_quality, op6_media, op7_lm, op8_packing, op9_lengths, op10_substrings, setjoin, tiff
+from seamfold.llm import eliasfano, graph, op1_lines, op2_decontaminate, op3_jaccard, op4_chat, op5_quality, op6_media, op7_lm, op8_packing, op9_lengths, op10_substrings, setjoin, tiff
 from seamfold.llm.graph import components
 from seamfold.llm.template import Template, TemplateError
 
@@ -409,21 +409,41 @@ def test_lm_keeps_every_pair_and_triple(spark):
     assert op7_lm.lm_scores(frame(spark, [])).count() == 0
 
 
-def test_trie_probabilities_add_up():
-    vocab = np.sort(np.unique(core.mix(np.arange(1, 40, dtype=np.uint64))))
-    rng, size = np.random.default_rng(2), len(vocab)
-    text = rng.zipf(1.6, 4000) % size
-    v = op7_lm.Vocabulary(vocab)
-    assert (v.ids(vocab) == np.arange(1, size + 1)).all() and v.ids(np.array([5], np.uint64))[0] == 0
-    two, three = v.grams(vocab[text])
-    level = lambda x: (lambda k, n: (k[n >= 3], n[n >= 3].astype(float)))(*np.unique(x, return_counts=True))
-    counts = np.bincount(text, minlength=size)
-    trie = op7_lm.Trie(op7_lm.build(vocab, counts, 1, len(text), size, level(two), level(three)))
-    a, b = text[:2]
-    h = np.concatenate([np.array([vocab[a], vocab[b], w]) for w in vocab])
-    _, _, model = trie.score(h, np.arange(3, len(h) + 1, 3))
-    unseen = 0.1 / (len(text) + 0.1 * (size + 1))
-    assert abs((10 ** model[2::3]).sum() + unseen - 1) < 0.1
+def test_levels_add_up_and_find_every_successor(monkeypatch):
+    rng = np.random.default_rng(2)
+    context, word = rng.zipf(1.3, 5000).astype(np.uint64) % np.uint64(300), rng.zipf(1.5, 5000).astype(np.uint64) % np.uint64(90)
+    n = rng.integers(0, 3, 5000).astype(np.uint64)
+    level, c, w = op7_lm.Level.build(context, word, n)
+    share, left = level.find(c, w)
+    count, total, kinds = collections.Counter(), collections.Counter(), collections.Counter()
+    for a, b, k in zip(context.tolist(), word.tolist(), n.tolist(), strict=True):
+        count[a, b] += k
+        total[a] += k
+    for (a, _), k in count.items():
+        kinds[a] += k > 0
+    for a, b, s, r in zip(context.tolist(), word.tolist(), share.tolist(), left.tolist(), strict=True):
+        assert s == (max(count[a, b] - 0.75, 0) / total[a] if total[a] else 0) and r == (0.75 * kinds[a] / total[a] if total[a] else 1)
+    sums = collections.Counter()
+    for (a, b), s in {(a, b): s for a, b, s in zip(context.tolist(), word.tolist(), share.tolist(), strict=True)}.items():
+        sums[a] += s
+    assert all(abs(sums[a] + r - 1) < 1e-9 for a, r in zip(context.tolist(), left.tolist(), strict=True))
+    told = op7_lm.heard(level.told(c[:700], w[:700]))
+    assert told[0].tolist() == share[:700].tolist() and told[1].tolist() == left[:700].tolist()
+    absent = np.array([90], np.int64)
+    assert level.find(c[:1], absent)[0][0] == 0
+    x = rng.random(5000)
+    book, place = op7_lm.quantise(x, 256)
+    assert len(book) == 256 and np.abs(book[place] - x).max() < 0.01
+    a = np.sort(rng.integers(0, 1 << 63, 40).astype(np.uint64))
+    assert [y.tolist() for y in op7_lm.unpack(op7_lm.pack(op7_lm.ascending(a), a[::-1]))] == [np.diff(a, prepend=np.uint64(0)).tolist(), a[::-1].tolist()]
+
+
+def test_lm_flushes_and_shards(spark, monkeypatch):
+    rows = [r for r in ROWS if r[0] is not None][:60]
+    whole = {r.doc_id: r for r in op7_lm.lm_scores(frame(spark, rows)).collect()}
+    monkeypatch.setattr(op7_lm, "SHARD", 64)
+    parts = {r.doc_id: r for r in op7_lm.lm_scores(frame(spark, rows).repartition(7)).collect()}
+    assert all(abs(whole[i].score - parts[i].score) < 1e-6 and abs(whole[i].base_score - parts[i].base_score) < 1e-6 for i in whole) and len(parts) == len(whole)
 
 
 def best_fit(lengths, room):
