@@ -4,18 +4,23 @@ from __future__ import annotations
 
 import numpy as np
 
-_ONE, _SIX, _LOW6 = np.uint64(1), np.uint64(6), np.uint64(63)
+_SIX, _LOW6, _FULL = np.uint64(6), np.uint64(63), np.uint64(0xFFFFFFFFFFFFFFFF)
+_EACH, _TOP = np.uint64(0x0101010101010101), np.uint64(0x8080808080808080)
+#: The position of each set bit of each byte, 8 for bits that it does not have.
+_IN_BYTE = np.array([([i for i in range(8) if b >> i & 1] + [8] * 8)[:8] for b in range(256)], np.int64).reshape(-1)
 
 
 def _select_in_word(word: np.ndarray, rank: np.ndarray) -> np.ndarray:
     """Position of the rank-th (from 0) set bit of each word."""
-    at, rank = np.zeros(len(word), np.uint64), rank.astype(np.int64)
-    for width in (32, 16, 8, 4, 2, 1):
-        low = np.bitwise_count((word >> at) & np.uint64((1 << width) - 1)).astype(np.int64)
-        up = rank >= low
-        rank -= np.where(up, low, 0)
-        at += np.where(up, np.uint64(width), np.uint64(0))
-    return at.astype(np.int64)
+    two, four = np.uint64(0x3333333333333333), np.uint64(0x0F0F0F0F0F0F0F0F)
+    n = word - ((word >> np.uint64(1)) & np.uint64(0x5555555555555555))
+    n = (n & two) + ((n >> np.uint64(2)) & two)
+    # how many bits are set up to and with each byte
+    upto = ((n + (n >> np.uint64(4))) & four) * _EACH
+    rank = rank.astype(np.uint64)
+    byte = np.minimum(np.bitwise_count((((rank * _EACH) | _TOP) - upto) & _TOP), 7).astype(np.uint64) << np.uint64(3)
+    before = (upto << np.uint64(8)) >> byte & np.uint64(255)
+    return byte.astype(np.int64) + _IN_BYTE[((word >> byte & np.uint64(255)) << np.uint64(3) | np.minimum(rank - before, np.uint64(7))).astype(np.int64)]
 
 
 class EliasFano:
@@ -82,16 +87,27 @@ class EliasFano:
     def find(self, x: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """The place in [start, end) of the successor of x if it is x itself, else -1."""
         h = (x >> np.uint64(self.bits)).astype(np.int64)
-        lo, hi = np.maximum(start, self._before(h)), np.minimum(end, self._before(h + 1))
-        want, stop = x & np.uint64((1 << self.bits) - 1), hi.copy()
-        while (open_ := lo < hi).any():
-            mid = (lo + hi) >> 1
-            less = self._low(np.minimum(mid, max(0, self.n - 1))) < want
-            lo, hi = np.where(open_ & less, mid + 1, lo), np.where(open_ & ~less, mid, hi)
-        inside = lo < stop
+        want = x & np.uint64((1 << self.bits) - 1)
         out = np.full(len(x), -1, np.int64)
-        at = np.flatnonzero(inside)
-        out[at] = np.where(self._low(lo[at]) == want[at], lo[at], -1)
+        lo = self._before(h)
+        # the first number with this high part is a set bit behind that many numbers and zeros; it is often the one
+        bit = np.minimum(lo + h, len(self.high) * 64 - 1)
+        there = (lo < self.n) & ((self.high[bit >> 6] >> (bit & 63).astype(np.uint64) & np.uint64(1)) > 0)
+        at = np.flatnonzero(there & (lo < end))
+        low = self._low(lo[at])
+        hit = (low == want[at]) & (lo[at] >= start[at])
+        out[at[hit]] = lo[at[hit]]
+        at = at[~hit & (low <= want[at])]
+        if len(at):
+            low_end, hi, want = np.maximum(start[at], lo[at]), np.minimum(end[at], self._before(h[at] + 1)), want[at]
+            stop = hi.copy()
+            while (left := low_end < hi).any():
+                mid = (low_end + hi) >> 1
+                less = self._low(np.minimum(mid, self.n - 1)) < want
+                low_end, hi = np.where(left & less, mid + 1, low_end), np.where(left & ~less, mid, hi)
+            inside = np.flatnonzero(low_end < stop)
+            found = low_end[inside]
+            out[at[inside]] = np.where(self._low(found) == want[inside], found, -1)
         return out
 
 

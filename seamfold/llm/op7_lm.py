@@ -5,7 +5,7 @@ smoothed by absolute discounting and interpolation down to the unigram model. Th
 levels are cut into shards by context, which grow in number with the tokens:
 
 1. Texts are gathered into flushes of FLUSH tokens, as places in their distinct words.
-   Word shards count the words and give them ids that ascend with their hashes.
+   Word shards, dealt by ranges of hashes, count the words and give small ids to frequent ones.
 2. Each flush sends its distinct pairs and triples to the shards of their contexts, as
    columns of ids whose bytes are laid out by significance and compressed.
 3. A shard builds its part of a level: sorted successors of each context in Elias-Fano
@@ -36,8 +36,8 @@ ADD = 0.1
 FLUSH = 1 << 21
 #: Tokens of the corpus for each shard.
 SHARD = 1 << 20
-#: Values that stand for a level's shares; where there are no more different ones, each stands for itself.
-BOOK = 1 << 16
+#: Up to so many different shares of a level are kept as they are; more are put on a scale of so many steps for each factor of e.
+BOOK, SCALE, ZERO = 256, 64.0, (1 << 16) - 1
 #: A text's end as a word's hash, and what stands before its first word as a word's id.
 END, BEGIN = np.uint64(0x2545F4914F6CDD1D), np.uint64(1 << 63)
 _U8, _32 = np.dtype("<u8"), np.uint64(32)
@@ -66,13 +66,19 @@ def ascending(x: np.ndarray) -> np.ndarray:
 
 
 def quantise(x: np.ndarray, size: int = BOOK) -> tuple[np.ndarray, np.ndarray]:
-    """At most size values, and for each number the place of the one that stands for it."""
+    """A book of at most size values with a code for each number; or, of more numbers, no book and codes on a fixed scale.
+
+    On the scale code k stands for exp(-k / SCALE), and its last one for 0.
+    """
     book, place = np.unique(x, return_inverse=True)
-    if len(book) > size:
-        edges = np.quantile(x, np.arange(1, size) / size)
-        place = np.searchsorted(edges, x, side="right")
-        book = np.bincount(place, x, size) / np.maximum(np.bincount(place, minlength=size), 1)
-    return book, place.astype(np.uint16)
+    if len(book) <= size:
+        return book, place.astype(np.uint16)
+    with np.errstate(divide="ignore"):
+        return book[:0], np.minimum(np.rint(-SCALE * np.log(x)), ZERO).astype(np.uint16)
+
+
+def values(book: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    return book[codes] if len(book) else np.where(codes == ZERO, 0.0, np.exp(codes / -SCALE))
 
 
 class Level:
@@ -87,8 +93,8 @@ class Level:
         self.successors = Successors.of(arrays[4:])
 
     @classmethod
-    def build(cls, context: np.ndarray, word: np.ndarray, n: np.ndarray) -> tuple[Level, np.ndarray, np.ndarray]:
-        """The level of entries, equal ones added up, and the entries' contexts and words as places in it."""
+    def build(cls, context: np.ndarray, word: np.ndarray, n: np.ndarray) -> tuple[Level, np.ndarray, np.ndarray, np.ndarray]:
+        """The level of entries, equal ones added up; the distinct entries' contexts and words as places in it; which one each entry is."""
         contexts, c = np.unique(context, return_inverse=True)
         words, w = np.unique(word, return_inverse=True)
         keys, place = np.unique(c * len(words) + w, return_inverse=True)
@@ -100,28 +106,26 @@ class Level:
         whole = dump([*quantise(share), *quantise(left), *Successors.build(of, keys % max(1, len(words)), len(contexts)).arrays()])
         block = mmap.mmap(-1, len(whole))
         block.write(whole)
-        return cls(load(block)), c, w
+        return cls(load(block)), of, keys % max(1, len(words)), place
 
     def find(self, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The share of each word after its context, and what the context leaves; contexts and words are places."""
         place = self.successors.find(context, word)
-        return np.where(place >= 0, self.book[self.codes[place]], 0.0), self.rest_book[self.rest_codes[context]]
+        return np.where(place >= 0, values(self.book, self.codes[place]), 0.0), values(self.rest_book, self.rest_codes[context])
 
-    def told(self, context: np.ndarray, word: np.ndarray) -> bytes:
-        """The same for entries that are all there, as codes with the values that they stand for."""
-        shares, share = np.unique(self.codes[self.successors.find(context, word)], return_inverse=True)
-        rests, rest = np.unique(self.rest_codes[context], return_inverse=True)
+    def told(self, context: np.ndarray, place: np.ndarray) -> bytes:
+        """The same for entries that were found at these places, as codes and books."""
+        share, rest = self.codes[place], self.rest_codes[context]
         codes = pack(share.astype(_U8) | rest.astype(_U8) << _32)
-        book = pack(np.concatenate([[float(len(shares))], self.book[shares], self.rest_book[rests]]))
-        return struct.pack("<q", len(codes)) + codes + book
+        return struct.pack("<q", len(codes)) + codes + pack(np.concatenate([[float(len(self.book))], self.book, self.rest_book]))
 
 
 def heard(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Shares and rests out of what a level told."""
     (size,) = struct.unpack_from("<q", data)
-    codes, book = unpack(data[8 : 8 + size])[0], unpack(data[8 + size :])[0].view(np.float64)
-    n = int(book[0])
-    return book[1 : n + 1][(codes & np.uint64(0xFFFFFFFF)).astype(np.int64)], book[n + 1 :][(codes >> _32).astype(np.int64)]
+    codes, books = unpack(data[8 : 8 + size])[0], unpack(data[8 + size :])[0].view(np.float64)
+    n = int(books[0])
+    return values(books[1 : n + 1], (codes & np.uint64(0xFFFFFFFF)).astype(np.int64)), values(books[n + 1 :], (codes >> _32).astype(np.int64))
 
 
 class Flush:
@@ -134,8 +138,12 @@ class Flush:
         self.words, self.ids, self.lengths = words, ids.astype(np.int64), lengths
         self.starts = np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype(np.int64)
 
-    def grams(self) -> Flush:
-        """Find the distinct pairs and triples."""
+    def grams(self, ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Put the words in the order of their ids and find the distinct pairs and triples; ids and counts in that order."""
+        order = np.argsort(ids)
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        self.words, self.ids = self.words[order], place[self.ids]
         size = len(self.words) + 1
         before = np.concatenate([[0], self.ids[:-1]])
         before[self.starts] = size - 1
@@ -146,7 +154,7 @@ class Flush:
         self.later = np.flatnonzero(~first)
         triples, self.triple = np.unique(self.pair[self.later - 1] * size + self.ids[self.later], return_inverse=True)
         self.context, self.last = triples // size, triples % size
-        return self
+        return ids[order], counts[order]
 
     def entries(self, level: int, known: np.ndarray) -> list[np.ndarray]:
         """Columns of ids of the distinct pairs (2) or triples (3), known being the words' ids; in ascending order."""
@@ -193,7 +201,7 @@ def _own(table: pa.Table | pa.RecordBatch, i: int = 0) -> tuple[int, Flush | Non
     """A row of flushes: its number, the flush, and which texts are learned from."""
     get = lambda k: table[k][i].as_py()
     words = np.cumsum(unpack(get("words"))[0], dtype=_U8)
-    return get("flush"), Flush(words, np.frombuffer(get("ids"), np.int32), np.array(get("lengths"), np.int64)), np.array(get("train"), bool)
+    return get("flush"), Flush(words, unpack(get("ids"))[0], np.array(get("lengths"), np.int64)), np.array(get("train"), bool)
 
 
 def _joined(answers: pa.Table, level: int) -> tuple[np.ndarray, np.ndarray]:
@@ -218,30 +226,33 @@ def _ask_words(shards: int):
 
 
 def _count_words(table: pa.Table) -> pa.Table:
-    """Each flush's words of a shard: their ids and counts; known: the words with a count, once a shard."""
+    """Each flush's words of a shard: their numbers and counts; known: the words with a count, once a shard."""
     parts = [unpack(x.as_py()) for x in table["data"]]
     hashes = [np.cumsum(p[0], dtype=_U8) for p in parts]
     words, place = np.unique(np.concatenate(hashes), return_inverse=True)
     count = np.bincount(place, np.concatenate([p[1] for p in parts]).astype(np.float64), len(words)).astype(_U8)
-    ids = np.uint64(table["shard"][0].as_py()) << _32 | place.astype(_U8)
+    # frequent words have small numbers, which take less room wherever they are sent
+    number = np.empty(len(words), _U8)
+    number[np.lexsort((words, -count.astype(np.int64)))] = np.arange(len(words), dtype=_U8)
     cuts = np.concatenate([[0], np.cumsum([len(h) for h in hashes])])
-    data = [pack(ascending(ids[a:b]), count[place[a:b]]) for a, b in zip(cuts, cuts[1:], strict=False)]
+    data = [pack(number[place[a:b]], count[place[a:b]]) for a, b in zip(cuts, cuts[1:], strict=False)]
     known = [int((count > 0).sum())] + [0] * (len(parts) - 1)
     return pa.Table.from_arrays([table["flush"], table["level"], table["shard"], pa.array(data, pa.binary()), pa.array(known, pa.int64())], names=["flush", "level", "shard", "data", "known"])
 
 
-def _known(answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and counts of a flush's words, in their order."""
-    at = np.argsort(answers["shard"].to_numpy())
+def _known(answers: pa.Table, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and counts of a flush's words, in the order of their hashes."""
+    shard = answers["shard"].to_numpy()
+    at = np.argsort(shard)
     parts = [unpack(answers["data"][int(i)].as_py()) for i in at]
-    return np.concatenate([np.cumsum(p[0], dtype=_U8) for p in parts]), np.concatenate([p[1] for p in parts])
+    ids = [p[0] * np.uint64(shards) + np.uint64(int(shard[i])) for i, p in zip(at, parts, strict=True)]
+    return np.concatenate(ids), np.concatenate([p[1] for p in parts])
 
 
 def _ask(shards: int):
     def run(own: pa.Table, single: pa.Table) -> pa.Table:
         flush, f, train = _own(own)
-        f.grams()
-        ids, _ = _known(single)
+        ids, _ = f.grams(*_known(single, shards))
         out = []
         for level in (2, 3):
             columns = f.entries(level, ids)
@@ -256,18 +267,19 @@ def _answer(table: pa.Table) -> pa.Table:
     """For each flush's entries of a shard their shares, and what their contexts leave, found in the shard's level."""
     parts = [unpack(x.as_py()) for x in table["data"]]
     columns = [np.concatenate([np.cumsum(p[0], dtype=_U8) for p in parts]), *(np.concatenate([p[k] for p in parts]) for k in range(1, len(parts[0])))]
-    level, c, w = Level.build(context_of(columns[:-1]), columns[-2], columns[-1])
+    level, context, word, entry = Level.build(context_of(columns[:-1]), columns[-2], columns[-1])
+    # each distinct entry is searched once, in order, whatever number of flushes ask for it
+    place = level.successors.find(context, word)
     cuts = np.concatenate([[0], np.cumsum([len(p[0]) for p in parts])])
     del columns
-    data = [level.told(c[a:b], w[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
+    data = [level.told(context[entry[a:b]], place[entry[a:b]]) for a, b in zip(cuts, cuts[1:], strict=False)]
     return pa.Table.from_arrays([table["flush"], table["level"], table["shard"], pa.array(data, pa.binary())], names=["flush", "level", "shard", "data"])
 
 
 def _score(shards: int, bottom: float):
     def run(own: pa.Table, answers: pa.Table) -> pa.Table:
         _, f, _ = _own(own)
-        f.grams()
-        ids, count = _known(answers.filter(pa.array(answers["level"].to_numpy() == 1)))
+        ids, count = f.grams(*_known(answers.filter(pa.array(answers["level"].to_numpy() == 1)), shards))
         p1 = (count.astype(np.float64) + ADD) / bottom
 
         def found(level: int) -> tuple[np.ndarray, np.ndarray]:
@@ -293,7 +305,7 @@ def lm_scores(docs: DataFrame, folds: int = 10, id_col: str = "doc_id", text_col
     Learns from the rows whose id's crc32 is not divisible by folds; rows with a null id
     are neither held out nor learned from. Tokens are words and each text's end; null
     and empty texts have their end only. Repeated rows are learned from and scored each. Words and contexts are told apart by a 64-bit
-    hash. A shard's shares are quantised to BOOK values, which are exact up to that many. Without any training token both models give every token the same probability.
+    hash. A shard's shares are exact if it has at most BOOK different ones, else within 1 in 128. Without any training token both models give every token the same probability.
     Other columns are ignored; no rows give no rows.
     """
     spark = prepare(docs.sparkSession)
@@ -305,7 +317,7 @@ def lm_scores(docs: DataFrame, folds: int = 10, id_col: str = "doc_id", text_col
 
         def flush():
             words, place = np.unique(np.concatenate(held), return_inverse=True)
-            row = {"flush": [part << 32 | at], "doc_ids": [ids], "train": [train], "lengths": [[len(h) for h in held]], "words": [pack(ascending(words))], "ids": [place.astype(np.int32).tobytes()], "n": [size], "n_train": [sum(len(h) for h, t in zip(held, train, strict=True) if t)]}
+            row = {"flush": [part << 32 | at], "doc_ids": [ids], "train": [train], "lengths": [[len(h) for h in held]], "words": [pack(ascending(words))], "ids": [pack(place.astype(_U8))], "n": [size], "n_train": [sum(len(h) for h, t in zip(held, train, strict=True) if t)]}
             return pa.RecordBatch.from_pydict(row, schema=pa.schema([("flush", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("train", pa.list_(pa.bool_())), ("lengths", pa.list_(pa.int64())), ("words", pa.binary()), ("ids", pa.binary()), ("n", pa.int64()), ("n_train", pa.int64())]))
 
         for batch in batches:
