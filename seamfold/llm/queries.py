@@ -50,6 +50,12 @@ def op6_tiff_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op6_media.media_digests(_table(spark, sf_dir, "documents"))
 
 
+def op6_tiff_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files page by page, one row for each."""
+    pages = op6_media.tiff_pages(op6_media.text_media(_table(spark, sf_dir, "documents")))
+    return pages.withColumn("samples_sha256", F.sha2("samples", 256)).drop("samples")
+
+
 def op7_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op7_lm.lm_scores(_table(spark, sf_dir, "documents"))
 
@@ -73,7 +79,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_decontamination, op3_jaccard_join, op3_jaccard_links, op4_chat_format, op5_quality_classifier, op6_tiff_media, op7_lm_scores, op8_best_fit_packing, op9_token_counts, op10_substring_dedup, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_decontamination, op3_jaccard_join, op3_jaccard_links, op4_chat_format, op5_quality_classifier, op6_tiff_media, op6_tiff_pages, op7_lm_scores, op8_best_fit_packing, op9_token_counts, op10_substring_dedup, pipeline)}
 
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 _ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

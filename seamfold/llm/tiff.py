@@ -16,6 +16,8 @@ WIDTH, HEIGHT, BITS, COMPRESSION, PHOTOMETRIC = 256, 257, 258, 259, 262
 STRIPS, SAMPLES, ROWS_PER_STRIP, STRIP_SIZES, PLANAR = 273, 277, 278, 279, 284
 PREDICTOR, TILE_WIDTH, TILE_HEIGHT, TILES, TILE_SIZES = 317, 322, 323, 324, 325
 CLEAR, END = 256, 257
+#: Bytes that one byte of a strip can become at most: an LZW code of 12 bits stands for up to 3840 of them.
+MOST_EXPANSION = 2600
 _BASE = [bytes((i,)) for i in range(256)] + [b"", b""]
 
 
@@ -245,7 +247,9 @@ def walk(data: bytes) -> Iterator[Page]:
             seen.add(at)
             tags, at = _tags(data, order, at)
             yield _page(data, tags, len(seen) - 1)
-    except (struct.error, KeyError, IndexError, zlib.error) as e:
+    except TiffError:
+        raise
+    except (struct.error, LookupError, zlib.error, ValueError, TypeError, ArithmeticError, MemoryError) as e:
         raise TiffError(f"broken: {e!r}") from e
 
 
@@ -259,6 +263,14 @@ def _page(data: bytes, tags: dict[int, list], number: int) -> Page:
     places, sizes = (tags[TILES], tags[TILE_SIZES]) if tiled else (tags[STRIPS], tags[STRIP_SIZES])
     rows, columns = (tags[TILE_HEIGHT][0], tags[TILE_WIDTH][0]) if tiled else (min(one(ROWS_PER_STRIP, height), height), width)
     deep = 1 if planes == 2 else channels
+    if min(width, height, channels, rows, columns) < 1:
+        raise TiffError("a page, strip or tile has no samples")
+    blocks = -(-height // rows) * -(-width // columns) * (channels if planes == 2 else 1)
+    if not blocks == len(places) == len(sizes):
+        raise TiffError(f"{len(places)} offsets and {len(sizes)} sizes for {blocks} strips or tiles")
+    # no strip can hold more than its codec's largest expansion, so nothing larger is ever allocated
+    if rows * columns * deep * blocks > MOST_EXPANSION * sum(sizes) or sum(sizes) > max(1, blocks) * len(data):
+        raise TiffError(f"{width} x {height} samples cannot come from {len(data)} bytes")
     out = np.zeros((height, width, channels), np.uint8)
     block = iter(zip(places, sizes, strict=True))
     for plane in range(channels if planes == 2 else 1):

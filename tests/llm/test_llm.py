@@ -343,14 +343,55 @@ def test_media(spark):
     assert [(r.doc_id, r.page, r.error is None) for r in rows] == [(1, 0, True), (2, 0, True), (3, None, False)]
 
 
-def test_feature_covers_all_pages(monkeypatch):
-    monkeypatch.setattr(op6_media, "STRIP", 3)
-    data = bytes(RND.choice(b"abcz") for _ in range(9 * 576))
-    pages = lambda d: list(tiff.walk(op6_media.store(d)))
-    got = dict(x.split("=") for x in op6_media.feature(pages(data)).split(";"))
-    whole = [p.samples.astype(int) for p in pages(data)]
-    assert (int(got["dx"]), int(got["dy"])) == tuple(sum(int(np.abs(np.diff(p, axis=k)).sum()) for p in whole) for k in (1, 0))
-    assert op6_media.feature(pages(data)) != op6_media.feature(pages(data[:1152] + bytes(sorted(data[1152:]))))
+def test_feature_matches_brute_force():
+    for n in (1, 30, 130):
+        data = bytes(RND.choice(b"abcz") for _ in range(n * 576))
+        pages = list(tiff.walk(op6_media.store(data)))
+        assert b"".join(p.samples.tobytes() for p in pages) == data
+        if n == 130:
+            assert {p.compression for p in pages} == {tiff.LZW, tiff.PACKBITS, tiff.DEFLATE}
+        got = dict(x.split("=") for x in op6_media.feature(pages).split(";"))
+        dx = dy = 0
+        hist = [0] * 16
+        for page in range(0, len(data), op6_media.PAGE):
+            rows = [data[a : a + 48] for a in range(page, min(len(data), page + op6_media.PAGE), 48)]
+            dx += sum(abs(r[i] - r[i + 1]) for r in rows for i in range(47))
+            dy += sum(abs(a - b) for x, y in itertools.pairwise(rows) for a, b in zip(x, y, strict=True))
+        for x in data:
+            hist[x // 16] += 1
+        mean = sum(data) / len(data)
+        std = math.sqrt(sum((x - mean) ** 2 for x in data) / len(data))
+        assert (int(got["dx"]), int(got["dy"]), got["hist"]) == (dx, dy, ",".join(map(str, hist)))
+        assert abs(float(got["mean"]) - mean) < 1e-3 and abs(float(got["std"]) - std) < 1e-3 and int(got["pages"]) == len(pages)
+
+
+def test_damaged_files_are_error_rows(spark):
+    import struct
+
+    good = tiff.write([{"samples": np.arange(48 * 48, dtype=np.uint8).reshape(48, 48), "compression": tiff.DEFLATE, "rows": 12}])
+    (at,) = struct.unpack_from("<I", good, 4)
+    (n,) = struct.unpack_from("<H", good, at)
+
+    def changed(tag, value, count=None):
+        out = bytearray(good)
+        for i in range(n):
+            place = at + 2 + 12 * i
+            if struct.unpack_from("<H", out, place)[0] == tag:
+                struct.pack_into("<I", out, place + 8, value) if count is None else struct.pack_into("<I", out, place + 4, count)
+        return bytes(out)
+
+    damaged = [changed(tiff.HEIGHT, 96), changed(tiff.ROWS_PER_STRIP, 0), changed(tiff.STRIP_SIZES, 0, 2), changed(tiff.HEIGHT, 1 << 31), changed(tiff.WIDTH, 0), changed(tiff.STRIPS, 0, 1 << 31), changed(tiff.COMPRESSION, 7), good[:50], b"II*", b"x" * 99]
+    rng = random.Random(3)
+    for _ in range(60):
+        out = bytearray(good)
+        for _ in range(3):
+            out[rng.randrange(len(out))] = rng.randrange(256)
+        damaged.append(bytes(out))
+    media = spark.createDataFrame([(i, bytearray(d)) for i, d in enumerate(damaged)] + [(1000, bytearray(good)), (None, bytearray(good)), (1001, None)], "doc_id long, media binary")
+    rows = op6_media.tiff_pages(media).collect()
+    bad = {r.doc_id for r in rows if r.error is not None}
+    assert set(range(10)) <= bad and {r.page for r in rows if r.doc_id in (None, 1000)} == {0} and 1001 not in {r.doc_id for r in rows}
+    assert op6_media.tiff_pages(media.where("false")).count() == 0 and op6_media.media_digests(frame(spark, [])).count() == 0
 
 
 def test_elias_fano():
@@ -413,8 +454,10 @@ def test_levels_add_up_and_find_every_successor(monkeypatch):
     rng = np.random.default_rng(2)
     context, word = rng.zipf(1.3, 5000).astype(np.uint64) % np.uint64(300), rng.zipf(1.5, 5000).astype(np.uint64) % np.uint64(90)
     n = rng.integers(0, 3, 5000).astype(np.uint64)
-    level, c, w = op7_lm.Level.build(context, word, n)
+    level, c, w, entry = op7_lm.Level.build(context, word, n)
+    c, w = c[entry], w[entry]
     share, left = level.find(c, w)
+    assert (level.successors.find(c, w) == entry).all()
     count, total, kinds = collections.Counter(), collections.Counter(), collections.Counter()
     for a, b, k in zip(context.tolist(), word.tolist(), n.tolist(), strict=True):
         count[a, b] += k
@@ -427,13 +470,14 @@ def test_levels_add_up_and_find_every_successor(monkeypatch):
     for (a, b), s in {(a, b): s for a, b, s in zip(context.tolist(), word.tolist(), share.tolist(), strict=True)}.items():
         sums[a] += s
     assert all(abs(sums[a] + r - 1) < 1e-9 for a, r in zip(context.tolist(), left.tolist(), strict=True))
-    told = op7_lm.heard(level.told(c[:700], w[:700]))
+    told = op7_lm.heard(level.told(c[:700], entry[:700]))
     assert told[0].tolist() == share[:700].tolist() and told[1].tolist() == left[:700].tolist()
     absent = np.array([90], np.int64)
     assert level.find(c[:1], absent)[0][0] == 0
-    x = rng.random(5000)
-    book, place = op7_lm.quantise(x, 256)
-    assert len(book) == 256 and np.abs(book[place] - x).max() < 0.01
+    x = np.concatenate([rng.random(5000), [0.0, 1.0, 1e-12]])
+    for size in (256, 10_000):
+        got = op7_lm.values(*op7_lm.quantise(x, size))
+        assert np.allclose(got, x, rtol=0 if size > len(x) else 1 / 125, atol=0)
     a = np.sort(rng.integers(0, 1 << 63, 40).astype(np.uint64))
     assert [y.tolist() for y in op7_lm.unpack(op7_lm.pack(op7_lm.ascending(a), a[::-1]))] == [np.diff(a, prepend=np.uint64(0)).tolist(), a[::-1].tolist()]
 
