@@ -13,7 +13,12 @@ def unit_interval(key: Column, salt: str = "") -> Column:
     return F.conv(F.substring(F.sha2(F.concat(F.lit(salt), key.cast("string")), 256), 1, 8), 16, 10).cast("long") / F.lit(4294967295.0)
 
 
-def hash_split(key: Column, val: float = 0.1, test: float = 0.1, salt: str = "split:") -> Column:
+# fixed values: what ids are hashed behind, which decides every split
+SPLIT_SALT = "cricket-commentary-split-v1:"
+
+
+def hash_split(key: Column, val: float = 0.1, test: float = 0.1, salt: str = SPLIT_SALT) -> Column:
+    """test below the first fraction of the hash space, val below both, else train."""
     p = unit_interval(key, salt)
     return F.when(p < test, "test").when(p < test + val, "val").otherwise("train")
 

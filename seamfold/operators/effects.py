@@ -7,7 +7,10 @@ from collections.abc import Callable
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
+# fixed values: a verdict's fields and what they may hold
+SEVERITIES, CONFIDENCES = ("none", "minor", "major", "critical"), ("high", "medium", "low")
 VERDICT = "struct<faithful: boolean, severity: string, failure_modes: array<string>, persona_match: boolean, confidence: string, explanation: string>"
 
 
@@ -18,8 +21,7 @@ def generate(items: DataFrame, call: Callable[[list[dict]], list[str]], column:
         for batch in batches:
             yield batch.append_column(column, pa.array(call(batch.to_pylist()), pa.string()))
 
-    schema = items.schema.add(column, "string") if column not in items.columns else items.schema
-    return items.mapInArrow(run, schema)
+    return items.mapInArrow(run, StructType([*items.schema.fields, StructField(column, StringType())]))
 
 
 def status(line: Column, ok: Column, seed_copy: Column) -> Column:
@@ -28,9 +30,9 @@ def status(line: Column, ok: Column, seed_copy: Column) -> Column:
 
 
 def parse_verdict(answer: Column) -> Column:
-    """The verdict in an answer, from the first brace to the last; null unless its fields are valid."""
+    """The verdict in an answer, from the first brace to the last; null unless all its fields are there and valid."""
     v = F.from_json(F.regexp_extract(answer, r"(?s)\{.*\}", 0), VERDICT)
-    valid = v.faithful.isNotNull() & v.severity.isin("none", "minor", "moderate", "severe") & v.confidence.isin("low", "medium", "high")
+    valid = v.faithful.isNotNull() & v.severity.isin(*SEVERITIES) & v.confidence.isin(*CONFIDENCES) & v.failure_modes.isNotNull() & v.persona_match.isNotNull() & v.explanation.isNotNull()
     return F.when(valid, v)
 
 

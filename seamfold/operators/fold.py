@@ -58,10 +58,6 @@ def milestones(striker_runs: Column, score: Column, on_streak: Column) -> Column
     return F.filter(F.array(near, team, F.when(on_streak, F.lit("bowler_on_hat_trick"))), lambda x: x.isNotNull())
 
 
-def _person(name: str) -> Column:
-    return F.struct(F.coalesce(F.try_element_at("people", F.col(name)), F.col(name)).alias("id"), F.col(name).alias("name"))
-
-
 def explode_balls(matches: DataFrame) -> DataFrame:
     """One row a ball, in the order of the arrays: super overs are dropped before innings are counted."""
     i = matches.where("invalid is null" if "invalid" in matches.columns else "true").select("match_id", "info", F.posexplode(F.filter("innings", lambda x: ~F.coalesce(x.super_over, F.lit(False)))).alias("innings", "inns"))
@@ -109,11 +105,12 @@ def innings_state(balls: DataFrame) -> DataFrame:
         "partnership_runs": running(F.col("runs_total"), stand, order), "partnership_balls": running(legal, stand, order),
     })
     chase = F.col("target").isNotNull()
-    left = F.greatest(F.rint(F.col("total_overs") * F.col("bpo")).cast("int") - F.col("legal_ball_number"), F.lit(0))
+    allotted = F.rint(F.col("total_overs") * F.col("bpo"))
+    left = F.greatest(allotted.cast("int") - F.col("legal_ball_number"), F.lit(0))
     b = b.withColumns({"balls_left": left, "target_runs": F.col("target.runs")}).withColumn("runs_required", F.when(chase, F.greatest(F.col("target_runs") - F.col("score_runs"), F.lit(0))))
     return b.withColumns({
         "current_run_rate": rate(F.col("score_runs"), F.col("legal_ball_number"), F.col("bpo")),
         "required_run_rate": F.when(chase, rate(F.col("runs_required"), F.col("balls_left"), F.col("bpo"))),
-        "phase": phase(F.col("over"), F.col("powerplay"), F.col("total_overs")),
+        "phase": phase(F.col("over"), F.col("powerplay"), F.floor(allotted / F.col("bpo"))),
         "milestones": milestones(F.col("striker_runs"), F.col("score_runs"), F.col("bowler_on_hat_trick")),
     })

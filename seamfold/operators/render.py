@@ -56,6 +56,7 @@ def real_wicket(kinds: Column) -> Column:
 
 
 def event_phrase(runs_batter: Column, runs_total: Column, extras: Column, kinds: Column) -> Column:
+    # fixed values: the phrases that texts are checked against
     out = real_wicket(kinds)
     return (
         F.when(out.isNotNull(), F.concat(F.lit("WICKET, "), out))
@@ -74,6 +75,7 @@ def fallback_line(event: Column) -> Column:
     score = F.concat(F.col("batting_team"), F.lit(" "), F.col("state.score_runs").cast("string"), F.lit("/"), F.col("state.score_wickets").cast("string"))
     name, total = F.col("striker.name"), F.col("delivery.runs_total")
     out = F.coalesce(F.when(F.try_element_at("delivery.wickets", F.lit(1)).player_out_name != "", F.try_element_at("delivery.wickets", F.lit(1)).player_out_name), name)
+    # fixed values: the sentences
     kind = F.coalesce(F.when(event.contains(", "), F.regexp_extract(event, "^.*?, (.*)$", 1)), F.lit("out"))
     head = (
         F.when(event.startswith("WICKET"), F.concat(F.lit("Wicket. "), out, F.lit(" "), kind))
@@ -92,12 +94,18 @@ def scoreboard() -> list[Column]:
     ball = F.col("legal_ball_number") - 6 * F.col("over")
     slash = lambda a, b: F.concat(F.col(a).cast("string"), F.lit("/"), F.col(b).cast("string"))
     return [
-        (F.col("innings") + 1).alias("innings"), F.concat(F.col("over").cast("string"), F.lit("."), ball.cast("string")).alias("over"), "batting_team", "bowling_team",
-        slash("state.score_runs", "state.score_wickets").alias("score"), slash("state.bowler_wickets", "state.bowler_runs").alias("bowler_figures"),
-        F.col("striker.name").alias("striker"), F.col("bowler.name").alias("bowler"), "state.striker_runs", "state.striker_balls", "state.runs_required", "state.balls_left", "state.current_run_rate", "state.required_run_rate", "state.last_deliveries", "state.phase",
+        F.col("match_id"), F.col("ball_id"), (F.col("innings") + 1).alias("innings"), F.concat(F.col("over").cast("string"), F.lit("."), ball.cast("string")).alias("over"), F.col("batting_team"), F.col("bowling_team"),
+        slash("state.score_runs", "state.score_wickets").alias("score"), F.col("state.score_runs").alias("runs"), F.col("state.score_wickets").alias("wickets"),
+        F.col("striker.name").alias("striker"), F.col("state.striker_runs"), F.col("state.striker_balls"), F.col("bowler.name").alias("bowler"), slash("state.bowler_wickets", "state.bowler_runs").alias("bowler_figures"),
+        F.col("state.current_run_rate"), F.col("state.required_run_rate"), F.col("state.target_runs").alias("target"), F.col("state.runs_required"), F.col("state.balls_left"), F.col("state.last_deliveries"), F.col("state.phase"), record_event().alias("event"),
     ]
 
 
+def scoreboard_json() -> Column:
+    """The scoreboard as JSON, absent figures as nulls."""
+    return F.to_json(F.struct(*scoreboard()), {"ignoreNullFields": "false"})
+
+
 def token_chunks(line: Column) -> Column:
     return F.transform(F.split(line, " ", -1), lambda w, i: F.when(i == 0, w).otherwise(F.concat(F.lit(" "), w)))
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from seamfold.functions.hashing import hash_split, holdout
+from seamfold.functions.hashing import SPLIT_SALT, hash_split, holdout
 from seamfold.functions.rounding import round_exact, round_exact_sql
 from seamfold.operators import classify, dataset, fold, metrics, render, textcheck
 
@@ -141,7 +141,7 @@ def bucket_histogram(spark, sf_dir):
 
 
 def _unit(key: str) -> str:
-    return f"('0x' || left(sha256('split:' || {key}), 8))::UBIGINT / 4294967295.0::DOUBLE"
+    return f"('0x' || left(sha256('{SPLIT_SALT}' || {key}), 8))::UBIGINT / 4294967295.0::DOUBLE"
 
 
 def _split(key: str) -> str:
@@ -159,10 +159,10 @@ def holdout_split(spark, sf_dir):
     return _t(spark, sf_dir, "documents").select("doc_id", holdout(F.col("doc_id"), 0.1).alias("held"))
 
 
-@query(f"SELECT count(*) AS straddling FROM (SELECT conv_id FROM (SELECT conv_id, {_split('conv_id')} AS split FROM conversations) GROUP BY conv_id HAVING count(DISTINCT split) > 1)")
-def split_integrity(spark, sf_dir):
-    c = _t(spark, sf_dir, "conversations").select("conv_id", hash_split(F.col("conv_id")).alias("split"))
-    return c.groupBy("conv_id").agg(F.countDistinct("split").alias("n")).where("n > 1").agg(F.count("*").alias("straddling"))
+@query(f"SELECT {_split('conv_id')} AS split, count(*) AS n FROM conversations GROUP BY 1")
+def split_counts(spark, sf_dir):
+    """How many rows each split gets; rows of one key share theirs."""
+    return metrics.counters(_t(spark, sf_dir, "conversations").select(hash_split(F.col("conv_id")).alias("split")), "split")
 
 
 @query("SELECT source, doc_id FROM (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY sha256(doc_id::VARCHAR), doc_id) AS r FROM documents) WHERE r <= 7")
@@ -191,7 +191,7 @@ def secondary_plan(spark, sf_dir):
 @query("SELECT conv_id, turn, (row_number() OVER w - 1) % 4 AS persona, (row_number() OVER w - 1) // 3 AS wave FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)")
 def rotation_and_waves(spark, sf_dir):
     n = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn")).cast("long") - 1
-    return _t(spark, sf_dir, "conversations").select("conv_id", "turn", (n % 4).alias("persona"), F.floor(n / 3).alias("wave"))
+    return _t(spark, sf_dir, "conversations").select("conv_id", "turn", classify.rotation(n, 4).alias("persona"), classify.chunk(n, 3).alias("wave"))
 
 
 _TOK = "regexp_extract_all(lower(text), '[a-z'']+')"
@@ -218,18 +218,45 @@ def distinct_n(spark, sf_dir):
     FROM (SELECT event_id, 'now ' || user_id || ' / ' || floor(value)::BIGINT || ' and 1/2' AS l FROM events)""")
 def score_extract(spark, sf_dir):
     line = F.concat(F.lit("now "), F.col("user_id").cast("string"), F.lit(" / "), F.floor("value").cast("string"), F.lit(" and 1/2"))
-    part = lambda i: F.regexp_extract(line, r"(\d+)\s*/\s*(\d+)", i).cast("long")
-    return _t(spark, sf_dir, "events").select("event_id", part(1).alias("runs"), part(2).alias("outs"))
+    return _t(spark, sf_dir, "events").select("event_id", textcheck.score(line).alias("s")).select("event_id", F.col("s.a").cast("long").alias("runs"), F.col("s.b").cast("long").alias("outs"))
 
 
-@query()
+#: Lines with what they claim: a six, a four, a wicket, and how many have fallen.
+CLAIMS = (
+    ("A huge six! ", True, False, False, None), ("Cracked for four. ", False, True, False, None), ("Six down now. ", False, False, False, 6), ("They want six an over. ", False, False, False, None), ("The third wicket to fall. ", False, False, False, 3),
+    ("Bowled him! ", False, False, True, None), ("Drives one down the ground. ", False, False, False, None), ("Inside six overs. ", False, False, False, None), ("What a maximum! ", True, False, False, None), ("They lose their fifth. ", False, False, False, 5),
+    ("Run out by yards. ", False, False, True, None), ("Two for four, then six more. ", True, False, False, None), ("Worked away. ", False, False, False, None), ("12 wickets down, no: 4 down already. ", False, False, False, 12), ("He has 27 off 24. ", False, False, False, None),
+)
+_SQL_CLAIMS = ", ".join(f"({i}, {six}, {four}, {out}, {'NULL' if n is None else n})" for i, (_, six, four, out, n) in enumerate(CLAIMS))
+_FACTS = f"""WITH c(place, six, four, out, n) AS (VALUES {_SQL_CLAIMS}),
+    e AS (SELECT *, {_PHRASE} AS phrase, floor(value)::BIGINT AS runs, CASE WHEN event_id % 4 = 0 THEN 11 ELSE 12 END AS said FROM events), f AS (SELECT * FROM e JOIN c ON c.place = event_id % {len(CLAIMS)})"""
+
+
+def _facts(spark, sf_dir):
+    """Lines written from events, some wrong on purpose, with their events and states."""
+    e = F.col("event_id")
+    text = lambda c: c.cast("string")
+    runs = text(F.floor(F.col("value")))
+    line = F.concat(F.get(F.array(*(F.lit(c[0]) for c in CLAIMS)), (e % len(CLAIMS)).cast("int")), F.lit("A "), runs, F.lit("/"), text(e % 7), F.when(e % 4 == 0, ", they need it: 11 more from 6").otherwise(", 12 needed off the last 6"))
+    state = F.concat(F.lit("x | A "), runs, F.lit("/"), text(e % 10), F.lit(" | need 12 off 6"))
+    return _t(spark, sf_dir, "events").select("event_id", line.alias("line"), _phrase().alias("event"), state.alias("state"))
+
+
+@query(f"""{_FACTS}, r AS (SELECT event_id, concat_ws('; ', CASE WHEN phrase LIKE 'SIX%' AND four THEN 'calls a six a four' END, CASE WHEN phrase LIKE 'FOUR%' AND six THEN 'calls a four a six' END,
+    CASE WHEN phrase NOT LIKE 'SIX%' AND phrase NOT LIKE 'FOUR%' AND six THEN 'claims a six that did not happen' END, CASE WHEN phrase NOT LIKE 'SIX%' AND phrase NOT LIKE 'FOUR%' AND four THEN 'claims a boundary that did not happen' END,
+    CASE WHEN phrase NOT LIKE 'WICKET%' AND out THEN 'claims a wicket that did not happen' END, CASE WHEN event_id % 7 <> event_id % 10 THEN 'score (' || runs || ', ' || event_id % 7 || ') != state (' || runs || ', ' || event_id % 10 || ')' END,
+    CASE WHEN n <> event_id % 10 THEN 'wickets ' || n || ' != state ' || event_id % 10 END, CASE WHEN said <> 12 THEN 'equation (11, 6) != state (12, 6)' END) AS reasons FROM f) SELECT event_id, reasons = '' AS ok, reasons FROM r""")
 def faith_check(spark, sf_dir):
-    """Lines written from events, some wrong on purpose, against their facts."""
-    e = _t(spark, sf_dir, "events").withColumn("event", _phrase())
-    runs = F.floor(F.col("value")).cast("string")
-    state = F.concat(F.lit("x | A "), runs, F.lit("/"), F.pmod("event_id", F.lit(10)).cast("string"), F.lit(" | need 12 off 6"))
-    line = F.concat(F.when(F.pmod("event_id", F.lit(3)) == 0, "A huge six! ").otherwise("Worked away. "), F.lit("A "), runs, F.lit("/"), F.pmod("event_id", F.lit(7)).cast("string"), F.lit(", 12 needed off the last 6"))
-    return e.select("event_id", textcheck.check(line, F.col("event"), state).alias("c")).select("event_id", "c.ok", F.array_join("c.reasons", "; ").alias("reasons"))
+    """Lines against their facts: whether they hold, and every reason why not."""
+    return _facts(spark, sf_dir).select("event_id", textcheck.check(F.col("line"), F.col("event"), F.col("state")).alias("c")).select("event_id", "c.ok", F.array_join("c.reasons", "; ").alias("reasons"))
+
+
+@query(f"{_FACTS} SELECT event_id, six AND place <> 8 AS six, four, n::BIGINT AS fallen, said::BIGINT AS need, 6::BIGINT AS balls FROM f")
+def line_claims(spark, sf_dir):
+    """What lines claim, one claim at a time."""
+    low = F.lower("line")
+    f = _facts(spark, sf_dir).select("event_id", textcheck.calls_shot(low, "six").alias("six"), textcheck.calls_shot(low, "four").alias("four"), textcheck.wicket_count(low).cast("long").alias("fallen"), textcheck.equation(F.col("line")).alias("q"))
+    return f.select("event_id", "six", "four", "fallen", F.col("q.a").cast("long").alias("need"), F.col("q.b").cast("long").alias("balls"))
 
 
 @query("""SELECT conv_id, string_agg('<' || role || '>' || coalesce(text, ''), '' ORDER BY turn) AS chat, len(list(turn)) AS n,
@@ -279,7 +306,7 @@ def system_score(spark, sf_dir):
     SELECT t.rate - b.rate >= 0.05 AS passed, CASE WHEN t.rate - b.rate < 0.05 THEN 'margin' ELSE 'passed' END AS reason FROM s t, s b WHERE t.lang = 'en' AND b.lang = 'de'""")
 def release_gate(spark, sf_dir):
     s = system_score(spark, sf_dir).select("lang", (F.col("good") / F.col("n")).alias("rate"), F.lit(0.6).alias("distinct_2"), F.lit(0.05).alias("duplicate_rate"))
-    return metrics.gate(s.where("lang = 'en'"), s.where("lang = 'de'"))
+    return metrics.gate(s.where("lang = 'en'"), s.where("lang = 'de'")).select("passed", "reason")
 
 
 _COST = "((length(props) * 3.0::DOUBLE + event_id % 100 * 3.0::DOUBLE * 0.1::DOUBLE + event_id % 7 * 3.0::DOUBLE * 2.0::DOUBLE + event_id % 50 * 15.0::DOUBLE) / 1000000.0::DOUBLE)"

@@ -1,26 +1,63 @@
-"""Sinks: record files, split files, snapshots without dropped rows, manifests."""
+"""Sinks: record files, split files, snapshots without dropped rows, manifests, push plans."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
+
+
+def _sorted(c: Column, kind: DataType) -> Column:
+    """A column with the fields and string keys of all its levels in alphabetical order."""
+    if isinstance(kind, StructType):
+        fields = sorted(kind.fields, key=lambda f: f.name)
+        return F.when(c.isNotNull(), F.struct(*(_sorted(c.getField(f.name), f.dataType).alias(f.name) for f in fields)))
+    if isinstance(kind, ArrayType):
+        return F.transform(c, lambda x: _sorted(x, kind.elementType))
+    if isinstance(kind, MapType):
+        entries = F.array_sort(F.map_entries(c), lambda a, b: F.when(a.key < b.key, -1).when(a.key > b.key, 1).otherwise(0))
+        return F.map_from_entries(F.transform(entries, lambda e: F.struct(e.key, _sorted(e.value, kind.valueType))))
+    return c
 
 
 def canonical_json(df: DataFrame, columns: list[str] | None = None) -> Column:
-    """Compact JSON with sorted keys (of the top level as given) and nulls kept."""
-    return F.to_json(F.struct(*sorted(columns or df.columns)), {"ignoreNullFields": "false"})
+    """Compact JSON with keys sorted at all levels and nulls kept."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    return F.to_json(F.struct(*(_sorted(F.col(f"`{c}`"), kinds[c]).alias(c) for c in sorted(columns or df.columns))), {"ignoreNullFields": "false"})
 
 
 def write_records(records: DataFrame, path: str) -> None:
     records.write.mode("overwrite").partitionBy("match_id").parquet(path)
 
 
-def write_json_lines(df: DataFrame, path: str) -> None:
-    df.select(canonical_json(df).alias("value")).write.mode("overwrite").text(path)
+def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    df.select(canonical_json(df).alias("value")).write.mode(mode).text(path)
+
+
+def append_pairs(pairs: DataFrame, path: str) -> None:
+    """Add pairs to what is there, a folder for each persona."""
+    pairs.write.mode("append").partitionBy("persona").json(path)
+
+
+def write_splits(examples: DataFrame, path: str, stats: DataFrame | None = None, splits: tuple[str, ...] = ("train", "val", "test")) -> None:
+    """path/<split>.jsonl for each split, also an empty one, ordered by match, ball and persona as strings; stats as path/stats.json.
 
+    Each split is sorted by ranges, so its files follow each other in order.
+    """
+    for split in splits:
+        own = examples.where(F.col("split") == split)
+        own.orderBy("match_id", "ball_id", "persona").select(canonical_json(own).alias("value")).write.mode("overwrite").text(f"{path}/{split}.jsonl")
+    if stats is not None:
+        stats.select(canonical_json(stats).alias("value")).coalesce(1).write.mode("overwrite").text(f"{path}/stats.json")
 
-def write_splits(examples: DataFrame, path: str) -> None:
-    examples.sortWithinPartitions("match_id", "ball_id", "persona").write.mode("overwrite").partitionBy("split").json(path)
+
+def write_catalog(catalog: DataFrame, path: str, competition: str) -> None:
+    """One line of compact JSON: the competition and its seasons in order. A catalog has a row a season."""
+    seasons = F.sort_array(F.collect_list(F.struct("season", F.concat(F.lit("IPL "), "season").alias("label"), "champion", "matches")))
+    one = catalog.agg(F.lit(competition).alias("competition"), seasons.alias("seasons"))
+    one.select(F.to_json(F.struct("competition", "seasons"), {"ignoreNullFields": "false"}).alias("value")).coalesce(1).write.mode("overwrite").text(path)
 
 
 def snapshot_without(rows: DataFrame, dropped: DataFrame, keys: list[str], path: str) -> None:
@@ -38,6 +75,11 @@ def load_manifest(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+def save_manifest(manifest: DataFrame, path: str) -> None:
+    """Write a manifest where none is; a later one goes to a new path, since what is read is never overwritten."""
+    manifest.write.mode("errorifexists").parquet(path)
+
+
 def upsert(manifest: DataFrame, marks: DataFrame, key: str) -> DataFrame:
     """The last mark of each key wins."""
     both = manifest.withColumn("__at", F.lit(0)).unionByName(marks.withColumn("__at", F.lit(1)))
@@ -56,3 +98,18 @@ def needs_build(hashes: DataFrame, manifest: DataFrame, outputs: DataFrame, forc
 def pending(items: DataFrame, manifest: DataFrame, keys: list[str]) -> DataFrame:
     """Items without any status; a failed one counts as done."""
     return items.join(manifest.select(*keys), keys, "left_anti")
+
+
+@dataclass(frozen=True)
+class PushPlan:
+    repository: str
+    files: list[str]
+    private: bool = True
+
+
+def plan_push(spark: SparkSession, folder: str, repository: str, private: bool = True) -> PushPlan:
+    """What a push would send: the names that end in .jsonl right under a folder, in order. Sending is the caller's."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in store.listStatus(path)] if store.exists(path) else []
+    return PushPlan(repository, sorted(n for n in names if n.endswith(".jsonl")), private)

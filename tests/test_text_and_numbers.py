@@ -27,11 +27,6 @@ CASES = [
 ]
 
 
-@pytest.mark.parametrize(("line", "event", "state", "reasons"), CASES)
-def test_contradictions(line, event, state, reasons):
-    assert textcheck.contradictions(line, event, state) == reasons
-
-
 def test_check_on_columns(spark):
     df = spark.createDataFrame([(*c[:3], i) for i, c in enumerate(CASES)] + [(None, None, None, 99)], "l string, e string, s string, i int")
     got = {r.i: list(r.c.reasons) for r in df.select("i", textcheck.check(F.col("l"), F.col("e"), F.col("s")).alias("c")).collect()}
@@ -74,7 +69,7 @@ def test_examples_and_verdicts(spark):
     pairs = spark.createDataFrame([("m", "0-0-1", "plain", "four", "e", "s", "c")], "match_id string, ball_id string, persona string, bucket string, event string, state string, commentary string")
     row = dataset.examples(pairs, {"plain": "Be plain."}).first()
     assert [m.content for m in row.messages] == ["Be plain.", "BALL: e\nSTATE: s", "c"]
-    answers = spark.createDataFrame([('ok {"faithful": true, "severity": "none", "confidence": "high"} x',), ('{"faithful": true, "severity": "odd", "confidence": "high"}',), ("none",)], "a string")
+    answers = spark.createDataFrame([('ok {"faithful": true, "severity": "major", "confidence": "high", "failure_modes": [], "persona_match": true, "explanation": ""} x',), ('{"faithful": true, "severity": "moderate", "confidence": "high", "failure_modes": [], "persona_match": true, "explanation": ""}',), ("none",)], "a string")
     assert [r.v is not None for r in answers.select(effects.parse_verdict(F.col("a")).alias("v")).collect()] == [True, False, False]
 
 
