@@ -13,8 +13,8 @@ import xxhash
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 
-#: Rows per Arrow batch; with the long tail of document sizes this keeps a batch near 10 MB.
-ARROW_ROWS = 2000
+#: Rows and bytes per Arrow batch; with the usual tail of document sizes a batch is near 10 MB.
+ARROW_ROWS, ARROW_BYTES = 2000, 64 << 20
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _tables: list[tuple] = []
@@ -28,6 +28,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (env.get("PYTHONPATH"), root) if x)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
     return spark
 
 

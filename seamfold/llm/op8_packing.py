@@ -23,8 +23,8 @@ from seamfold.llm.tokens import encoder
 
 ROOM = 1024
 END = 2
-#: Parts that the pieces of one length are ranked in.
-PARTS = 256
+#: Pieces of one length that are ranked together, about.
+RANKED = 1_000_000
 
 
 class RoomTree:
@@ -112,7 +112,7 @@ def pieces(docs: DataFrame, room: int = ROOM, end: int | None = END, tokenizer:
     """(doc_id, piece, start, length, ids_crc32): the token sequences of docs, cut only where longer than room.
 
     All pieces but the first are of length room. A null text counts as empty; with no
-    end token an empty text has no piece.
+    end token an empty text has no piece. Repeated rows and null ids are cut like all others; no rows give none.
     """
     prepare(docs.sparkSession)
 
@@ -143,23 +143,28 @@ def pack(docs: DataFrame, room: int = ROOM, end: int | None = END, tokenizer: st
     """
     spark = prepare(docs.sparkSession)
     cut = scratch(pieces(docs, room, end, tokenizer, id_col, text_col), "pieces")
-    part = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(PARTS)).cast("int")
-    sizes = cut.groupBy("length", part.alias("part")).count().collect()  # at most room * PARTS rows
-    counts = np.zeros((room + 1, PARTS), np.int64)
-    for r in sizes:
-        counts[r["length"], r["part"]] = r["count"]
-    before = np.cumsum(counts, axis=1) - counts
-    steps, _ = plan({n: int(c) for n, c in enumerate(counts.sum(axis=1)) if c}, room)
+    histogram = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}  # at most room rows
+    parts = np.array([1 + histogram.get(n, 0) // RANKED for n in range(room + 1)])
+    first = np.concatenate([[0], np.cumsum(parts)])
+    own = F.get(F.array(*(F.lit(int(n)) for n in parts)), F.col("length").cast("int"))
+    part = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), own).cast("int")
+    counts = np.zeros(int(first[-1]), np.int64)
+    for r in cut.groupBy("length", part.alias("part")).count().collect():  # a row for each RANKED pieces, and room more
+        counts[first[r["length"]] + r["part"]] = r["count"]
+    # how many pieces of a length the parts before one have
+    before = np.cumsum(counts) - counts
+    before -= np.repeat(before[first[:-1]], parts)
+    steps, _ = plan(histogram, room)
     table = np.array([(s.length, s.first, s.last, s.each, s.bin, s.offset) for s in steps], np.int64).reshape(-1, 6)
     table = table[np.lexsort((table[:, 1], table[:, 0]))]
-    shared = send(spark, (before, table))
+    shared = send(spark, (before, first, table))
     ranked = cut.withColumn("part", part).withColumn("rank", F.row_number().over(Window.partitionBy("length", "part").orderBy("doc_id", "piece", "ids_crc32")) - 1)
 
     def place(batches):
-        before, table = shared.value
+        before, first, table = shared.value
         for batch in batches:
             length, part, rank = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (3, 5, 6))
-            rank = rank + before[length, part]
+            rank = rank + before[first[length] + part]
             # steps of one length follow each other by rank: one search over (length, rank) pairs
             key = table[:, 0] << np.int64(44) | table[:, 1]
             s = table[np.searchsorted(key, length << np.int64(44) | rank, side="right") - 1]

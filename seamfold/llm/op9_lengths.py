@@ -14,7 +14,10 @@ BLOCK = 1024
 
 
 def length_histogram(docs: DataFrame, tokenizer: str | None = None, text_col: str = "text") -> DataFrame:
-    """(n_tokens, n_docs): how many rows of docs encode to so many tokens. Null texts count as empty."""
+    """(n_tokens, n_docs): how many rows of docs encode to so many tokens.
+
+    Null texts count as empty, repeated rows each time; other columns are ignored; no rows give none.
+    """
     prepare(docs.sparkSession)
 
     def run(batches):

@@ -16,10 +16,11 @@ PLAIN = re.compile(r"[\t\n\x20-\x7e¡-¬®-±´-¸»¿-ɏ]*")
 
 
 class Encoder:
-    """ids(text): what the tokenizers library gives for the vocabulary file, special tokens' strings being text.
+    """ids(text): what the tokenizers library gives for the vocabulary file, without adding special tokens.
 
-    Plain texts go through the rank file of the same vocabulary, where there is one,
-    which is faster; all others through the library itself.
+    A special token's string within a text is that token. Plain texts without such a string go
+    through the rank file of the same vocabulary, where there is one, which is faster; all
+    others through the library itself.
     """
 
     def __init__(self, path: str | None = None) -> None:
@@ -27,7 +28,7 @@ class Encoder:
         import tokenizers
 
         self.slow = tokenizers.Tokenizer.from_file(path or public_tokenizers.path(VOCABULARY))
-        self.slow.encode_special_tokens = True
+        self.special = [t.content for t in self.slow.get_added_tokens_decoder().values()]
         self.fast = None
         if path is None:
             import tiktoken
@@ -38,7 +39,7 @@ class Encoder:
 
     def ids(self, text: str | None) -> np.ndarray:
         text = text or ""
-        if self.fast is not None and PLAIN.fullmatch(text):
+        if self.fast is not None and PLAIN.fullmatch(text) and not any(t in text for t in self.special):
             return self.fast.encode_to_numpy(text).astype("<u4")
         return np.array(self.slow.encode(text, add_special_tokens=False).ids, "<u4")
 

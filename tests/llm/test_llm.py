@@ -520,10 +520,28 @@ def encode(text):
     import tokenizers
 
     t = tokenizers.Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     return t.encode(text or "", add_special_tokens=False).ids
 
 
+def test_special_tokens_are_read_as_the_library_reads_them():
+    from seamfold.llm.tokens import encoder
+
+    for text in ("<|endoftext|> hi", "a<|endoftext|>b", "<|endoftext", "plain", "Ünï 漢<|endoftext|>", ""):
+        assert encoder().ids(text).tolist() == encode(text)
+    assert 50256 in encode("a<|endoftext|>b")
+
+
+def test_packing_ranks_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(op8_packing, "RANKED", 3)
+    got = op8_packing.pack(frame(spark, [(i % 7, "same words here" if i % 3 else "x") for i in range(60)])).collect()
+    places = sorted((r.sequence_id, r.offset, r.length) for r in got)
+    assert len(got) == len(set(places)) == 60
+    for a, b in itertools.pairwise(places):
+        assert b[1] == (a[1] + a[2] if a[0] == b[0] else 0)
+    lengths = [r.length for r in got]
+    assert len({r.sequence_id for r in got}) == len(best_fit(lengths, 1024))
+
+
 def test_packing(spark):
     got = op8_packing.pack(frame(spark)).collect()
     seq = collections.defaultdict(list)
