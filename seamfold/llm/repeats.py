@@ -70,6 +70,9 @@ def repeated(df: DataFrame, keys_of: Callable[[pa.RecordBatch], Iterator[np.ndar
 
         def flush():
             keys = np.sort(np.concatenate(held))
+            # a key that is held more often than any level asks for counts as much with fewer
+            most = max(levels)
+            keys = keys[np.concatenate([np.ones(min(most, len(keys)), bool), keys[most:] != keys[:-most]])]
             ends = np.searchsorted(keys, (np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)))
             cuts = np.concatenate([[0], ends, [len(keys)]])
             rest = ((keys >> np.uint64(32 - bits)) & _LOW32).astype(np.uint32)

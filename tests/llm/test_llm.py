@@ -73,6 +73,15 @@ def test_jaccard_components_match_brute_force(spark):
         assert r.doc_id is None or r.n_shingles in [len(s) for s in sets[r.doc_id]]
 
 
+def test_jaccard_keeps_every_set_of_a_repeated_id(spark):
+    near = lambda t: " ".join(t.split()[:-1] + ["other"])
+    a, b, c = (" ".join(words(60)) for _ in range(3))
+    rows = [(3, a), (3, b), (10, near(a)), (11, near(b)), (12, c), (13, near(c)), (3, None), (None, a), (20, "one two"), (21, "one two"), (20, a)]
+    got = sorted((r.doc_id or 0, r.n_shingles > 0, r.component_id) for r in op3_jaccard.jaccard_components(frame(spark, rows), links=False).collect())
+    assert got == sorted([(3, True, 3), (3, True, 3), (10, True, 3), (11, True, 3), (12, True, 12), (13, True, 12), (3, False, 3), (0, True, None), (20, True, 3), (21, True, 3), (20, True, 3)])
+    assert op3_jaccard.jaccard_components(frame(spark, [])).count() == 0
+
+
 def test_jaccard_counts_every_link(spark, monkeypatch):
     monkeypatch.setattr(setjoin, "MANY", 7)
     rng = random.Random(11)
