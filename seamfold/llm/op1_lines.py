@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from seamfold.llm.core import as_long, drop, mix, prepare, scratch, send
+from seamfold.llm.core import as_long, drop, mix, prepare, scratch, send, trimmed
 from seamfold.llm.graph import UnionFind, components
 from seamfold.llm.repeats import repeated
 from seamfold.llm.setjoin import both_counts, count, few_counts, verify
@@ -183,7 +183,7 @@ def _signed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
                 seen.clear()
             yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(rows, pa.int64()), pa.array(place, pa.int32()), pa.array([len(x) for x in lines], pa.int64()), pa.array(codes, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(texts, pa.binary())], names=names)
 
-    signed = scratch(docs.mapInArrow(sign, "doc_id long, row long, line int, n_chars long, node long, keys array<long>, text binary"), "signed")
+    signed = scratch(docs.mapInArrow(trimmed(sign), "doc_id long, row long, line int, n_chars long, node long, keys array<long>, text binary"), "signed")
 
     def keys_of(batch):
         yield batch.column(0).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
@@ -273,7 +273,7 @@ def _linked(sharing: DataFrame, num: int, den: int) -> DataFrame:
     left = home.join(mixed.select("head", F.ceil(F.col("n") / MANY).cast("int").alias("blocks")), "head").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     left = left.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("head", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "component", "node")
     rows = left.join(sharing.select("node", "text"), "node").select("head", "lo", "hi", "block", "component", "text").repartition("head", "lo", "hi").sortWithinPartitions("head", "lo", "hi")
-    joined = components(rows.mapInArrow(_search(num, den), "a long, b long"))
+    joined = components(rows.mapInArrow(trimmed(_search(num, den)), "a long, b long"))
     near = near.unionByName(joined.select("node", F.col("node").alias("component")).join(near.select("node"), "node", "left_anti"))
     further = joined.select(F.col("node").alias("component"), F.col("component").alias("whole"))
     return near.join(further, "component", "left").select("node", F.coalesce("whole", "component").alias("component"))

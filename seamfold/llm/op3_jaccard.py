@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seamfold.llm.core import as_long, ngrams, prepare, scratch, send, word_hashes
+from seamfold.llm.core import as_long, ngrams, prepare, scratch, send, trimmed, word_hashes
 from seamfold.llm.graph import components
 from seamfold.llm.repeats import may_hold, members, repeated
 from seamfold.llm.setjoin import LONG, degrees, link, postings, rare_prefix
@@ -71,7 +71,7 @@ def jaccard_components(docs: DataFrame, words: int = 4, num: int = 85, den: int
                 places.append(at)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(places, pa.list_(pa.int64()))], names=["doc_id", "n", "digest", "keys", "places"])
 
-    outlines = scratch(docs.mapInArrow(outline, "doc_id long, n long, digest binary, keys array<long>, places array<long>").withColumn("node", F.xxhash64("digest")), "outlines")
+    outlines = scratch(docs.mapInArrow(trimmed(outline), "doc_id long, n long, digest binary, keys array<long>, places array<long>").withColumn("node", F.xxhash64("digest")), "outlines")
     named = outlines.where("digest is not null and doc_id is not null")
     groups = scratch(named.groupBy("node").agg(F.min("doc_id").alias("first")), "groups")
     heads = named.where("size(keys) > 0").join(groups.select("node", F.col("first").alias("doc_id")), ["node", "doc_id"], "left_semi").dropDuplicates(["node"])
@@ -86,10 +86,10 @@ def jaccard_components(docs: DataFrame, words: int = 4, num: int = 85, den: int
             for batch in batches:
                 ids = batch.column(0)
                 at = np.flatnonzero(may_hold(ids_of.value, ids.fill_null(-1).to_numpy(zero_copy_only=False)) & ids.is_valid().to_numpy(zero_copy_only=False))
-                keys = [shingles(batch.column(1)[int(i)].as_py(), words) for i in at]
-                yield pa.RecordBatch.from_arrays([ids.take(pa.array(at)), pa.array([_digest(k) for k in keys], pa.binary()), pa.array([k.tobytes() for k in keys], pa.binary())], names=["first", "digest", "keys"])
+                made = [(_digest(k), k.tobytes()) for k in (shingles(batch.column(1)[int(i)].as_py(), words) for i in at)]
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array(at)), *(pa.array([m[i] for m in made], pa.binary()) for i in (0, 1))], names=["first", "digest", "keys"])
 
-        made = docs.mapInArrow(sets, "first long, digest binary, keys binary").where("digest is not null")
+        made = docs.mapInArrow(trimmed(sets), "first long, digest binary, keys binary").where("digest is not null")
         return made.select(F.xxhash64("digest").alias("node"), "first", "keys").join(wanted, ["node", "first"], "left_semi").dropDuplicates(["node"]).select("node", "keys")
 
     found, sets = link(posts, load_sets, num, den)

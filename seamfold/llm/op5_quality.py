@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seamfold.llm.core import mix, prepare, send, word_hashes
+from seamfold.llm.core import mix, prepare, send, trimmed, word_hashes
 
 BITS = 18
 SLOTS = 1 << BITS
@@ -142,7 +142,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int =
         return pa.table({"part": pa.array([table["part"][0].as_py()], pa.int32()), "counts": pa.array([counts.tobytes()], pa.binary()), "n0": pa.array([sum(table["n0"].to_pylist())], pa.int64()), "n1": pa.array([sum(table["n1"].to_pylist())], pa.int64())})
 
     ddl = "part int, counts binary, n0 long, n1 long"
-    parts = sorted(rows.select("text", "label").mapInArrow(count, ddl).groupBy("part").applyInArrow(total, ddl).collect())  # _PARTS rows
+    parts = sorted(rows.select("text", "label").mapInArrow(trimmed(count), ddl).groupBy("part").applyInArrow(total, ddl).collect())  # _PARTS rows
     if not parts or not parts[0]["n0"] or not parts[0]["n1"]:
         one = bool(parts) and parts[0]["n1"] > 0
         return Model(b=0.0 if not parts else 4.0 if one else -4.0)
@@ -165,7 +165,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int =
         model = learn(sample.sort_by("doc_id"), shared.value)
         return pa.table({"weight": pa.array([model.weight.tobytes()], pa.binary()), "a": [model.a], "b": [model.b]})
 
-    sample = drawn.select("doc_id", "text", "label").mapInArrow(take, "doc_id long, label int, slots binary")
+    sample = drawn.select("doc_id", "text", "label").mapInArrow(trimmed(take), "doc_id long, label int, slots binary")
     fitted = sample.withColumn("one", F.lit(0)).groupBy("one").applyInArrow(train, "weight binary, a double, b double").first()
     if fitted is None:  # no row was drawn
         return Model(b=0.0)

@@ -15,8 +15,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from seamfold.llm.core import mix, trimmed
+
 #: Keys that a task holds before it sends them on.
-FLUSH = 1 << 21
+FLUSH = 1 << 20
 _ODD = (np.uint64(0x9E3779B1), np.uint64(0x85EBCA77), np.uint64(0xC2B2AE3D))
 _LOW32 = np.uint64(0xFFFFFFFF)
 
@@ -100,7 +102,7 @@ def repeated(df: DataFrame, keys_of: Callable[[pa.RecordBatch], Iterator[np.ndar
 
     ddl = lambda s: ", ".join(f"{f.name} {'int' if pa.types.is_integer(f.type) else 'binary'}" for f in s)
     # at most 2**bits rows and 2**total_bits bits a level
-    rows = df.mapInArrow(send, ddl(schema)).groupBy("bucket").applyInArrow(count, ddl(out)).collect()
+    rows = df.mapInArrow(trimmed(send), ddl(schema)).groupBy("bucket").applyInArrow(count, ddl(out)).collect()
     filters = []
     for i in range(len(levels)):
         shift, offset = np.full(1 << bits, 64, np.uint64), np.zeros(1 << bits, np.uint64)
@@ -116,8 +118,6 @@ def repeated(df: DataFrame, keys_of: Callable[[pa.RecordBatch], Iterator[np.ndar
 
 def members(df: DataFrame, column: str, total_bits: int = 28) -> Filter:
     """A filter of the values of a long column of distinct values."""
-    from seamfold.llm.core import mix
-
     def keys(batch):
         yield mix(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
 
@@ -125,6 +125,4 @@ def members(df: DataFrame, column: str, total_bits: int = 28) -> Filter:
 
 
 def may_hold(f: Filter, values: np.ndarray) -> np.ndarray:
-    from seamfold.llm.core import mix
-
     return f.contains(mix(np.asarray(values, np.int64).view(np.uint64)))

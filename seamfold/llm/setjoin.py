@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seamfold.llm.core import scratch
+from seamfold.llm.core import scratch, trimmed
 from seamfold.llm.graph import components
 from seamfold.llm.repeats import Filter
 
@@ -170,7 +170,7 @@ def verify(pairs: DataFrame, sets: DataFrame, num: int, den: int, decode: Callab
     others = dealt.join(sets.select(F.col("node").alias("b"), "keys"), "b").select("a", "s", F.lit(1).alias("role"), F.col("b").alias("node"), "keys")
     queries = dealt.select("a", "s").distinct().join(sets.select(F.col("node").alias("a"), "keys"), "a").select("a", "s", F.lit(0).alias("role"), F.col("a").alias("node"), "keys")
     rows = others.unionByName(queries).repartition("a", "s").sortWithinPartitions("a", "s", "role")
-    return rows.mapInArrow(_searcher(num, den, decode, finder), "a long, b long, both long")
+    return rows.mapInArrow(trimmed(_searcher(num, den, decode, finder)), "a long, b long, both long")
 
 
 def rare_prefix(keys: np.ndarray, some: Filter, often: Filter, num: int, den: int, hashed: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, int]:
