@@ -112,9 +112,9 @@ def _spans(flags: np.ndarray, cut: np.ndarray) -> Iterator[tuple[int, int]]:
 
 
 def repeated_windows(docs: DataFrame, window: int = 13) -> DataFrame:
-    """(mark, spots): starts of the windows that a document with a smaller id has.
+    """(mark, doc_id, spots): starts of the windows that a document with a smaller id has.
 
-    docs: (doc_id, text, mark), mark telling rows with different ids or texts apart.
+    docs: (doc_id, text, mark), mark telling rows of one id with different texts apart.
     """
     spark = prepare(docs.sparkSession)
 
@@ -173,8 +173,8 @@ def repeated_windows(docs: DataFrame, window: int = 13) -> DataFrame:
 
     owned = contents.select("shard", "words", "first").repartition("shard").sortWithinPartitions("shard", "first").mapInArrow(match, "shard long, code long, owners array<long>")
     spots = F.filter(F.transform("owners", lambda o, i: F.when(o < F.col("doc_id"), F.col("start") + i)), lambda x: x.isNotNull())
-    late = sent.drop("words").join(owned, ["shard", "code"]).select("mark", spots.alias("spots")).where("size(spots) > 0")
-    return late.groupBy("mark").agg(F.flatten(F.collect_list("spots")).alias("spots"))
+    late = sent.drop("words").join(owned, ["shard", "code"]).select("mark", "doc_id", spots.alias("spots")).where("size(spots) > 0")
+    return late.groupBy("mark", "doc_id").agg(F.flatten(F.collect_list("spots")).alias("spots"))
 
 
 def _signed(x: int) -> int:
@@ -189,16 +189,16 @@ def remove_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id", te
     smaller id goes, windows being those of the input. kept is what stays, joined by
     one space, as UTF-8. Null and empty texts have no words; shorter texts have no
     window; rows with a null id keep all words and own none. Rows that repeat an id
-    are held against smaller ids only, each for itself. Other columns are ignored. No
-    rows give no rows.
+    are held against smaller ids only, each for itself, told apart by a 64-bit hash of
+    the text. Other columns are ignored. No rows give no rows.
     """
     spark = prepare(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).withColumn("mark", F.xxhash64("doc_id", "text"))
     outlines = docs.where("doc_id is not null and text is not null").select("doc_id", "mark", F.md5("text").alias("digest"))
     earliest = outlines.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
-    copies = scratch(outlines.join(earliest, "digest").where("doc_id > first").select("mark").distinct(), "copies")
+    copies = scratch(outlines.join(earliest, "digest").where("doc_id > first").select("mark", "doc_id").distinct(), "copies")
     copies = F.broadcast(copies) if copies.count() <= BROADCAST_COPIES else copies
-    firsts, copied = docs.join(copies, "mark", "left_anti").select(docs.columns), docs.join(copies, "mark", "left_semi").select(docs.columns)
+    firsts, copied = (docs.join(copies, ["mark", "doc_id"], how).select(docs.columns) for how in ("left_anti", "left_semi"))
     late = scratch(repeated_windows(firsts, window), "late")
     touched = send(spark, members(late, "mark"))
     names = ["doc_id", "n_words", "n_removed", "kept"]
@@ -240,5 +240,5 @@ def remove_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id", te
             yield rows(batch, all_words, removed, kept)
 
     ddl = "doc_id long, n_words long, n_removed long, kept binary"
-    joined = firsts.mapInArrow(taken, docs.schema).join(late, "mark", "left").select("doc_id", "text", "spots")
+    joined = firsts.mapInArrow(taken, docs.schema).join(late, ["mark", "doc_id"], "left").select("doc_id", "text", "spots")
     return firsts.mapInArrow(whole, ddl).unionByName(joined.mapInArrow(drop, ddl)).unionByName(copied.mapInArrow(gone, ddl))
