@@ -17,6 +17,8 @@ yet connected is left out, and no such pair is ever a row.
 
 from __future__ import annotations
 
+import struct
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -150,18 +152,21 @@ def band_keys(lines: list[str]) -> list[np.ndarray]:
     return out
 
 
-def _code(line: str) -> int:
-    x = xxhash.xxh3_64_intdigest(line.encode("utf-8", "surrogatepass"))
-    return x - (1 << 64) if x >> 63 else x
+def _codes(line: str) -> tuple[int, int]:
+    """The two halves of a 128-bit hash."""
+    return struct.unpack("<qq", xxhash.xxh3_128_digest(line.encode("utf-8", "surrogatepass")))
 
 
 def _signed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The lines (doc_id, row, line, n_chars, node) of docs, and (node, keys, text) of those that share a band with another."""
+    """The lines (doc_id, row, line, n_chars, node, check) of docs, and (node, check, keys, text) of those that share a band with another.
+
+    node and check together tell lines apart; of lines with one node, one is searched.
+    """
     spark = prepare(docs.sparkSession)
 
     def sign(batches):
-        names = ["doc_id", "row", "line", "n_chars", "node", "keys", "text"]
-        seen: set[int] = set()
+        names = ["doc_id", "row", "line", "n_chars", "node", "check", "keys", "text"]
+        seen: set[tuple[int, int]] = set()
         for batch in batches:
             doc, rows, place, lines, codes = [], [], [], [], []
             for d, r, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -171,7 +176,7 @@ def _signed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
                         rows.append(r)
                         place.append(i)
                         lines.append(line)
-                        codes.append(_code(line))
+                        codes.append(_codes(line))
             # a line that this task has signed already needs no second signature
             new = [i for i, c in enumerate(codes) if not (c in seen or seen.add(c))]
             keys: list = [None] * len(lines)
@@ -181,9 +186,9 @@ def _signed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
                 texts[i] = lines[i].encode("utf-8", "surrogatepass")
             if len(seen) > 1_000_000:
                 seen.clear()
-            yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(rows, pa.int64()), pa.array(place, pa.int32()), pa.array([len(x) for x in lines], pa.int64()), pa.array(codes, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(texts, pa.binary())], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(rows, pa.int64()), pa.array(place, pa.int32()), pa.array([len(x) for x in lines], pa.int64()), *(pa.array([c[i] for c in codes], pa.int64()) for i in (0, 1)), pa.array(keys, pa.list_(pa.int64())), pa.array(texts, pa.binary())], names=names)
 
-    signed = scratch(docs.mapInArrow(trimmed(sign), "doc_id long, row long, line int, n_chars long, node long, keys array<long>, text binary"), "signed")
+    signed = scratch(docs.mapInArrow(trimmed(sign), "doc_id long, row long, line int, n_chars long, node long, check long, keys array<long>, text binary"), "signed")
 
     def keys_of(batch):
         yield batch.column(0).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
@@ -192,16 +197,16 @@ def _signed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     def shared(batches):
         for batch in batches:
-            column = batch.column(1)
+            column = batch.column(2)
             keys = column.flatten().to_numpy(zero_copy_only=False)
             size = np.diff(column.offsets.to_numpy())
             hit = some.value.contains(keys.view(np.uint64))
             n = np.bincount(np.repeat(np.arange(len(size)), size)[hit], minlength=len(size)) if len(size) else size
             held = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(keys[hit]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), held, batch.column(2)], names=["node", "keys", "text"]).filter(pa.array(n > 0))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), held, batch.column(3)], names=["node", "check", "keys", "text"]).filter(pa.array(n > 0))
 
-    lines = scratch(signed.select("doc_id", "row", "line", "n_chars", "node"), "lines")
-    sharing = scratch(signed.where("keys is not null").select("node", "keys", "text").mapInArrow(shared, "node long, keys array<long>, text binary").dropDuplicates(["node"]), "sharing")
+    lines = scratch(signed.select("doc_id", "row", "line", "n_chars", "node", "check"), "lines")
+    sharing = scratch(signed.where("keys is not null").select("node", "check", "keys", "text").mapInArrow(shared, "node long, check long, keys array<long>, text binary").dropDuplicates(["node"]), "sharing")
     drop(signed)
     return lines, sharing
 
@@ -282,13 +287,13 @@ def _linked(sharing: DataFrame, num: int, den: int) -> DataFrame:
 def _components(docs: DataFrame, num: int, den: int) -> DataFrame:
     """What line_components returns, and row, which tells texts with equal ids apart."""
     lines, sharing = _signed(docs.select("doc_id", F.xxhash64("text").alias("row"), "text"))
-    found = _linked(sharing, num, den)
-    firsts = lines.groupBy("node").agg(F.min(F.struct("doc_id", "line")).alias("first"))
-    placed = scratch(found.join(firsts, "node"), "placed")
+    found = _linked(sharing, num, den).join(sharing.select("node", "check"), "node")
+    firsts = lines.groupBy("node", "check").agg(F.min(F.struct("doc_id", "line")).alias("first"))
+    placed = scratch(found.join(firsts, ["node", "check"]), "placed")
     owner = placed.groupBy("component").agg(F.min("first").alias("keep"))
-    moved = placed.join(owner, "component").select("node", "keep")
-    whole = firsts.join(moved, "node", "left").select("node", F.coalesce("keep", "first").alias("keep"))
-    out = lines.join(whole, "node").select("doc_id", "row", "line", "n_chars", F.col("keep.doc_id").alias("keep_doc"), F.col("keep.line").alias("keep_line"))
+    moved = placed.join(owner, "component").select("node", "check", "keep")
+    whole = firsts.join(moved, ["node", "check"], "left").select("node", "check", F.coalesce("keep", "first").alias("keep"))
+    out = lines.join(whole, ["node", "check"]).select("doc_id", "row", "line", "n_chars", F.col("keep.doc_id").alias("keep_doc"), F.col("keep.line").alias("keep_line"))
     return out.withColumn("kept", (F.col("doc_id") == F.col("keep_doc")) & (F.col("line") == F.col("keep_line")))
 
 
@@ -302,7 +307,8 @@ def line_components(docs: DataFrame, num: int = 80, den: int = 100, id_col: str
     linked; a line shorter than a shingle is one shingle. Null or empty texts and blank
     lines give no rows, nor do rows with a null id; no rows give none. Rows that repeat an id share their
     place numbers: of them, all lines at a component's first place that belong to it are kept. Other columns are
-    ignored. Lines are told apart by a 64-bit hash.
+    ignored. Lines are told apart by a 128-bit hash. The search for near lines goes by 64
+    bits of it: should two different lines share those, only one of them is held near to others.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("doc_id is not null")
     return _components(docs, num, den).drop("row")

@@ -131,6 +131,19 @@ def test_line_components(spark):
     assert set(kept) == {1, 4, 5, None} and kept[1] == rows[0][1]
 
 
+def test_lines_that_share_half_a_hash_stay_apart(spark, monkeypatch):
+    whole = op1_lines._codes
+
+    def half(line):
+        return 7, whole(line)[1]
+
+    monkeypatch.setattr(op1_lines, "_codes", half)
+    rows = [(1, "the first of two lines"), (2, "quite another thing"), (3, "The first of  two lines"), (4, "quite another thing")]
+    got = {r.doc_id: r.keep_doc for r in op1_lines.line_components(frame(spark, rows)).collect()}
+    assert got == {1: 1, 2: 2, 3: 1, 4: 2}
+    assert {r.doc_id: r.text for r in op1_lines.drop_lines(frame(spark, rows)).collect()} == dict(rows[:2])
+
+
 def test_line_components_of_near_copies_match_brute_force(spark):
     rng = random.Random(5)
     words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 9))) for _ in range(300)]
