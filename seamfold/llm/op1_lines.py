@@ -118,7 +118,12 @@ def _binned(h: np.ndarray, count: np.ndarray) -> np.ndarray:
 
 def _independent(h: np.ndarray, count: np.ndarray) -> np.ndarray:
     starts = np.concatenate([[0], np.cumsum(count)[:-1]])
-    return np.stack([np.minimum.reduceat(h * s ^ (h >> np.uint64(27)) * s, starts) for s in _SEEDS], axis=1)
+    out = np.empty((len(count), _K), np.uint64)
+    high, x, y = h >> np.uint64(27), np.empty_like(h), np.empty_like(h)
+    for i, s in enumerate(_SEEDS):
+        np.bitwise_xor(np.multiply(h, s, out=x), np.multiply(high, s, out=y), out=x)
+        out[:, i] = np.minimum.reduceat(x, starts)
+    return out
 
 
 def _bands(sig: np.ndarray, scheme: int) -> np.ndarray:
