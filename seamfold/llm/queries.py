@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seamfold.llm import op1_lines, op2_decontaminate, op3_jaccard, op4_chat, op5_quality, op6_media, op7_lm, op8_packing, op9_lengths, op10_substrings
+from seamfold.llm import op1_lines, op2_decontaminate, op3_jaccard, op4_chat, op5_quality, op6_media, op7_lm, op8_packing, op9_lengths, op10_substrings, op11_codes, op13_phrases
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,13 +73,21 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_substrings.remove_repeats(_table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11_codes.vector_codes(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13_phrases.phrases(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_decontamination, op3_jaccard_join, op3_jaccard_links, op4_chat_format, op5_quality_classifier, op6_tiff_media, op6_tiff_pages, op7_lm_scores, op8_best_fit_packing, op9_token_counts, op10_substring_dedup, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_decontamination, op3_jaccard_join, op3_jaccard_links, op4_chat_format, op5_quality_classifier, op6_tiff_media, op6_tiff_pages, op7_lm_scores, op8_best_fit_packing, op9_token_counts, op10_substring_dedup, op11_vector_codes, op13_collocations, pipeline)}
 
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 _ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -91,7 +99,46 @@ _EQUAL = " + ".join(f"(d.w[h.i + {k}] = b.w[h.j + {k}])::int" for k in range(_SP
 _ESCAPED = "regexp_replace(replace({0}, '\\', '\\\\'), '(" + "|".join("".join(f"\\{c}" if not c.isalnum() else c for c in x) for x in op4_chat.CONTROL) + ")', 'x\\0', 'g')"
 _MARKS = len(op4_chat.OPEN) + len(op4_chat.BREAK) + len(op4_chat.CLOSE)
 
+#: Parts, entries and rounds of the vector codes.
+_P, _E = 16, 64
+
+
+def _assigned(book: str) -> str:
+    """The nearest entry of each part, and its squared distance."""
+    return f"""SELECT vec_id, part, arg_min(k, d * {_E} + k) AS k, min(d) AS d FROM
+        (SELECT p.vec_id, p.part, b.k, list_sum([(p.x[i] - b.x[i]) * (p.x[i] - b.x[i]) FOR i IN range(1, len(p.x) + 1)])::BIGINT AS d FROM p JOIN {book} b ON p.part = b.part) GROUP BY vec_id, part"""
+
+
+def _replaced(assigned: str, book: str) -> str:
+    """Each entry's parts' mean, rounded down; unused entries stay."""
+    return f"""SELECT b.part, b.k, coalesce(m.x, b.x) AS x FROM {book} b LEFT JOIN (SELECT part, k, list(v ORDER BY i) AS x FROM
+        (SELECT a.part, a.k, i, floor(sum(p.x[i])::DOUBLE / count(*))::BIGINT AS v FROM {assigned} a JOIN p ON a.vec_id = p.vec_id AND a.part = p.part, LATERAL (SELECT unnest(range(1, len(p.x) + 1)) AS i) GROUP BY a.part, a.k, i)
+        GROUP BY part, k) m ON b.part = m.part AND b.k = m.k"""
+
+
+#: Words of pieces, and the phrases of 2 to 3 of them with their counts.
+_PIECES = r"string_split_regex({}, '[.,;:!?\x0A-\x0D]')".format(_ASCII_LOWER)
+
 ORACLES = {
+    "op11_vector_codes": f"""
+        WITH v AS MATERIALIZED (SELECT vec_id, label, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS e FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+             p AS MATERIALIZED (SELECT vec_id, part, e[part * len(e) // {_P} + 1 : (part + 1) * len(e) // {_P}] AS x FROM v, range({_P}) t(part)),
+             b0 AS MATERIALIZED (SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS k, x FROM p WHERE vec_id IN (SELECT vec_id FROM v ORDER BY vec_id LIMIT {_E})),
+             a1 AS MATERIALIZED ({_assigned("b0")}), b1 AS MATERIALIZED ({_replaced("a1", "b0")}), a2 AS MATERIALIZED ({_assigned("b1")}), b2 AS MATERIALIZED ({_replaced("a2", "b1")}), a3 AS MATERIALIZED ({_assigned("b2")}),
+             c AS (SELECT vec_id, string_agg(printf('%02x', k), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM a3 GROUP BY vec_id),
+             s AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, k)) AS codebooks_sha256 FROM b2)
+        SELECT c.vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM c JOIN v ON c.vec_id = v.vec_id, s""",
+    "op13_collocations": f"""
+        WITH piece AS MATERIALIZED (SELECT lang, list_filter(string_split_regex(s, '[\\x20\\x09]+'), lambda w: w <> '') AS w FROM (SELECT coalesce(lang, 'und') AS lang, unnest({_PIECES}) AS s FROM documents)),
+             f AS MATERIALIZED (SELECT lang, p, any_value(k) AS k, count(*) AS n FROM (SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS p FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM piece, (VALUES (1), (2), (3)) t(k))) GROUP BY lang, p),
+             cand AS MATERIALIZED (SELECT lang, p, k, n, string_split(p, ' ') AS w FROM f WHERE k >= 2 AND n >= 10),
+             gone AS (SELECT c.lang, c.p FROM cand c JOIN (SELECT lang, n, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS p FROM cand WHERE k = 3) l ON c.lang = l.lang AND c.p = l.p WHERE 100 * l.n >= 50 * c.n),
+             cut AS (SELECT lang, p, n, j, array_to_string(w[1 : j], ' ') AS x, array_to_string(w[j + 1 :], ' ') AS y FROM (SELECT *, unnest(range(1, k)) AS j FROM cand c ANTI JOIN gone g ON c.lang = g.lang AND c.p = g.p)),
+             scored AS (SELECT c.lang, c.p AS phrase, c.n AS a, x.n AS l, y.n AS r, (c.n::HUGEINT * c.n * 1000000 // (x.n::HUGEINT * y.n))::BIGINT AS score, j FROM cut c JOIN f x ON c.lang = x.lang AND c.x = x.p JOIN f y ON c.lang = y.lang AND c.y = y.p),
+             least AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+             ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM least),
+             total AS (SELECT lang, sum(n)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang)
+        SELECT r.lang, rank, phrase, a, l, r, n, score FROM ranked r JOIN total t ON r.lang = t.lang WHERE rank <= 2000""",
     # windows of 13 words of which 11 are equal have four equal words in a row: the SQL needs no masks
     "op2_decontamination": f"""
         WITH d0 AS (SELECT doc_id, {_CODES} AS w, row_number() OVER () AS r FROM documents WHERE text IS NOT NULL AND doc_id IS NOT NULL),
