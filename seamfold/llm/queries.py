@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seamfold.llm import op1_lines, op2_decontaminate, op3_jaccard, op4_chat, op5_quality, op6_media, op7_lm, op8_packing, op9_lengths, op10_substrings, op11_codes, op13_phrases
+from seamfold.llm import op1_lines, op2_decontaminate, op3_jaccard, op4_chat, op5_quality, op6_media, op7_lm, op8_packing, op9_lengths, op10_substrings, op11_codes, op12_toxicity, op13_phrases
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,6 +77,10 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op11_codes.vector_codes(_table(spark, sf_dir, "embeddings"))
 
 
+def op12_toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12_toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op13_phrases.phrases(_table(spark, sf_dir, "documents"))
 
@@ -87,7 +91,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_decontamination, op3_jaccard_join, op3_jaccard_links, op4_chat_format, op5_quality_classifier, op6_tiff_media, op6_tiff_pages, op7_lm_scores, op8_best_fit_packing, op9_token_counts, op10_substring_dedup, op11_vector_codes, op13_collocations, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_decontamination, op3_jaccard_join, op3_jaccard_links, op4_chat_format, op5_quality_classifier, op6_tiff_media, op6_tiff_pages, op7_lm_scores, op8_best_fit_packing, op9_token_counts, op10_substring_dedup, op11_vector_codes, op12_toxicity_scores, op13_collocations, pipeline)}
 
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 _ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

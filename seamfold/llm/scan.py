@@ -74,7 +74,7 @@ class Words:
     """
 
     def __init__(self, scanner: Scanner, raw: np.ndarray, offsets: np.ndarray, first: int) -> None:
-        self.first, self.n_docs, self.scanner = first, len(offsets) - 1, scanner
+        self.first, self.n_docs, self.scanner, self.offsets = first, len(offsets) - 1, scanner, offsets
         kind, self.raw = scanner.kind[raw], scanner.low[raw]
         word = kind == WORD
         edge = offsets[:-1][np.diff(offsets) > 0]
