@@ -15,25 +15,25 @@ def _share(part, total):
 
 
 def diversity(lines: DataFrame, text: str, keys: list[str]) -> DataFrame:
-    """(keys, n_lines, distinct_1, distinct_2, duplicate_rate); pairs of words do not cross lines.
+    """(keys, n_lines, distinct_1, distinct_2, duplicate_rate); pairs of words do not cross lines, and null lines are empty ones.
 
     One scan: every word, pair and line becomes two 64-bit hashes with its kind, which
     are counted by value after one shuffle, so a group with many lines is not gathered
     anywhere. What is counted is added up by kind.
     """
-    words = lines.select(*keys, F.transform(tokens(F.col(text)), lambda w: F.xxhash64(w)).alias("t"))
+    words = lines.select(*keys, F.transform(tokens(F.coalesce(text, F.lit(""))), lambda w: F.xxhash64(w)).alias("t"))
     line = lambda seed: F.aggregate("t", F.xxhash64(F.lit(seed)), lambda a, w: F.xxhash64(a, w))
-    # a line's own value goes with its first word; the outer form keeps lines without words
-    spots = words.select(*keys, "t", line(1).alias("g"), line(2).alias("h")).select("*", F.posexplode_outer("t").alias("i", "w"))
-    after = F.get("t", F.col("i") + 1)
+    # made before words get rows: a word's row then has its next word and nothing else of the line, whose own value goes with its first word
+    ends = F.concat("t", F.array(F.lit(None).cast("long")))
+    whole = words.select(*keys, line(1).alias("lg"), line(2).alias("lh"), F.arrays_zip(ends.alias("w"), F.slice(ends, 2, F.size("t")).alias("after")).alias("s"))
+    spots = whole.select(*keys, "lg", "lh", F.posexplode("s").alias("i", "s")).where("i = 0 or s.w is not null")
     value = lambda kind, g, h: F.struct(F.lit(kind).alias("kind"), g.alias("g"), h.alias("h"))
-    made = F.filter(
+    made = F.array_compact(
         F.array(
-            F.when(F.coalesce("i", F.lit(0)) == 0, value("l", F.col("g"), F.col("h"))),
-            F.when(F.col("w").isNotNull(), value("1", F.col("w"), F.lit(0).cast("long"))),
-            F.when(after.isNotNull(), value("2", F.col("w"), after)),
-        ),
-        lambda x: x.isNotNull(),
+            F.when(F.col("i") == 0, value("l", F.col("lg"), F.col("lh"))),
+            F.when(F.col("s.w").isNotNull(), value("1", F.col("s.w"), F.lit(0).cast("long"))),
+            F.when(F.col("s.w").isNotNull() & F.col("s.after").isNotNull(), value("2", F.col("s.w"), F.col("s.after"))),
+        )
     )
     each = spots.select(*keys, F.explode(made).alias("v")).select(*keys, "v.kind", "v.g", "v.h")
     counted = each.groupBy(*keys, "kind", "g", "h").agg(F.count("*").alias("n"))

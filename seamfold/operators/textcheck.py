@@ -1,119 +1,67 @@
-"""Checks of text against the facts that it was written from, as built-in expressions.
+"""Checks of text against the facts that it was written from.
 
-What a line claims is read off with regular expressions. Where the words around a claim
-decide whether it is one, the text is split at all places that look like it; the pieces'
-lengths tell where those places are, and each is judged by what stands around it. Digits
-are those of ASCII, white space and word boundaries those of Unicode.
+What a line claims is read off once, by an Arrow function over the column (see
+functions/claims.py); everything that is concluded from it is built-in expressions.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# fixed values: words and phrases with a set meaning in these texts, and how far around a claim they count
-NUMBERS = ("one", "two", "three", "four", "five", "six", "seven", "eight", "nine", "ten")
-ORDINALS = ("first", "second", "third", "fourth", "fifth", "sixth", "seventh", "eighth", "ninth", "tenth")
-DISMISSED = ("bowled", "caught", "lbw", "stumped", "dismissed", "castled")
-SCORE = r"(?U)([0-9]+)\s*/\s*([0-9]+)"
-EQUATION = r"(?U)([0-9]+)\s+(?:(?:runs?|more|still|needed|required|now|to\s+win|to\s+get)\s+)*(?:off|from)\s+(?:the\s+)?(?:last\s+|final\s+|remaining\s+)?([0-9]+)"
-CHASING = r"(?U)need|requir|to\s+win|to\s+get|chase"
-COUNTED_AFTER = r"(?U)^\s+(?:down|wickets?|overs?|balls?|for\b|(?:runs?\s+)?(?:an|per)\s+overs?)"
-COUNTED_BEFORE = rf"(?U)(?:inside|over|first|final|last|opening)\s+$|(?:[0-9]+|\b(?:{'|'.join(NUMBERS)}))\s+for\s+$|[0-9]\s*/\s*$"
-BIG_HIT = r"(?U)\b(?:maximum|sixer)\b"
-DOWN = rf"(?U)\b([0-9]+|{'|'.join(NUMBERS)})\s+(?:wickets?\s+)?down\b(?!\s+(?:the|to|towards|over|past|into|at|and\s+out))"
-FALLEN = rf"(?U)\b({'|'.join(ORDINALS)})\s+(?:wickets?\s+(?:to\s+fall|down)|to\s+fall)\b"
-LOSING = rf"(?U)\blos(?:e|es|t|ing)\s+(?:their|its|his)\s+({'|'.join(ORDINALS)})\b"
-SHOT_AROUND, EQUATION_AROUND = (18, 16), (22, 12)
+from seamfold.functions import claims as reader
 
 
-def _group(text: Column, pattern: str, i: int) -> Column:
-    """A group of the first match, or null without one."""
-    found = F.regexp_extract(text, pattern, i)
-    return F.when(found != "", found)
+def _arrow(f: Callable[[pa.Array], pa.Array], kind: str, *columns: Column) -> Column:
+    def call(column: pa.Array) -> pa.Array:
+        return f(column)
 
+    call.__annotations__ = {"column": pa.Array, "return": pa.Array}
+    return F.arrow_udf(call, kind)(*columns)
 
-def _number(digits: Column) -> Column:
-    return digits.try_cast("decimal(38,0)")
 
-
-def _pair(text: Column, pattern: str) -> Column:
-    """The two numbers of the first match as a struct (a, b), or null."""
-    a, b = (_number(_group(text, pattern, i)) for i in (1, 2))
-    return F.when(a.isNotNull() & b.isNotNull(), F.struct(a.alias("a"), b.alias("b")))
-
-
-def places(text: Column, pattern: str) -> Column:
-    """(match, at) for all places of a pattern in a text, at counted from 0."""
-    between = F.split(text, pattern, -1)
-    lengths = lambda parts, upto: F.aggregate(F.slice(parts, 1, upto), F.lit(0), lambda n, x: n + F.char_length(x))
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    return F.transform(found, lambda m, k: F.struct(m.alias("match"), (lengths(between, k + 1) + lengths(found, k)).alias("at")))
-
-
-def around(text: Column, place: Column, before: int, after: int) -> tuple[Column, Column]:
-    """What stands before and after a place, at most so many characters."""
-    end = place.at + F.char_length(place.match)
-    return F.substring(text, F.greatest(place.at - before, F.lit(0)) + 1, F.least(place.at, F.lit(before))), F.substring(text, end + 1, F.lit(after))
+def claims(line: Column) -> Column:
+    """struct(score, equation, fallen, six, big, four, out) of a line; numbers as digits, what it does not claim is null or false."""
+    return _arrow(reader.read_column, reader.DDL, line)
 
 
 def score(text: Column) -> Column:
     """The first "a/b", as a struct (a, b)."""
-    return _pair(text, SCORE)
+    return claims(text).score
 
 
 def equation(text: Column) -> Column:
     """The first "a off b" with a word of chasing near it, as a struct (a, b)."""
+    return claims(text).equation
 
-    def chasing(place: Column) -> Column:
-        left, right = around(text, place, *EQUATION_AROUND)
-        return F.lower(F.concat(left, place.match, right)).rlike(CHASING)
-
-    first = F.try_element_at(F.filter(places(text, EQUATION), chasing), F.lit(1))
-    return F.when(text.rlike(EQUATION), _pair(first.match, EQUATION))
-
-
-def calls_shot(low: Column, word: str) -> Column:
-    """Whether a lower-case line has the word for a shot, not for a count of something else."""
-
-    def shot(place: Column) -> Column:
-        left, right = around(low, place, *SHOT_AROUND)
-        return ~left.rlike(COUNTED_BEFORE) & ~right.rlike(COUNTED_AFTER)
 
-    return F.contains(low, F.lit(word)) & F.exists(places(low, rf"(?U)\b{word}\b"), shot)
+def reasons(said: Column, event: Column, true: Column) -> Column:
+    """How a line's claims contradict its event and what the state claims, in a fixed order; a null event counts as empty."""
+    event, six = F.coalesce(event, F.lit("")), said.six | said.big
+    hit = lambda word: event.startswith(word)
+    shown = lambda p: F.concat(F.lit("("), p.a, F.lit(", "), p.b, F.lit(")"))
+    differ = lambda what, x, y: F.when(x != y, F.concat(F.lit(what + " "), shown(x), F.lit(" != state "), shown(y)))
+    found: list[tuple[Column, str]] = [
+        (hit("SIX") & said.four, "calls a six a four"),
+        (hit("FOUR") & six, "calls a four a six"),
+        (~hit("SIX") & ~hit("FOUR") & six, "claims a six that did not happen"),
+        (~hit("SIX") & ~hit("FOUR") & said.four, "claims a boundary that did not happen"),
+        (~hit("WICKET") & said.out, "claims a wicket that did not happen"),
+    ]
+    fallen = F.when(said.fallen != true.score.b, F.concat(F.lit("wickets "), said.fallen, F.lit(" != state "), true.score.b))
+    return F.array_compact(F.array(*(F.when(c, F.lit(reason)) for c, reason in found), differ("score", said.score, true.score), fallen, differ("equation", said.equation, true.equation)))
 
 
-def wicket_count(low: Column) -> Column:
-    """How many have fallen, as a lower-case line says it: by number, or as the nth to fall or to lose."""
-    place = lambda words, w: F.nullif(F.array_position(F.array(*map(F.lit, words)), w), F.lit(0)).cast("decimal(38,0)")
-    down = _group(low, DOWN, 1)
-    nth = F.coalesce(_group(low, FALLEN, 1), _group(low, LOSING, 1))
-    return F.coalesce(_number(down), place(NUMBERS, down), place(ORDINALS, nth))
+def _checked(why: Column) -> Column:
+    return F.struct((F.size(why) == 0).alias("ok"), why.alias("reasons"))
 
 
 def check(line: Column, event: Column, state: Column) -> Column:
-    """struct(ok, reasons): how a line contradicts its event and state, in a fixed order; nulls count as empty."""
-    line, event, state = (F.coalesce(c, F.lit("")) for c in (line, event, state))
-    low = F.lower(line)
-    hit = lambda word: event.startswith(word)
-    six, four = low.rlike(BIG_HIT) | calls_shot(low, "six"), calls_shot(low, "four")
-    out = F.contains(low, F.lit("run out")) | F.arrays_overlap(F.regexp_extract_all(low, F.lit("[a-z']+"), F.lit(0)), F.array(*map(F.lit, DISMISSED)))
-    shown = lambda p: F.concat(F.lit("("), p.a.cast("string"), F.lit(", "), p.b.cast("string"), F.lit(")"))
-    differ = lambda what, said, true: F.when(said != true, F.concat(F.lit(what + " "), shown(said), F.lit(" != state "), shown(true)))
-    true, fallen = score(state), wicket_count(low)
-    claims: list[tuple[Callable | Column, str]] = [
-        (hit("SIX") & four, "calls a six a four"),
-        (hit("FOUR") & six, "calls a four a six"),
-        (~hit("SIX") & ~hit("FOUR") & six, "claims a six that did not happen"),
-        (~hit("SIX") & ~hit("FOUR") & four, "claims a boundary that did not happen"),
-        (~hit("WICKET") & out, "claims a wicket that did not happen"),
-    ]
-    reasons = [F.when(c, F.lit(reason)) for c, reason in claims]
-    reasons += [differ("score", score(line), true), F.when(fallen != true.b, F.concat(F.lit("wickets "), fallen.cast("string"), F.lit(" != state "), true.b.cast("string"))), differ("equation", equation(line), equation(state))]
-    held = F.filter(F.array(*reasons), lambda r: r.isNotNull())
-    return F.struct((F.size(held) == 0).alias("ok"), held.alias("reasons"))
+    """struct(ok, reasons): how a line contradicts its event and state; nulls count as empty."""
+    return _checked(reasons(claims(line), event, claims(state)))
 
 
 def tokens(line: Column) -> Column:
@@ -157,16 +105,18 @@ def validated(draws: Column, event: Column, state: Column, fallback: Column) ->
     """struct(line, faithful, source, attempts, reasons): the first of several draws that holds, or the fallback.
 
     Draws are cut to their first lines; empty ones are no lines but count as attempts. If
-    none holds, reasons are those of the last line that was checked.
+    none holds, reasons are those of the last line that was checked. Where draws are
+    made one by one, see effects.redraw.
     """
     lines = F.transform(draws, drawn_line)
-    tried = F.transform(lines, lambda x, i: F.struct((i + 1).alias("attempt"), x.alias("line"), check(x, event, state).alias("check")))
+    said, true = _arrow(reader.read_lists, f"array<{reader.DDL}>", lines), claims(state)
+    tried = F.transform(F.arrays_zip(lines.alias("line"), said.alias("said")), lambda x, i: F.struct((i + 1).alias("attempt"), x.line.alias("line"), reasons(x.said, event, true).alias("reasons")))
     tried = F.filter(tried, lambda t: t.line != "")
-    first = F.try_element_at(F.filter(tried, lambda t: t.check.ok), F.lit(1))
+    first = F.try_element_at(F.filter(tried, lambda t: F.size(t.reasons) == 0), F.lit(1))
     none = F.array().cast("array<string>")
     return F.when(
         first.isNotNull(), F.struct(first.line.alias("line"), F.lit(True).alias("faithful"), F.lit("model").alias("source"), first.attempt.alias("attempts"), none.alias("reasons"))
-    ).otherwise(F.struct(fallback.alias("line"), F.lit(True).alias("faithful"), F.lit("fallback").alias("source"), F.size(draws).alias("attempts"), F.coalesce(F.try_element_at(tried, F.lit(-1)).check.reasons, none).alias("reasons")))
+    ).otherwise(F.struct(fallback.alias("line"), F.lit(True).alias("faithful"), F.lit("fallback").alias("source"), F.size(draws).alias("attempts"), F.coalesce(F.try_element_at(tried, F.lit(-1)).reasons, none).alias("reasons")))
 
 
 def first_faithful(draws: Column, ok: Column) -> Column:

@@ -254,8 +254,8 @@ def faith_check(spark, sf_dir):
 @query(f"{_FACTS} SELECT event_id, six AND place <> 8 AS six, four, n::BIGINT AS fallen, said::BIGINT AS need, 6::BIGINT AS balls FROM f")
 def line_claims(spark, sf_dir):
     """What lines claim, one claim at a time."""
-    low = F.lower("line")
-    f = _facts(spark, sf_dir).select("event_id", textcheck.calls_shot(low, "six").alias("six"), textcheck.calls_shot(low, "four").alias("four"), textcheck.wicket_count(low).cast("long").alias("fallen"), textcheck.equation(F.col("line")).alias("q"))
+    c = _facts(spark, sf_dir).select("event_id", textcheck.claims(F.col("line")).alias("c"))
+    f = c.select("event_id", "c.six", "c.four", F.col("c.fallen").cast("long").alias("fallen"), F.col("c.equation").alias("q"))
     return f.select("event_id", "six", "four", "fallen", F.col("q.a").cast("long").alias("need"), F.col("q.b").cast("long").alias("balls"))
 
 

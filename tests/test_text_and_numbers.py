@@ -76,3 +76,62 @@ def test_examples_and_verdicts(spark):
 def test_costs():
     assert classify.affordable(1.0, 2.0, 0.1) == 0
     assert classify.plan_cost(0, 1000, 10, 10, 3.0, 15.0) == 0.01
+
+
+FAMILIES = [
+    ("Four down and they need a stand", None, "4", False, False),
+    ("55 for four and counting", None, None, False, False),
+    ("two for six in his spell", None, None, False, False),
+    ("six an over from here", None, None, False, False),
+    ("six runs per over", None, None, False, False),
+    ("four balls left", None, None, False, False),
+    ("the first six overs went well", None, None, False, False),
+    ("162/4 now, and that is four more", ("162", "4"), None, False, True),
+    ("162/four on the board", None, None, False, False),
+    ("his second wicket from that over", None, None, False, False),
+    ("the second-wicket partnership grows", None, None, False, False),
+    ("the third wicket to fall", None, "3", False, False),
+    ("they lose their fifth", None, "5", False, False),
+    ("12 wickets down", None, "12", False, False),
+    ("gets one down to the ropes", None, None, False, False),
+    ("walks two down the track", None, None, False, False),
+    ("Six overs gone, then a six!", None, None, True, False),
+    ("٤١/٢ on the board", ("41", "2"), None, False, False),
+    ("007/000123", ("7", "123"), None, False, False),
+    ("9" * 60 + "/1", ("9" * 60, "1"), None, False, False),
+]
+
+
+def test_claims_by_family(spark):
+    df = spark.createDataFrame([(i, x[0]) for i, x in enumerate(FAMILIES)], "i int, l string")
+    got = {r.i: r.c for r in df.select("i", textcheck.claims(F.col("l")).alias("c")).collect()}
+    for i, (line, score, fallen, six, four) in enumerate(FAMILIES):
+        assert (got[i].score and tuple(got[i].score), got[i].fallen, got[i].six, got[i].four) == (score, fallen, six, four), line
+
+
+def test_equations_by_context(spark):
+    cases = [("they need 12 more runs to win from the last 9", ("12", "9")), ("He has 27 off 24 so far, and they need 11 off 6", ("11", "6")), ("27 off 24", None), ("required now: 5 from the final 3", ("5", "3")), ("a chase of 40 off 30", ("40", "30"))]
+    df = spark.createDataFrame([(i, x) for i, (x, _) in enumerate(cases)], "i int, l string")
+    got = {r.i: r.q and tuple(r.q) for r in df.select("i", textcheck.equation(F.col("l")).alias("q")).collect()}
+    assert got == {i: w for i, (_, w) in enumerate(cases)}
+
+
+def test_claims_of_very_long_lines(spark):
+    lines = ["1" * 300_000, " " * 300_000, "need 5 " * 60_000, "six " * 60_000, "a " * 100_000 + "they are 41/2"]
+    df = spark.createDataFrame([(x,) for x in lines], "l string")
+    got = [r.c for r in df.select("l", textcheck.check(F.col("l"), F.lit("dot ball"), F.lit("A 40/2")).alias("c")).collect()]
+    assert [list(c.reasons) for c in got] == [[], [], [], ["claims a six that did not happen"], ["score (41, 2) != state (40, 2)"]]
+
+
+def test_checks_read_each_line_once(spark):
+    df = spark.createDataFrame([("a", "b", "c")], "l string, e string, s string").select(textcheck.check(F.col("l"), F.col("e"), F.col("s")).alias("c")).select("c.ok", "c.reasons")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "regexp" not in plan and "split(" not in plan
+
+
+def test_diversity_is_linear_in_a_line(spark):
+    n = 200_000
+    text = " ".join("abcdefghij"[i % 10] + "klm"[i % 3] for i in range(n))
+    df = spark.createDataFrame([("g", text), ("g", "ak"), ("h", None), ("h", "12")], "k string, t string")
+    got = {r.k: tuple(r)[1:] for r in metrics.diversity(df, "t", ["k"]).collect()}
+    assert got == {"g": (2, round(30 / (n + 1), 4), round(30 / (n - 1), 4), 0.0), "h": (2, 0.0, 0.0, 0.5)}
