@@ -110,7 +110,9 @@ def validated(draws: Column, event: Column, state: Column, fallback: Column) ->
     """
     lines = F.transform(draws, drawn_line)
     said, true = _arrow(reader.read_lists, f"array<{reader.DDL}>", lines), claims(state)
-    tried = F.transform(F.arrays_zip(lines.alias("line"), said.alias("said")), lambda x, i: F.struct((i + 1).alias("attempt"), x.line.alias("line"), reasons(x.said, event, true).alias("reasons")))
+    # what the state claims stands beside each line, since no function of Python may be called within a lambda
+    beside = F.arrays_zip(lines.alias("line"), said.alias("said"), F.array_repeat(true, F.size(lines)).alias("true"))
+    tried = F.transform(beside, lambda x, i: F.struct((i + 1).alias("attempt"), x.line.alias("line"), reasons(x.said, event, x.true).alias("reasons")))
     tried = F.filter(tried, lambda t: t.line != "")
     first = F.try_element_at(F.filter(tried, lambda t: F.size(t.reasons) == 0), F.lit(1))
     none = F.array().cast("array<string>")
