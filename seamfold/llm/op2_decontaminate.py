@@ -50,17 +50,26 @@ def _run(codes: str, at: Column, length: int) -> Column:
     return F.when(at + length <= F.size(codes), F.xxhash64(F.lit(-length), *(F.get(codes, at + i) for i in range(length))))
 
 
-def _agreeing(least: float) -> Column:
-    """The windows (i, j, n, equal) around a hash that agrees, of those that are equal enough.
+def _around(codes: str, at: str) -> tuple[Column, Column]:
+    """The words that windows around a hash may hold, and the place of the first of them in the text."""
+    start = F.greatest(F.col(at) - F.col("before"), F.lit(0))
+    stop = F.least(F.col(at) - F.col("before") + F.col("last") + F.col("n"), F.size(codes))
+    return F.slice(codes, start + 1, F.greatest(stop - start, F.lit(0))), start
 
-    Reads codes and item, the places i and j of the hash in them, and n and before: the
-    words of a window, and how far before the hash the first one may start.
+
+def _agreeing(least: float) -> tuple[Column, Column]:
+    """Which words around a hash are equal, and the windows (i, j, n, equal) there that are equal enough.
+
+    Reads the places i and j of the hash in a document and an item, the words near and part
+    around them with the places i0 and j0 of their first ones, both texts' sizes, and n, before
+    and last: the words of a window, how far before the hash the first one may start, and how many more there are.
     """
-    places = F.sequence(F.lit(0), F.col("before") + F.col("n") - 1)
-    equal = F.transform(places, lambda k: F.when(F.get("codes", F.col("i") - F.col("before") + k) == F.get("item", F.col("j") - F.col("before") + k), 1).otherwise(0))
     first = lambda t, at: F.col(at) - F.col("before") + t
+    places = F.sequence(F.lit(0), F.col("last") + F.col("n") - 1)
+    word = lambda words, at, start, k: F.when(first(k, at) >= F.col(start), F.get(words, first(k, at) - F.col(start)))
+    equal = F.transform(places, lambda k: F.when(word("near", "i", "i0", k) == word("part", "j", "j0", k), 1).otherwise(0))
     window = lambda t: F.struct(first(t, "i").alias("i"), first(t, "j").alias("j"), F.aggregate(F.slice(F.col("same"), t + 1, F.col("n")), F.lit(0), lambda a, x: a + x).alias("equal"))
-    whole = lambda w: (w.i >= 0) & (w.j >= 0) & (w.i + F.col("n") <= F.size("codes")) & (w.j + F.col("n") <= F.size("item")) & (w.equal >= least * F.col("n"))
+    whole = lambda w: (w.i >= 0) & (w.j >= 0) & (w.i + F.col("n") <= F.col("size")) & (w.j + F.col("n") <= F.col("item_size")) & (w.equal >= least * F.col("n"))
     return equal, F.filter(F.transform(F.sequence(F.lit(0), F.col("last")), window), whole)
 
 
@@ -78,7 +87,8 @@ def overlaps(docs: DataFrame, bench: DataFrame, least: float = 0.8, id_col: str
     ignored. Empty tables give no rows.
 
     The benchmark's hashes are broadcast if they are at most so many, which is counted first;
-    more are joined by a shuffle, and documents with a hit are read again.
+    more are joined by a shuffle, and documents with a hit are read again. A hit carries the
+    words around it only, so that memory is linear in the longest text.
     """
     prepare(docs.sparkSession)
     items = bench.select(F.col(item_col).cast("long").alias("item_id"), word_codes(F.col(item_text)).alias("item")).where("item_id is not null and size(item) > 0")
@@ -90,7 +100,8 @@ def overlaps(docs: DataFrame, bench: DataFrame, least: float = 0.8, id_col: str
         cut = F.explode(F.array(*(F.struct(F.lit(at).alias("j"), _run("item", F.lit(at), length).alias("seed"), F.lit(at).alias("before")) for at, length in runs(n, least))))
         short = items.where(F.size("item") == n).select("item_id", "item", cut.alias("x"))
         seeds = seeds.unionByName(short.select("item_id", "x.j", F.lit(n).alias("n"), "x.seed", "x.before", F.lit(0).alias("last"), "item"))
-    seeds = seeds.where("seed is not null")
+    part, j0 = _around("item", "j")
+    seeds = seeds.where("seed is not null").select("seed", "item_id", "j", "n", "before", "last", F.size("item").alias("item_size"), part.alias("part"), j0.alias("j0"))
     lengths = sorted({length for n in sizes for _, length in runs(n, least)})
 
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -99,14 +110,19 @@ def overlaps(docs: DataFrame, bench: DataFrame, least: float = 0.8, id_col: str
     spots = coded.select("doc_id", "mark", "codes", F.posexplode_outer("codes").alias("i", "code"))
     own = F.array(*(_seed("codes", F.col("i"), k) for k in range(len(MASKS))), *(_run("codes", F.col("i"), k) for k in lengths))
     tried = spots.select("doc_id", "mark", "codes", "i", F.explode_outer(own).alias("seed"))
+    near, i0 = _around("codes", "i")
+    # made by a generator right after the join, in its generated code, so that no row has a document's words
+    held = F.explode_outer(F.array(F.struct(near.alias("near"), i0.alias("i0"), F.size("codes").alias("size")))).alias("x")
+    kept = ["doc_id", "item_id", "i", "j", "n", "before", "last", "item_size", "part", "j0"]
     if seeds.count() <= broadcast:
-        met = tried.join(F.broadcast(seeds), "seed").where("doc_id is not null")
+        met = tried.join(F.broadcast(seeds), "seed").where("doc_id is not null").select(*kept, held)
     else:
-        hits = tried.drop("codes").join(seeds.select("seed", "item_id", "j", "n", "before", "last"), "seed").where("doc_id is not null").drop("seed")
+        hits = tried.drop("codes").join(seeds, "seed").where("doc_id is not null").drop("seed")
         again = coded.join(hits.select("doc_id", "mark").distinct(), ["doc_id", "mark"], "left_semi").dropDuplicates(["doc_id", "mark"])
-        met = hits.join(again, ["doc_id", "mark"]).join(items.dropDuplicates(["item_id", "item"]), "item_id")
+        met = hits.join(again, ["doc_id", "mark"]).select(*kept, held)
     same, windows = _agreeing(least)
-    found = met.select("doc_id", "item_id", "i", "j", "n", "before", "last", "codes", "item", same.alias("same")).select("doc_id", "item_id", "n", F.explode(windows).alias("w"))
+    met = met.select(*kept, "x.near", "x.i0", "x.size")
+    found = met.select(*kept, "i0", "size", same.alias("same")).select("doc_id", "item_id", "n", F.explode(windows).alias("w"))
     places = found.groupBy("doc_id", "item_id", "n", "w.i", "w.j").agg(F.max("w.equal").alias("equal"))
     return places.groupBy("doc_id", "item_id").agg(F.count("*").alias("n_hits"), F.min("i").cast("long").alias("first_word"), F.max(F.col("i") + F.col("n")).cast("long").alias("last_word"), F.max(F.col("equal") / F.col("n").cast("double")).alias("best"))
 
