@@ -30,7 +30,7 @@ from seamfold.llm.scan import Scanner
 PIECES, SPACES = b".,;:!?\n\x0b\x0c\r", b" \t"
 UNKNOWN = "und"
 #: Distinct words, pairs or projections that a task holds before it sends them on.
-FLUSH = 1 << 21
+FLUSH = 3 << 19
 #: Counts of phrases and words that are broadcast to be joined; more are joined by shuffles.
 BROADCAST_COUNTS = 1_000_000
 #: Shares of a language that each rank their best before the language does.
@@ -47,13 +47,13 @@ def key_of(columns: list[np.ndarray]) -> np.ndarray:
 
 
 def distinct(columns: list[np.ndarray], n: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """Equal rows added up. Different rows of one key may stay apart from equal ones; their counts are still right in sum."""
+    """Equal rows added up; the list of columns is sorted in place. Different rows of one key may stay apart from equal ones; their counts are still right in sum."""
     order = np.argsort(key_of(columns), kind="stable")
-    columns = [c[order] for c in columns]
     new = np.zeros(len(order), bool)
     new[:1] = True
-    for c in columns:
-        new[1:] |= c[1:] != c[:-1]
+    for k in range(len(columns)):
+        columns[k] = columns[k][order]
+        new[1:] |= columns[k][1:] != columns[k][:-1]
     first = np.flatnonzero(new)
     return [c[first] for c in columns], np.add.reduceat(n[order], first) if len(first) else n[:0]
 
@@ -72,8 +72,10 @@ class Sums:
     def flush(self, least: int):
         if self.size < max(1, least):
             return
-        columns, n = distinct([np.concatenate(c) for c in zip(*(h[0] for h in self.held), strict=True)], np.concatenate([h[1] for h in self.held]))
-        self.held, self.size = [], 0
+        held, self.held, self.size = self.held, [], 0
+        columns, n = [np.concatenate(c) for c in zip(*(h[0] for h in held), strict=True)], np.concatenate([h[1] for h in held])
+        held.clear()
+        columns, n = distinct(columns, n)
         for a in range(0, len(n), 1 << 16):
             yield pa.RecordBatch.from_arrays([*(pa.array(as_long(c[a : a + (1 << 16)])) for c in columns), pa.array(n[a : a + (1 << 16)])], names=[*self.names, "n"])
 
