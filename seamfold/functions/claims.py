@@ -70,6 +70,93 @@ def read(text: str) -> dict:
     }
 
 
+#: How a line can contradict its event: which events are contradicted, by what, and what is said of it.
+_EVENTS = (
+    ({"SIX"}, lambda c: c["four"], "calls a six a four"),
+    ({"FOUR"}, lambda c: c["six"] or c["big"], "calls a four a six"),
+    ({"WICKET", ""}, lambda c: c["six"] or c["big"], "claims a six that did not happen"),
+    ({"WICKET", ""}, lambda c: c["four"], "claims a boundary that did not happen"),
+    ({"SIX", "FOUR", ""}, lambda c: c["out"], "claims a wicket that did not happen"),
+)
+
+
+def contradictions(said: dict, event: str, true: dict) -> list[str]:
+    """How a line's claims contradict its event and what its state claims, in a fixed order."""
+    kind = next((k for k in ("SIX", "FOUR", "WICKET") if event.startswith(k)), "")
+    found = [reason for kinds, claimed, reason in _EVENTS if kind in kinds and claimed(said)]
+    shown = lambda pair: f"({pair['a']}, {pair['b']})"
+    facts = [(what, said[what], true[what], shown) for what in ("score", "equation")]
+    facts.insert(1, ("wickets", said["fallen"], true["score"] and true["score"]["b"], str))
+    return found + [f"{what} {show(x)} != state {show(y)}" for what, x, y, show in facts if x is not None and y is not None and x != y]
+
+
+class Checker:
+    """Checks lines, and reads each distinct one of the last few thousand once."""
+
+    def __init__(self, most: int = 4096) -> None:
+        self.most, self.known = most, {}
+
+    def claims(self, text: str | None) -> dict:
+        if (found := self.known.get(text)) is None:
+            if len(self.known) >= self.most:
+                self.known.clear()
+            found = self.known[text] = read(text or "")
+        return found
+
+    def __call__(self, line: str | None, event: str | None, state: str | None) -> list[str]:
+        return contradictions(self.claims(line), event or "", self.claims(state))
+
+
+CHECK = pa.struct([("ok", pa.bool_()), ("reasons", pa.list_(pa.string()))])
+
+
+def check_columns(line: pa.Array, event: pa.Array, state: pa.Array) -> pa.Array:
+    """(ok, reasons) of lines, events and states."""
+    check = Checker()
+    found = [check(*row) for row in zip(line.to_pylist(), event.to_pylist(), state.to_pylist(), strict=True)]
+    return pa.array([{"ok": not why, "reasons": why} for why in found], CHECK)
+
+
+def first_line(text: str | None) -> str:
+    """A draw cut to its first line, trimmed."""
+    return next(iter((text or "").strip().splitlines()), "").strip()
+
+
+VALIDATED = pa.struct([("line", pa.string()), ("faithful", pa.bool_()), ("source", pa.string()), ("attempts", pa.int32()), ("reasons", pa.list_(pa.string()))])
+
+
+class Drawing:
+    """The state of a row whose line is drawn again until one holds."""
+
+    def __init__(self) -> None:
+        self.line, self.attempts, self.reasons = None, 0, []
+
+    def offer(self, text: str | None, why) -> None:
+        """One more draw; why gives the reasons against a line."""
+        line = first_line(text)
+        self.attempts += 1
+        if line:
+            self.reasons = why(line)
+            self.line = None if self.reasons else line
+
+    def result(self, fallback: str | None) -> dict:
+        drawn = self.line is not None
+        return {"line": self.line if drawn else fallback, "faithful": True, "source": "model" if drawn else "fallback", "attempts": self.attempts, "reasons": self.reasons}
+
+
+def validate_columns(draws: pa.Array, event: pa.Array, state: pa.Array, fallback: pa.Array) -> pa.Array:
+    """The first draw of each list that holds, or the fallback."""
+    check, out = Checker(), []
+    for texts, e, s, other in zip(*(c.to_pylist() for c in (draws, event, state, fallback)), strict=True):
+        row = Drawing()
+        for text in texts or []:
+            row.offer(text, lambda line, e=e, s=s: check(line, e, s))
+            if row.line is not None:
+                break
+        out.append(row.result(other))
+    return pa.array(out, VALIDATED)
+
+
 def read_column(lines: pa.Array) -> pa.Array:
     """The claims of a column of lines, each distinct one read once; a null line claims nothing."""
     known = lines.dictionary_encode()
@@ -77,16 +164,5 @@ def read_column(lines: pa.Array) -> pa.Array:
     return found.take(known.indices.fill_null(len(known.dictionary)))
 
 
-def read_lists(lists: pa.Array) -> pa.Array:
-    """The same for lists of lines; a null list stays null."""
-    lists = lists.cast(pa.list_(pa.string()))
-    lines = lists.flatten()
-    sizes = [0 if n is None else n for n in lists.value_lengths().to_pylist()]
-    ends = [0]
-    for n in sizes:
-        ends.append(ends[-1] + n)
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), read_column(lines), mask=lists.is_null())
-
-
 # workers get these functions by value, so they need not find the package
 cloudpickle.register_pickle_by_value(__import__(__name__, fromlist=["_"]))

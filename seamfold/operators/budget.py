@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seamfold.errors import UnknownKey
+from seamfold.functions.ranks import placed
 
 # fixed values: shares of an input token's price, and measured sizes of calls
 READ_SHARE, WRITE_SHARE, BATCH_SHARE = 0.1, 2.0, 0.5
@@ -23,10 +24,10 @@ SEED_TOKENS, LINE_IN, LINE_OUT = 7917, 190, 65
 
 @dataclass(frozen=True)
 class Price:
-    """Of a million tokens."""
+    """Of a million tokens; columns where calls have prices of their own."""
 
-    tokens_in: float
-    tokens_out: float
+    tokens_in: float | Column
+    tokens_out: float | Column
 
 
 def price_of(prices: dict[str, Price], model: str) -> Price:
@@ -39,7 +40,7 @@ def usage_cost(usage: dict[str, Column], price: Price, batch: bool = False, writ
     """What calls cost by their counters (tokens_in, cache_read, cache_write, tokens_out); null counters are 0."""
     n = {k: F.coalesce(c, F.lit(0)) for k, c in usage.items()}
     shares = {"tokens_in": price.tokens_in, "cache_read": price.tokens_in * READ_SHARE, "cache_write": price.tokens_in * WRITE_SHARE * writes, "tokens_out": price.tokens_out}
-    terms = [n[k] * F.lit(float(each)) for k, each in shares.items() if k in n]
+    terms = [n[k] * (each if isinstance(each, Column) else F.lit(float(each))) for k, each in shares.items() if k in n]
     total = terms[0]
     for t in terms[1:]:
         total = total + t
@@ -128,8 +129,7 @@ def run_waves(items: DataFrame, done: DataFrame, keys: list[str], order: list[st
     resumed by giving what is there as done. The cap can be passed by one wave at most.
     """
     todo = items.join(done.select(*keys).distinct(), keys, "left_anti")
-    numbered = todo.withColumn("__place", F.row_number().over(Window.orderBy(*order)) - 1) if alone or todo.limit(1).count() else todo.withColumn("__place", F.lit(0))
-    numbered = numbered.withColumn("__wave", wave(F.col("__place"), size, alone))
+    numbered = placed(todo, order).withColumn("__wave", wave(F.col("__place"), size, alone))
     spark = items.sparkSession
     numbered.drop("__place").write.mode("overwrite").partitionBy("__wave").parquet(f"{path}/todo")
     plan = spark.read.schema(numbered.drop("__place").schema).parquet(f"{path}/todo")

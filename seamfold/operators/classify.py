@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seamfold.functions.hashing import SPLIT_SALT, hash_split
-from seamfold.operators.budget import affordable  # noqa: F401  part of this module's interface
+from seamfold.functions.ranks import placed, placed_within
+from seamfold.operators.budget import Price, affordable, generation_estimate, usage_cost  # noqa: F401  affordable is part of this module's interface
 from seamfold.operators.fold import MARKS
 from seamfold.operators.render import real_wicket, record_event
 
@@ -59,6 +60,11 @@ def candidates(records: DataFrame, split: str = "train", val: float = 0.1, test:
     return own.select("match_id", "ball_id", bucket().alias("bucket"), record_event().alias("event"), F.col("state_string").alias("state")).where("bucket is not null")
 
 
+def at_places(rows: DataFrame, stratum: str, order: list[str], places: DataFrame) -> DataFrame:
+    """The rows at places (stratum, __place), counted from 0 in order within their stratum; numbered by ranges, so that no task has a whole stratum."""
+    return placed_within(rows, stratum, order).join(places, [stratum, "__place"], "left_semi").drop("__place")
+
+
 def stratified_sample(rows: DataFrame, stratum: str, order: list[str], targets: list[tuple[str, int]], seed: int = SEED) -> DataFrame:
     """Draw targets[i] rows of each stratum, in this order, from one seeded generator.
 
@@ -71,9 +77,7 @@ def stratified_sample(rows: DataFrame, stratum: str, order: list[str], targets:
     for name, target in targets:
         n = counts.get(name, 0)
         places += [(name, i) for i in (rng.sample(range(n), target) if target < n else range(n))]
-    drawn = rows.sparkSession.createDataFrame(places, f"`{stratum}` string, `__place` long")
-    placed = wanted.withColumn("__place", F.row_number().over(Window.partitionBy(stratum).orderBy(*order)) - 1)
-    return placed.join(drawn, [stratum, "__place"], "left_semi").drop("__place")
+    return at_places(wanted, stratum, order, rows.sparkSession.createDataFrame(places, f"`{stratum}` string, `__place` long"))
 
 
 def sample_targets(size: int, strata: dict[str, float] = STRATA) -> list[tuple[str, int]]:
@@ -93,11 +97,11 @@ def secondary_subset(rows: DataFrame, fraction: float = 0.25, seed: int = SEED +
 
 
 def pilot(items: DataFrame, n: int, order: list[str], seed: int = SEED) -> DataFrame:
-    """n items of a plan, drawn by place from one seeded generator; a plan is as long as its sample, so it is numbered as a whole."""
+    """n items of a plan, drawn by place from one seeded generator."""
     total = items.count()
     places = random.Random(seed).sample(range(total), min(n, total))
     drawn = items.sparkSession.createDataFrame([(i,) for i in places], "`__place` long")
-    return items.withColumn("__place", F.row_number().over(Window.orderBy(*order)) - 1).join(drawn, "__place", "left_semi").drop("__place")
+    return placed(items, order).join(drawn, "__place", "left_semi").drop("__place")
 
 
 def hash_quota(rows: DataFrame, stratum: str, key: str, quota: int, salt: str = "") -> DataFrame:
@@ -129,13 +133,10 @@ def spent_before(cost: Column, order: list, keys: list | None = None) -> Column:
 
 
 def call_cost(tokens_in: Column, read: Column, write: Column, out: Column, price_in: Column, price_out: Column, batch: bool = False) -> Column:
-    """Cost of a call: cached reads at a tenth, cache writes at double, batches at half."""
-    return (tokens_in * price_in + read * price_in * 0.1 + write * price_in * 2.0 + out * price_out) / 1e6 * (0.5 if batch else 1.0)
+    """budget.usage_cost of calls whose prices are columns."""
+    return usage_cost({"tokens_in": tokens_in, "cache_read": read, "cache_write": write, "tokens_out": out}, Price(price_in, price_out), batch)
 
 
 def plan_cost(n: int, prefix: int, volatile: int, out: int, price_in: float, price_out: float, batch: bool = False, cached: bool = True) -> float:
-    """Estimated cost of n calls that share a prefix: written once, then read; or sent in full each time."""
-    share = 0.5 if batch else 1.0
-    once = prefix * price_in * 2.0 if cached else 0.0
-    each = (prefix * price_in * 0.1 if cached else prefix * price_in) + volatile * price_in + out * price_out
-    return round((once + n * each * share) / 1e6, 2)
+    """budget.generation_estimate of n calls that share a prefix."""
+    return generation_estimate(n, Price(price_in, price_out), prefix, volatile, out, cached, batch)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from seamfold.functions.ranks import placed
 from seamfold.functions.rounding import round_exact
 from seamfold.operators import textcheck
 from seamfold.operators.textcheck import tokens
@@ -72,7 +73,7 @@ def length_check(examples: DataFrame, length: str, order: list[str], most: int,
     """
     total = examples.count()
     step = max(1, total // sample)
-    held = examples.withColumn("__place", F.row_number().over(Window.orderBy(*order)) - 1).where(F.col("__place") % step == 0)
+    held = placed(examples, order).where(F.col("__place") % step == 0)
     p50, p95 = value_at(held, length, F.floor(F.col("__n") / 2)), value_at(held, length, F.floor(F.lit(0.95).cast("double") * F.col("__n")))
     one = held.agg(F.lit(total).cast("long").alias("n_total"), F.count("*").alias("n_measured"), F.max(length).alias("longest"), F.count_if(F.col(length) > most).alias("over"))
     return one.join(F.broadcast(p50.withColumnRenamed("p", "p50"))).join(F.broadcast(p95.withColumnRenamed("p", "p95")))

@@ -1,8 +1,4 @@
-"""Checks of text against the facts that it was written from.
-
-What a line claims is read off once, by an Arrow function over the column (see
-functions/claims.py); everything that is concluded from it is built-in expressions.
-"""
+"""Checks of text against the facts that it was written from, by Arrow functions over columns (see functions/claims.py)."""
 
 from __future__ import annotations
 
@@ -15,11 +11,18 @@ from pyspark.sql import functions as F
 from seamfold.functions import claims as reader
 
 
-def _arrow(f: Callable[[pa.Array], pa.Array], kind: str, *columns: Column) -> Column:
-    def call(column: pa.Array) -> pa.Array:
-        return f(column)
+def _arrow(f: Callable[..., pa.Array], kind: str, *columns: Column) -> Column:
+    def one(a: pa.Array) -> pa.Array:
+        return f(a)
+
+    def three(a: pa.Array, b: pa.Array, c: pa.Array) -> pa.Array:
+        return f(a, b, c)
 
-    call.__annotations__ = {"column": pa.Array, "return": pa.Array}
+    def four(a: pa.Array, b: pa.Array, c: pa.Array, d: pa.Array) -> pa.Array:
+        return f(a, b, c, d)
+
+    call = {1: one, 3: three, 4: four}[len(columns)]
+    call.__annotations__ = dict.fromkeys((*call.__annotations__,), pa.Array)
     return F.arrow_udf(call, kind)(*columns)
 
 
@@ -38,30 +41,9 @@ def equation(text: Column) -> Column:
     return claims(text).equation
 
 
-def reasons(said: Column, event: Column, true: Column) -> Column:
-    """How a line's claims contradict its event and what the state claims, in a fixed order; a null event counts as empty."""
-    event, six = F.coalesce(event, F.lit("")), said.six | said.big
-    hit = lambda word: event.startswith(word)
-    shown = lambda p: F.concat(F.lit("("), p.a, F.lit(", "), p.b, F.lit(")"))
-    differ = lambda what, x, y: F.when(x != y, F.concat(F.lit(what + " "), shown(x), F.lit(" != state "), shown(y)))
-    found: list[tuple[Column, str]] = [
-        (hit("SIX") & said.four, "calls a six a four"),
-        (hit("FOUR") & six, "calls a four a six"),
-        (~hit("SIX") & ~hit("FOUR") & six, "claims a six that did not happen"),
-        (~hit("SIX") & ~hit("FOUR") & said.four, "claims a boundary that did not happen"),
-        (~hit("WICKET") & said.out, "claims a wicket that did not happen"),
-    ]
-    fallen = F.when(said.fallen != true.score.b, F.concat(F.lit("wickets "), said.fallen, F.lit(" != state "), true.score.b))
-    return F.array_compact(F.array(*(F.when(c, F.lit(reason)) for c, reason in found), differ("score", said.score, true.score), fallen, differ("equation", said.equation, true.equation)))
-
-
-def _checked(why: Column) -> Column:
-    return F.struct((F.size(why) == 0).alias("ok"), why.alias("reasons"))
-
-
 def check(line: Column, event: Column, state: Column) -> Column:
-    """struct(ok, reasons): how a line contradicts its event and state; nulls count as empty."""
-    return _checked(reasons(claims(line), event, claims(state)))
+    """struct(ok, reasons): how a line contradicts its event and state, in a fixed order; nulls count as empty."""
+    return _arrow(reader.check_columns, "struct<ok: boolean, reasons: array<string>>", line, event, state)
 
 
 def tokens(line: Column) -> Column:
@@ -96,29 +78,17 @@ def overlapping(lines: DataFrame, seeds: DataFrame, key: str, text: str = "text"
     return grams(lines, key).join(own, ["g", "h"], "left_semi").select(F.col(f"__{key}").alias(key)).distinct()
 
 
-def drawn_line(text: Column) -> Column:
-    """A draw cut to its first line, trimmed."""
-    return F.trim(F.element_at(F.split(F.trim(F.coalesce(text, F.lit("")), F.lit(" \t\r\n")), r"\R", 2), 1))
+VALIDATED = "struct<line: string, faithful: boolean, source: string, attempts: int, reasons: array<string>>"
 
 
 def validated(draws: Column, event: Column, state: Column, fallback: Column) -> Column:
     """struct(line, faithful, source, attempts, reasons): the first of several draws that holds, or the fallback.
 
     Draws are cut to their first lines; empty ones are no lines but count as attempts. If
-    none holds, reasons are those of the last line that was checked. Where draws are
-    made one by one, see effects.redraw.
+    none holds, reasons are those of the last line that was checked. Draws after the first
+    that holds are not looked at. Where draws are made one by one, see runs.redraw.
     """
-    lines = F.transform(draws, drawn_line)
-    said, true = _arrow(reader.read_lists, f"array<{reader.DDL}>", lines), claims(state)
-    # what the state claims stands beside each line, since no function of Python may be called within a lambda
-    beside = F.arrays_zip(lines.alias("line"), said.alias("said"), F.array_repeat(true, F.size(lines)).alias("true"))
-    tried = F.transform(beside, lambda x, i: F.struct((i + 1).alias("attempt"), x.line.alias("line"), reasons(x.said, event, x.true).alias("reasons")))
-    tried = F.filter(tried, lambda t: t.line != "")
-    first = F.try_element_at(F.filter(tried, lambda t: F.size(t.reasons) == 0), F.lit(1))
-    none = F.array().cast("array<string>")
-    return F.when(
-        first.isNotNull(), F.struct(first.line.alias("line"), F.lit(True).alias("faithful"), F.lit("model").alias("source"), first.attempt.alias("attempts"), none.alias("reasons"))
-    ).otherwise(F.struct(fallback.alias("line"), F.lit(True).alias("faithful"), F.lit("fallback").alias("source"), F.size(draws).alias("attempts"), F.coalesce(F.try_element_at(tried, F.lit(-1)).reasons, none).alias("reasons")))
+    return _arrow(reader.validate_columns, VALIDATED, draws, event, state, fallback)
 
 
 def first_faithful(draws: Column, ok: Column) -> Column:
