@@ -6,6 +6,8 @@ and one sort for them; actor-level windows keep that distribution and only sort
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -82,8 +84,18 @@ def explode_balls(matches: DataFrame) -> DataFrame:
     )
 
 
-def innings_state(balls: DataFrame) -> DataFrame:
-    """The state after each ball (the streak flag: before it), from explode_balls."""
+def unseen(balls: DataFrame, carried: DataFrame) -> DataFrame:
+    """The balls of explode_balls that come after what an innings has carried."""
+    last = carried.select("match_id", "innings", F.struct("over_at", "ball_in_over").alias("__last"))
+    return balls.join(last, ["match_id", "innings"], "left").where(F.col("__last").isNull() | (F.struct("over_at", "ball_in_over") > F.col("__last"))).drop("__last")
+
+
+def innings_state(balls: DataFrame, carried: DataFrame | None = None) -> DataFrame:
+    """The state after each ball (the streak flag: before it), from explode_balls.
+
+    With carried, the balls go on from there: each running figure starts from what its
+    innings, over, batter, bowler or stand had, so that earlier balls need not be read again.
+    """
     keys, order = ["match_id", "innings"], ["over_at", "ball_in_over"]
     sid, bid = (F.coalesce(F.try_element_at("people", F.col(c)), F.col(c)) for c in ("batter", "bowler_name"))
     legal = F.col("is_legal").cast("int")
@@ -91,26 +103,74 @@ def innings_state(balls: DataFrame) -> DataFrame:
     credited = F.size(F.filter("raw_wickets", lambda w: w.kind.isin(*CREDITED)))
     out = F.size(F.filter("raw_wickets", lambda w: ~w.kind.isin(*NOT_OUT)))
     b = balls.withColumns({"sid": sid, "bid": bid, "wickets": wickets, "credited": credited, "outs": out, "fell": F.size("raw_wickets") > 0, "non_sid": F.coalesce(F.try_element_at("people", F.col("non_striker_name")), F.col("non_striker_name"))})
+    if carried is not None:
+        b = b.join(carried.select(*keys, F.struct(*(c for c in carried.columns if c not in keys)).alias("c")), keys, "left")
+
+    def had(figure: Callable[[], Column], when: Callable[[], Column] | None = None) -> Column:
+        """What was carried of a figure, 0 without."""
+        if carried is None:
+            return F.lit(0)
+        return F.coalesce(figure() if when is None else F.when(when(), figure()), F.lit(0))
+
+    of = lambda who, key, figure: lambda: F.try_element_at(F.col(f"c.{who}"), F.col(key))[figure]
     token = F.when(F.col("fell"), F.lit("W")).otherwise(F.col("runs_total").cast("string"))
     b = b.withColumns({
-        "score_runs": running(F.col("runs_total"), keys, order), "score_wickets": running(F.col("outs"), keys, order), "legal_ball_number": running(legal, keys, order),
-        "last_deliveries": trail(token, keys, order), "stand": islands(F.col("fell"), keys, order),
+        "score_runs": running(F.col("runs_total"), keys, order) + had(lambda: F.col("c.score_runs")), "score_wickets": running(F.col("outs"), keys, order) + had(lambda: F.col("c.score_wickets")), "legal_ball_number": running(legal, keys, order) + had(lambda: F.col("c.legal_ball_number")),
+        "last_deliveries": trail(token, keys, order), "stand": islands(F.col("fell"), keys, order) + had(lambda: F.col("c.stand") + F.col("c.fell").cast("int")),
     })
+    if carried is not None:
+        whole = F.concat(F.coalesce("c.last_deliveries", F.array().cast("array<string>")), "last_deliveries")
+        b = b.withColumn("last_deliveries", F.slice(whole, F.greatest(F.size(whole) - LAST, F.lit(0)) + 1, F.lit(LAST)))
     over, striker, bowler, stand = [*keys, "over_at"], [*keys, "sid"], [*keys, "bid"], [*keys, "stand"]
+    by_bowler = Window.partitionBy(*bowler).orderBy(*order)
+    flag, none = F.col("credited") > 0, F.lit(None).cast("boolean")
+    one, two = (none if carried is None else F.try_element_at(F.col("c.bowlers"), F.col("bid"))[k] for k in ("one", "two"))
     b = b.withColumns({
-        "legal_ball_in_over": running(legal, over, ["ball_in_over"]),
-        "striker_runs": running(F.col("runs_batter"), striker, order), "striker_balls": running(legal, striker, order),
-        "bowler_runs": running(F.col("conceded"), bowler, order), "bowler_balls": running(legal, bowler, order), "bowler_wickets": running(F.col("credited"), bowler, order),
-        "bowler_on_hat_trick": streak_before(F.col("credited") > 0, bowler, order),
-        "partnership_runs": running(F.col("runs_total"), stand, order), "partnership_balls": running(legal, stand, order),
+        "legal_ball_in_over": running(legal, over, ["ball_in_over"]) + had(lambda: F.col("c.legal_ball_in_over"), lambda: F.col("c.over_at") == F.col("over_at")),
+        "striker_runs": running(F.col("runs_batter"), striker, order) + had(of("strikers", "sid", "runs")), "striker_balls": running(legal, striker, order) + had(of("strikers", "sid", "balls")),
+        "bowler_runs": running(F.col("conceded"), bowler, order) + had(of("bowlers", "bid", "runs")), "bowler_balls": running(legal, bowler, order) + had(of("bowlers", "bid", "balls")), "bowler_wickets": running(F.col("credited"), bowler, order) + had(of("bowlers", "bid", "wickets")),
+        "bowler_before": F.coalesce(F.lag(flag, 1).over(by_bowler), one, F.lit(False)),
+        "bowler_before_that": F.coalesce(F.lag(flag, 2).over(by_bowler), F.when(F.row_number().over(by_bowler) == 1, two).otherwise(one), F.lit(False)),
+        "partnership_runs": running(F.col("runs_total"), stand, order) + had(lambda: F.col("c.partnership_runs"), lambda: F.col("c.stand") == F.col("stand")), "partnership_balls": running(legal, stand, order) + had(lambda: F.col("c.partnership_balls"), lambda: F.col("c.stand") == F.col("stand")),
     })
+    b = b.withColumn("bowler_on_hat_trick", F.col("bowler_before") & F.col("bowler_before_that"))
     chase = F.col("target").isNotNull()
     allotted = F.rint(F.col("total_overs") * F.col("bpo"))
     left = F.greatest(allotted.cast("int") - F.col("legal_ball_number"), F.lit(0))
     b = b.withColumns({"balls_left": left, "target_runs": F.col("target.runs")}).withColumn("runs_required", F.when(chase, F.greatest(F.col("target_runs") - F.col("score_runs"), F.lit(0))))
-    return b.withColumns({
+    b = b.withColumns({
         "current_run_rate": rate(F.col("score_runs"), F.col("legal_ball_number"), F.col("bpo")),
         "required_run_rate": F.when(chase, rate(F.col("runs_required"), F.col("balls_left"), F.col("bpo"))),
         "phase": phase(F.col("over"), F.col("powerplay"), F.floor(allotted / F.col("bpo"))),
         "milestones": milestones(F.col("striker_runs"), F.col("score_runs"), F.col("bowler_on_hat_trick")),
     })
+    return b.drop("c", "bowler_before_that")
+
+
+def carry(state: DataFrame, carried: DataFrame | None = None) -> DataFrame:
+    """What the next balls of each innings start from, a row an innings: its last ball's figures, and each batter's and bowler's.
+
+    carried: what was there before state's balls; innings without new balls stay as they are.
+    """
+    keys, at = ["match_id", "innings"], F.struct("over_at", "ball_in_over")
+    figures = ["over_at", "ball_in_over", "score_runs", "score_wickets", "legal_ball_number", "legal_ball_in_over", "last_deliveries", "stand", "fell", "partnership_runs", "partnership_balls"]
+
+    def by_player(who: str, key: str, **figure: str | Column) -> DataFrame:
+        own = F.struct(*((F.col(c) if isinstance(c, str) else c).alias(k) for k, c in figure.items()))
+        each = state.where(F.col(key).isNotNull()).groupBy(*keys, key).agg(F.max_by(own, at).alias("v"))
+        return each.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct(key, "v"))).alias(who))  # an innings has some dozen players
+
+    new = state.groupBy(*keys).agg(F.max_by(F.struct(*figures), at).alias("x")).select(*keys, "x.*")
+    new = new.join(by_player("strikers", "sid", runs="striker_runs", balls="striker_balls"), keys, "left")
+    new = new.join(by_player("bowlers", "bid", runs="bowler_runs", balls="bowler_balls", wickets="bowler_wickets", one=F.col("credited") > 0, two="bowler_before"), keys, "left")
+    if carried is None:
+        return new
+    o, n = carried.alias("o"), new.alias("n")
+    joined = o.join(n, keys, "full")
+
+    def both(who: str) -> Column:
+        old, own = F.col(f"o.{who}"), F.col(f"n.{who}")
+        kept = F.map_filter(old, lambda k, _: ~F.coalesce(F.map_contains_key(own, k), F.lit(False)))
+        return F.when(old.isNull(), own).when(own.isNull(), old).otherwise(F.map_concat(kept, own)).alias(who)
+
+    return joined.select(*keys, *(F.when(F.col("n.over_at").isNotNull(), F.col(f"n.{c}")).otherwise(F.col(f"o.{c}")).alias(c) for c in figures), both("strikers"), both("bowlers"))

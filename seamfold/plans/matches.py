@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seamfold import schemas
+from seamfold.functions.folders import fresh
 from seamfold.functions.hashing import SPLIT_SALT
 from seamfold.functions.rounding import round_exact_sql
 from seamfold.operators import budget, classify, dataset, fold, render
-from seamfold.plans.suite import _t, query
+from seamfold.plans.suite import ORACLES, _t, query
 
 KINDS = ("bowled", "caught", "run out", "retired hurt", "stumped")
 STAGES = ("Final", "Qualifier 2", "Eliminator", "Some Other", None, None)
@@ -103,13 +104,32 @@ _FIGURES = ("score_runs", "score_wickets", "legal_ball_number", "legal_ball_in_o
     CASE WHEN striker = 'p0' THEN 'id0' ELSE striker END AS striker_id, team AS batting_team, other AS bowling_team, kind, credited, legbyes > 0 AS has_legbyes FROM w""")
 def innings_fold(spark, sf_dir):
     """The whole fold: every figure of the state after each ball, from match documents."""
+    return _figures(_state(spark, sf_dir))
+
+
+def _figures(state: DataFrame) -> DataFrame:
     first = F.try_element_at("wickets", F.lit(1))
-    return _state(spark, sf_dir).select(
+    return state.select(
         "match_id", F.col("innings").cast("long"), F.col("over").cast("long"), F.col("ball_in_over").cast("long"), *(F.col(c).cast("long").alias(c) for c in _FIGURES), "current_run_rate", "required_run_rate", "bowler_on_hat_trick", "phase",
         F.array_join("milestones", ",").alias("milestones"), F.array_join("last_deliveries", " ").alias("last_deliveries"), F.col("sid").alias("striker_id"), "batting_team", "bowling_team", first.kind.alias("kind"), F.coalesce(first.credited_to_bowler, F.lit(False)).alias("credited"), F.map_contains_key("extras", "legbyes").alias("has_legbyes"),
     )
 
 
+@query(ORACLES["innings_fold"])
+def innings_increments(spark, sf_dir):
+    """The same in three increments, each of which starts from what the one before it has carried."""
+    balls, carried, out = fold.explode_balls(documents(spark, sf_dir)), None, None
+    at = F.col("over_at") * 7 + F.col("ball_in_over")
+    for upto in (5 + F.col("innings") * 9, 31 + F.length("match_id"), F.lit(1000)):
+        come = balls.where(at <= upto)
+        state = fold.innings_state(come) if carried is None else fold.innings_state(fold.unseen(come, carried), carried)
+        path = fresh(spark, "carried")
+        fold.carry(state, carried).write.parquet(path)
+        out = _figures(state) if out is None else out.unionByName(_figures(state))
+        carried = spark.read.parquet(path)
+    return out
+
+
 @query(f"""{BALLS} SELECT match_id, ball_id, state_string, event, bucket, CASE WHEN event LIKE 'WICKET%' THEN 'Wicket. ' || striker || ' ' || kind WHEN bat = 6 THEN striker || ' clears the rope for six' WHEN bat = 4 THEN striker || ' finds the boundary for four'
     WHEN event = 'wide' THEN 'Wide, an extra to the total' WHEN event = 'no-ball' THEN 'No-ball, an extra to the total' WHEN event = 'dot ball' THEN 'Beaten, no run there' WHEN total = 1 THEN striker || ' pushes a single' ELSE striker || ' works it for ' || total || ' runs' END || '. ' || team || ' ' || score || '/' || wickets || '.' AS fallback FROM r""")
 def record_lines(spark, sf_dir):
