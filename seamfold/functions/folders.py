@@ -1,9 +1,11 @@
-"""Folders that all executors share."""
+"""Folders that all executors share, and what their Python workers need to find this library."""
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -23,3 +25,11 @@ def shared_folder(spark: SparkSession) -> str:
 def fresh(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that nothing else uses."""
     return f"{shared_folder(spark)}/seamfold-{label}-{uuid.uuid4().hex}"
+
+
+def importable(spark: SparkSession) -> SparkSession:
+    """Let Python workers find this package, also where it is not installed."""
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (env.get("PYTHONPATH"), root) if x)
+    return spark

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seamfold.errors import UnknownKey
@@ -132,13 +132,14 @@ def run_waves(items: DataFrame, done: DataFrame, keys: list[str], order: list[st
     numbered = placed(todo, order).withColumn("__wave", wave(F.col("__place"), size, alone))
     spark = items.sparkSession
     numbered.drop("__place").write.mode("overwrite").partitionBy("__wave").parquet(f"{path}/todo")
+    first = len(_paths(spark, path))
     plan = spark.read.schema(numbered.drop("__place").schema).parquet(f"{path}/todo")
     run = Run()
     for (number,) in sorted(plan.select("__wave").distinct().collect()):  # one row a wave
         if run.spent >= budget:
             run.stopped = True
             break
-        to = f"{path}/answers/wave={number}"
+        to = f"{path}/answers/wave={first + number}"
         call(plan.where(F.col("__wave") == number).drop("__wave")).write.mode("overwrite").parquet(to)
         for r in spark.read.parquet(to).groupBy("status").agg(F.count("*").alias("n"), F.sum("cost").alias("cost")).collect():
             run.statuses[r.status] = run.statuses.get(r.status, 0) + r.n
@@ -146,3 +147,24 @@ def run_waves(items: DataFrame, done: DataFrame, keys: list[str], order: list[st
         run.waves += 1
         run.answers.append(to)
     return run
+
+
+def _paths(spark: SparkSession, path: str) -> list[str]:
+    """The waves that earlier runs have written whole under a path."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/answers")
+    store = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    waves = [s.getPath() for s in store.listStatus(root)] if store.exists(root) else []
+    whole = [p.toString() for p in waves if store.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+    return sorted(whole)
+
+
+def read_answers(spark: SparkSession, path: str) -> DataFrame | None:
+    """All answers that runs have written under a path; None if there are none. A wave that broke off is not among them."""
+    found = _paths(spark, path)
+    return spark.read.parquet(*found) if found else None
+
+
+def answers_at(items: DataFrame, path: str, keys: list[str]) -> DataFrame:
+    """The keys of what earlier runs have answered under a path, in any status."""
+    found = read_answers(items.sparkSession, path)
+    return items.select(*keys).limit(0) if found is None else found.select(*keys)

@@ -78,6 +78,28 @@ def overlapping(lines: DataFrame, seeds: DataFrame, key: str, text: str = "text"
     return grams(lines, key).join(own, ["g", "h"], "left_semi").select(F.col(f"__{key}").alias(key)).distinct()
 
 
+#: Grams of seeds that are held beside each line.
+HELD_GRAMS = 100_000
+
+
+def with_copies(lines: DataFrame, seeds: DataFrame, text: str, column: str, n: int = 6) -> DataFrame:
+    """lines with whether they share n consecutive words with any seed; each line is read once, so lines may come out of paid calls.
+
+    The seeds' grams are one row that is broadcast; more than HELD_GRAMS of them raise ValueError (overlapping has no such bound).
+    """
+    grams = lambda c: F.transform(ngrams(tokens(F.coalesce(c, F.lit(""))), n), lambda g: F.array_join(g, " "))
+    own = seeds.select(F.explode(grams(F.col("text"))).alias("g")).distinct()
+    if own.count() > HELD_GRAMS:
+        raise ValueError(f"more than {HELD_GRAMS} grams of seeds; use overlapping")
+    held = own.agg(F.collect_list("g").alias("__seeds"))
+    return lines.crossJoin(F.broadcast(held)).withColumn(column, F.arrays_overlap(grams(F.col(text)), F.col("__seeds"))).drop("__seeds")
+
+
+def drawn_line(text: Column) -> Column:
+    """A draw cut to its first line, trimmed."""
+    return F.trim(F.element_at(F.split(F.trim(F.coalesce(text, F.lit("")), F.lit(" \t\r\n")), r"\R", 2), 1))
+
+
 VALIDATED = "struct<line: string, faithful: boolean, source: string, attempts: int, reasons: array<string>>"
 
 

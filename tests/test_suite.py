@@ -5,7 +5,7 @@ import os
 
 import pytest
 
-from seamfold.plans import matches, suite  # noqa: F401
+from seamfold.plans import matches, runs, suite  # noqa: F401
 
 DIR = "/root/testdata/sf0.001"
 
