@@ -17,6 +17,10 @@ class BadDocument(SeamfoldError):
     """A document is missing, malformed or breaks its schema."""
 
 
+class ConcurrentWrite(SeamfoldError):
+    """Another writer has committed the version that was to be written."""
+
+
 class CallFailed(SeamfoldError):
     """A model call failed for good; the item is marked and the run goes on."""
 

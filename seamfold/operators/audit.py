@@ -84,6 +84,7 @@ def defects(judged: DataFrame, order: str) -> DataFrame:
     return judged.where("verdict is not null and not verdict.faithful").withColumn("__rank", rank).orderBy("__rank", order).drop("__rank")
 
 
+# fixed values: the wording of the page, line by line
 def defect_text() -> Column:
     """The entry of a defect on the page."""
     v = lambda f: F.coalesce(F.col(f"verdict.{f}"), F.lit(""))
@@ -98,7 +99,8 @@ def defect_text() -> Column:
 
 
 def page(summary: dict, entries: list[str], label: str) -> str:
-    """The audit's page of a report row and its defects' texts; both are of a page's size."""
+    """The audit's page of a report row, and the texts of some defects behind it."""
+    # fixed values: the wording of the head
     share = lambda x: f"{x:.1%}"
     tags = [f"- {m['mode']}: {m['n']}" for m in summary["failure_modes"]] or ["- none"]
     head = [
@@ -114,16 +116,17 @@ def page(summary: dict, entries: list[str], label: str) -> str:
     return "\n".join(head + entries)
 
 
-def write_outputs(judged: DataFrame, folder: str, label: str, order: str, spent: float = 0.0, generation: float = 0.0, shown: int = 1000) -> None:
+def write_outputs(judged: DataFrame, folder: str, label: str, order: str, spent: float = 0.0, generation: float = 0.0) -> None:
     """folder/label.report, .catalog and .judged: the report as JSON, the page, and every judged item as JSON lines.
 
-    The page lists the first `shown` defects; the judged items are all there.
+    The page lists all defects: its files follow each other, the first has the head and the
+    others the defects in their order, sorted by ranges.
     """
     spark = judged.sparkSession
     summary = report(judged, order, spent, generation).first().asDict(recursive=True)
-    entries = [r[0] for r in defects(judged, order).limit(shown).select(defect_text()).collect()]
     text = lambda s, kind: spark.createDataFrame([(s,)], "value string").coalesce(1).write.mode("overwrite").option("lineSep", "\n").text(f"{folder}/{label}.{kind}")
     text(json.dumps(summary, sort_keys=True), "report")
-    text(page(summary, entries, label), "catalog")
+    head = spark.createDataFrame([(page(summary, [], label),)], "value string").coalesce(1)
+    head.unionByName(defects(judged, order).select(defect_text().alias("value"))).write.mode("overwrite").option("lineSep", "\n").text(f"{folder}/{label}.catalog")
     fields = ("persona", "bucket", "match_id", "ball_id", "event", "state", "line", "heuristic_ok", "heuristic_reasons", "verdict", "source")
     judged.select(*fields).write.mode("overwrite").option("ignoreNullFields", False).json(f"{folder}/{label}.judged")

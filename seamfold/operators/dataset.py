@@ -15,6 +15,7 @@ PACE, SLOWEST = 1.8, 8.0
 
 
 def user_turn(event: Column, state: Column) -> Column:
+    """What a model is asked; fixed wording."""
     return F.concat(F.lit("BALL: "), event, F.lit("\nSTATE: "), state)
 
 
@@ -36,18 +37,21 @@ def pace(seconds: Column) -> Column:
     return F.when(seconds.isNull(), PACE).otherwise(F.greatest(F.lit(0.0), F.least(seconds, F.lit(SLOWEST))))
 
 
-def frames(lines: DataFrame, keys: list[str], order: str, text: str, start: int = 0, state: Column | None = None, ball: Column | None = None, done: Column | None = None) -> DataFrame:
+def frames(lines: DataFrame, keys: list[str], order: str, text: str, start: int = 0, state: Column | None = None, ball: Column | None = None, done: Column | None = None, end: Column | None = None) -> DataFrame:
     """(keys, seq, frame, kind, data): state, tokens and end of each line from place start on.
 
     state and ball are payloads of the frames before and after a line's tokens (by default
     nothing, and the line); with done, each group of keys ends with one more frame that holds it.
+    Where rows tell themselves which of them are ends and no lines (end), no group is gathered.
     """
     at = lines.where(F.col(order) >= max(start, 0))
     body = F.transform(token_chunks(F.col(text)), lambda c: F.struct(F.lit("token").alias("kind"), c.alias("data")))
     one = lambda kind, data: F.array(F.struct(F.lit(kind).alias("kind"), data.alias("data")))
     whole = F.concat(one("state", F.lit("") if state is None else state), body, one("ball", F.col(text) if ball is None else ball))
+    if end is not None:
+        whole = F.when(end, one("done", F.lit("") if done is None else done)).otherwise(whole)
     out = at.select(*keys, F.col(order).alias("seq"), F.posexplode(whole).alias("frame", "x")).select(*keys, "seq", "frame", "x.kind", "x.data")
-    if done is None:
+    if done is None or end is not None:
         return out
     ends = lines.groupBy(*keys).agg((F.max(order) + 1).alias("seq")).select(*keys, "seq", F.lit(0).alias("frame"), F.lit("done").alias("kind"), done.alias("data"))
     return out.unionByName(ends)

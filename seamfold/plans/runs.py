@@ -5,13 +5,17 @@ from __future__ import annotations
 import base64
 import json
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from seamfold.errors import CallFailed
 from seamfold.functions.folders import fresh, importable
 from seamfold.functions.ranks import placed
 from seamfold.operators import budget, classify, metrics, runs
+from seamfold.plans import matches
 from seamfold.plans.suite import _PHRASE, _phrase, _t, query
+from seamfold.sources import sinks
+from seamfold.streaming import replay
 
 PRICE = budget.Price(3.0, 15.0)
 
@@ -140,3 +144,27 @@ def length_check(spark, sf_dir):
     chats = _t(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.transform(F.sort_array(F.collect_list(part)), lambda x: x.m).alias("messages"))
     lengths = chats.select("conv_id", runs.token_length(runs.rendered(F.col("messages"), _show), _bytes).alias("n"))
     return metrics.length_check(lengths, "n", ["conv_id"], 400)
+
+
+@query("""WITH l AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS seq, coalesce(text, '') AS text FROM conversations), p AS (SELECT *, string_split(text, ' ') AS t FROM l),
+    f AS (SELECT conv_id, seq, 0 AS frame, 'state' AS kind, '' AS data FROM l UNION ALL SELECT conv_id, seq, i, 'token', CASE WHEN i = 1 THEN t[i] ELSE ' ' || t[i] END FROM (SELECT *, unnest(range(1, len(t) + 1)) AS i FROM p)
+    UNION ALL SELECT conv_id, seq, len(t) + 1, 'ball', text FROM p UNION ALL SELECT conv_id, max(seq) + 1, 0, 'done', conv_id::VARCHAR FROM l GROUP BY conv_id) SELECT *, seq * 0.5::DOUBLE AS due FROM f""")
+def live_replay(spark, sf_dir):
+    """Conversations as a stream that comes in pieces, out of order: every frame once, in order, and an end for each."""
+    at = Window.partitionBy("conv_id")
+    place = (F.row_number().over(at.orderBy("turn")) - 1).cast("long")
+    lines = _t(spark, sf_dir, "conversations").select("conv_id", place.alias("seq"), F.coalesce("text", F.lit("")).alias("text"), F.count("*").over(at).alias("total"))
+    come, out, state = (fresh(spark, k) for k in ("stream", "frames", "state"))
+    for part in (2, 0, 1):  # every third line comes in a later file than the lines behind it
+        lines.where(F.col("seq") % 3 == part).coalesce(1).write.mode("append").parquet(come)
+    stream = spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", 1).parquet(come)
+    live = replay.live_frames(stream, ["conv_id"], "seq", "text", "total", done=F.col("conv_id").cast("string"), pace=0.5)
+    replay.run_once(live, out, state).awaitTermination()
+    return spark.read.schema(live.schema).parquet(out).withColumn("frame", F.col("frame").cast("long"))
+
+
+@query(f"{matches.BALLS} SELECT count(*) AS records, count(DISTINCT (match_id, innings)) AS innings, count(DISTINCT match_id) AS matches FROM r")
+def counted_write(spark, sf_dir):
+    """What a write of records has counted on its way."""
+    done = sinks.write_records(matches._records(spark, sf_dir).select("match_id", "innings", "over", "ball_in_over", "state_string"), fresh(spark, "records"))
+    return spark.createDataFrame([(done.records, done.innings, done.matches)], "records long, innings long, matches long")

@@ -30,3 +30,5 @@ RECORD = """
 """
 
 PAIR = "match_id string, ball_id string, persona string, bucket string, event string, state string, commentary string"
+
+EXAMPLE = "schema_version int, match_id string, ball_id string, persona string, bucket string, split string, messages array<struct<role: string, content: string>>"

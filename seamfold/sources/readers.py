@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seamfold import schemas
+from seamfold.errors import BadDocument
+from seamfold.sources.sinks import exists
 
 
 def _missing(rows: Column, *fields: str) -> Column:
@@ -76,6 +80,31 @@ def reference_texts(lines: DataFrame, column: str = "value") -> DataFrame:
     return lines.select(F.trim(F.when(line.startswith("{"), F.get_json_object(line, "$.text")).otherwise(line)).alias("text")).where("text <> ''")
 
 
+def read_reference(spark: SparkSession, path: str) -> DataFrame:
+    """The reference texts of a file or folder; none where there is nothing."""
+    return reference_texts(spark.read.text(path)) if exists(spark, path) else spark.createDataFrame([], "text string")
+
+
+def read_examples(spark: SparkSession, path: str, split: str | None = None, fetch: Callable[[str], str] | None = None) -> DataFrame:
+    """Chat examples of JSON lines, of one split or all; fetch turns a hub's name into a path that can be read. Lines that are no examples raise BadDocument when they are met."""
+    where = path if fetch is None else fetch(path)
+    if split is not None:
+        where = f"{where}/{split}.jsonl"
+    df = spark.read.schema(schemas.EXAMPLE + ", _corrupt_record string").option("mode", "PERMISSIVE").json(where)
+    bad = F.col("_corrupt_record").isNotNull() | F.col("messages").isNull()
+    checked = F.when(bad, F.raise_error(F.concat(F.lit("no example: "), F.coalesce("_corrupt_record", F.lit("without messages"))))).otherwise(F.col("messages"))
+    return df.withColumn("messages", checked).drop("_corrupt_record")
+
+
+def good_matches(matches: DataFrame, required: bool = False) -> DataFrame:
+    """The valid documents of read_matches; with required, one that is not valid is an error."""
+    if required:
+        bad = matches.where("invalid is not null").select("match_id", "invalid").limit(1).collect()
+        if bad:
+            raise BadDocument(f"match {bad[0].match_id}: {bad[0].invalid}")
+    return matches.where("invalid is null")
+
+
 def unfaithful_specs(lines: DataFrame, column: str = "value") -> DataFrame:
     """Judged items whose verdict is there and not faithful."""
     schema = "event string, state string, line string, persona_key string, bucket string, match_id string, ball_id string, verdict struct<faithful: boolean>"

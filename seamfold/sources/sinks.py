@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
+from seamfold.errors import BadDocument
+
 
 def _sorted(c: Column, kind: DataType) -> Column:
     """A column with the fields and string keys of all its levels in alphabetical order."""
@@ -28,8 +31,26 @@ def canonical_json(df: DataFrame, columns: list[str] | None = None) -> Column:
     return F.to_json(F.struct(*(_sorted(F.col(f"`{c}`"), kinds[c]).alias(c) for c in sorted(columns or df.columns))), {"ignoreNullFields": "false"})
 
 
-def write_records(records: DataFrame, path: str) -> None:
-    records.write.mode("overwrite").partitionBy("match_id").parquet(path)
+@dataclass(frozen=True)
+class Written:
+    """What a write has counted on its way."""
+
+    records: int
+    innings: int
+    matches: int
+
+
+def write_records(records: DataFrame, path: str, first: Column | None = None) -> Written:
+    """Write records by match and count them while they are written.
+
+    first: which record is an innings' first one; by default the first ball of over 0. A
+    match's first record is that of its innings 0.
+    """
+    begins = F.coalesce((F.col("over") == 0) & (F.col("ball_in_over") == 1) if first is None else first, F.lit(False))
+    match = begins & (F.col("innings") == 0)
+    seen = Observation()
+    records.observe(seen, F.count("*").alias("records"), F.count_if(begins).alias("innings"), F.count_if(match).alias("matches")).write.mode("overwrite").partitionBy("match_id").parquet(path)
+    return Written(**seen.get)
 
 
 def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -65,14 +86,28 @@ def snapshot_without(rows: DataFrame, dropped: DataFrame, keys: list[str], path:
     rows.join(dropped.select(*keys).distinct(), keys, "left_anti").write.mode("errorifexists").parquet(path)
 
 
-def load_manifest(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The manifest, or an empty one where it is absent or unreadable."""
-    try:
-        df = spark.read.schema(schema).parquet(path)
-        df.limit(1).count()
-        return df
-    except Exception:  # noqa: BLE001
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is anything at a path."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
+def load_manifest(spark: SparkSession, path: str, schema: str, damaged_is_empty: bool = False) -> DataFrame:
+    """The manifest, or an empty one where there is none.
+
+    One that is there but cannot be read is an error, since all would be built or paid for
+    again; only if damaged_is_empty is asked for does it count as empty.
+    """
+    if not exists(spark, path):
         return spark.createDataFrame([], schema)
+    df = spark.read.schema(schema).parquet(path)
+    try:
+        df.write.format("noop").mode("overwrite").save()  # reads all of it; a manifest is small
+    except PySparkException as e:
+        if damaged_is_empty:
+            return spark.createDataFrame([], schema)
+        raise BadDocument(f"the manifest at {path} cannot be read: {e}") from e
+    return df
 
 
 def save_manifest(manifest: DataFrame, path: str) -> None:
