@@ -39,7 +39,7 @@ def price_of(prices: dict[str, Price], model: str) -> Price:
 def usage_cost(usage: dict[str, Column], price: Price, batch: bool = False, writes: bool = True) -> Column:
     """What calls cost by their counters (tokens_in, cache_read, cache_write, tokens_out); null counters are 0."""
     n = {k: F.coalesce(c, F.lit(0)) for k, c in usage.items()}
-    shares = {"tokens_in": price.tokens_in, "cache_read": price.tokens_in * READ_SHARE, "cache_write": price.tokens_in * WRITE_SHARE * writes, "tokens_out": price.tokens_out}
+    shares = {"tokens_in": price.tokens_in, "cache_read": price.tokens_in * READ_SHARE, "cache_write": price.tokens_in * (WRITE_SHARE if writes else 0.0), "tokens_out": price.tokens_out}
     terms = [n[k] * (each if isinstance(each, Column) else F.lit(float(each))) for k, each in shares.items() if k in n]
     total = terms[0]
     for t in terms[1:]:

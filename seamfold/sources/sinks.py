@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -103,10 +104,10 @@ def load_manifest(spark: SparkSession, path: str, schema: str, damaged_is_empty:
     df = spark.read.schema(schema).parquet(path)
     try:
         df.write.format("noop").mode("overwrite").save()  # reads all of it; a manifest is small
-    except PySparkException as e:
+    except (PySparkException, Py4JJavaError) as e:
         if damaged_is_empty:
             return spark.createDataFrame([], schema)
-        raise BadDocument(f"the manifest at {path} cannot be read: {e}") from e
+        raise BadDocument(f"the manifest at {path} cannot be read: {str(e)[:300]}") from e
     return df
 
 
