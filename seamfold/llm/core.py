@@ -86,6 +86,7 @@ def send(spark: SparkSession, value) -> Broadcast:
     """A broadcast that release destroys."""
     out = spark.sparkContext.broadcast(value)
     _sent.append(out)
+    trim()  # what it was written through
     return out
 
 

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from seamfold.llm.core import mix, trimmed
+from seamfold.llm.core import mix, trim, trimmed
 
 #: Keys that a task holds before it sends them on.
 FLUSH = 1 << 20
@@ -113,6 +113,9 @@ def repeated(df: DataFrame, keys_of: Callable[[pa.RecordBatch], Iterator[np.ndar
                 data.append(np.frombuffer(bytes(r[f"data{i}"]), np.uint8))
                 at += 1 << size
         filters.append(Filter(bits, shift, offset, np.concatenate(data) if data else np.zeros(0, np.uint8)))
+    # the segments are many small pieces, which the driver's allocator would keep
+    data = rows = None
+    trim()
     return filters
 
 
