@@ -390,7 +390,10 @@ def _answer(table: pa.Table) -> pa.Table:
     order = np.argsort(split)
     trie = Trie.build(((pairs >> _32)[own2], (pairs & low)[own2], count2[own2]), (node[of[own3]], third[own3], count3[own3]), (split[order], hot_times[order].astype(np.int64)))
 
-    context2 = trie.word(pairs >> _32)
+    # pairs that follow each other share their first word
+    first2 = pairs >> _32
+    begins = np.flatnonzero(np.concatenate([np.ones(min(1, len(first2)), bool), first2[1:] != first2[:-1]]))
+    context2 = np.repeat(trie.word(first2[begins]), np.diff(np.append(begins, len(first2))))
     place2 = trie.pairs.search(context2, trie.word(pairs & low))
     place3 = trie.triples.search(place2[of], trie.word(third))
     found = {2: [x.astype(_U8) for x in trie.pairs.numbers(context2, place2)], 3: [x.astype(_U8) for x in trie.triples.numbers(place2[of], place3)]}
