@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import tempfile
 import uuid
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+_written: list[tuple[SparkSession, str]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -27,6 +31,23 @@ def fresh(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/seamfold-{label}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """df as a table in the shared folder, so that what reads it several times computes it once; deleted when the program ends."""
+    spark, path = df.sparkSession, fresh(df.sparkSession, label)
+    df.write.parquet(path)
+    _written.append((spark, path))
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@atexit.register
+def _delete() -> None:
+    with contextlib.suppress(Exception):  # the JVM may be gone already
+        for spark, path in _written:
+            if getattr(spark.sparkContext, "_jsc", None) is not None:
+                at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+                at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def importable(spark: SparkSession) -> SparkSession:
     """Let Python workers find this package, also where it is not installed."""
     root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from seamfold.functions.folders import written
+
 #: Groups of ranges, and ranges of a group.
 FAN = 24
 #: Sampled keys for each range.
@@ -39,9 +41,13 @@ def placed(rows: DataFrame, order: list[Column | str], column: str = "__place")
 
     Rows of one key share a range, so the key should tell rows apart; ties are in no fixed order. The
     ranges' counts, at most FAN * (FAN + 2) rows, are summed in one task. Names that begin with __ are this function's.
+    The rows are written to the shared folder first, since they are read several times.
     """
-    total = rows.count()
-    ranged = _ranged(rows, order, total)
+    return _placed(written(rows, "placed"), order, column)
+
+
+def _placed(rows: DataFrame, order: list[Column | str], column: str) -> DataFrame:
+    ranged = _ranged(rows, order, rows.count())
     sizes = ranged.groupBy("__range").agg(F.count("*").alias("__n"))
     before = F.coalesce(F.sum("__n").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     starts = sizes.select("__range", before.alias("__start"))
@@ -51,7 +57,8 @@ def placed(rows: DataFrame, order: list[Column | str], column: str = "__place")
 
 def placed_within(rows: DataFrame, groups: str, order: list[Column | str], column: str = "__place") -> DataFrame:
     """The same within each value of a column of few values; a group of any size is dealt over ranges."""
-    whole = placed(rows, [groups, *order], "__whole")
+    rows = written(rows, "placed")
+    whole = _placed(rows, [groups, *order], "__whole")
     sizes = rows.groupBy(F.col(groups).alias("__group")).agg(F.count("*").alias("__n"))
     before = F.coalesce(F.sum("__n").over(Window.orderBy(F.asc_nulls_first("__group")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     starts = sizes.select("__group", before.alias("__start"))
