@@ -127,6 +127,7 @@ def gate(tuned: DataFrame, base: DataFrame, margin: float = 0.05, least_distinct
         .when(reason == "duplicate_rate", F.concat(F.lit("repetition: self-dup "), two("t.duplicate_rate"), F.lit(f" > {most_duplicates:.2f}")))
         .otherwise(F.concat(F.lit("PASS: faithfulness "), share(F.col("t.rate")), F.lit(" vs base "), share(F.col("b.rate")), F.lit(" ("), share(delta, "%+.1f%%"), F.lit("); distinct-2 "), two("t.distinct_2")))
     )
+    # a row each
     return t.join(F.broadcast(b)).select((reason == "passed").alias("passed"), reason.alias("reason"), text.alias("text"))
 
 

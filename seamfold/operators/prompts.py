@@ -22,6 +22,17 @@ TEACHER_TURN = "PERSONA: {key} - {instruction}\nBALL: {event}\nSTATE: {state}\n\
 JUDGE_TURN = "PERSONA: {key} - {instruction}\nEVENT: {event}\nSTATE: {state}\nLINE: {line}\n\nAudit the LINE. Call record_verdict."
 
 
+#: Personas that a table may have to be broadcast.
+PERSONAS = 10_000
+
+
+def _few(table: DataFrame) -> DataFrame:
+    """A table of personas, checked to be small enough to be broadcast."""
+    if table.limit(PERSONAS + 1).count() > PERSONAS:
+        raise ValueError(f"more than {PERSONAS} personas")
+    return F.broadcast(table)
+
+
 def filled(template: str, **fields: Column) -> Column:
     """A template with its {names} replaced by columns; a null field makes it null."""
     parts = re.split(r"\{(\w+)\}", template)
@@ -37,11 +48,11 @@ def with_persona(items: DataFrame, table: DataFrame, column: str = "persona") ->
 
     The check is one distinct over the column and brings at most a few unknown keys to the driver.
     """
-    unknown = items.select(F.col(column).alias("key")).distinct().join(F.broadcast(table.select("key")), "key", "left_anti").limit(5).collect()
+    unknown = items.select(F.col(column).alias("key")).distinct().join(_few(table.select("key")), "key", "left_anti").limit(5).collect()
     if unknown:
         raise UnknownKey(f"unknown personas {[r.key for r in unknown]}; known: {[r.key for r in table.select('key').orderBy('key').collect()]}")
     own = table.select(F.col("key").alias(column), "display_name", "instruction")
-    return items.join(F.broadcast(own), column)
+    return items.join(_few(own), column)
 
 
 def primary(table: DataFrame) -> DataFrame:
@@ -80,7 +91,7 @@ def example_block(exemplars: DataFrame, table: DataFrame) -> DataFrame:
 
     Both are tables of a prompt's size.
     """
-    shown = exemplars.select("place", "event", "state", F.explode("lines").alias("key", "line")).join(F.broadcast(table.select("key", F.col("place").alias("persona_place"))), "key")
+    shown = exemplars.select("place", "event", "state", F.explode("lines").alias("key", "line")).join(_few(table.select("key", F.col("place").alias("persona_place"))), "key")
     part = F.struct("place", filled("BALL: {event}\nSTATE: {state}\nLINE: {line}", event=F.col("event"), state=F.col("state"), line=F.col("line")).alias("text"))
     by = table.select("key", "display_name", "place").join(shown.groupBy("key").agg(F.sort_array(F.collect_list(part)).alias("parts")), "key", "left")
     heading = filled("\n## {display_name} ({key})", display_name=F.col("display_name"), key=F.col("key"))
