@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Kinds credited to the bowler, kinds that are no dismissal.
@@ -20,6 +20,17 @@ LAST = 6
 DEATH_OVERS = 5
 DEFAULT_OVERS = 20
 DEFAULT_POWERPLAY = 6
+#: Balls that one task folds; each is a row of up to 1 kB in several sorts.
+BALLS_PER_TASK = 50_000
+
+
+def tasks(spark: SparkSession, balls: int) -> int:
+    """How many tasks fold so many balls: their number grows with the input, not what one of them sorts.
+
+    Shuffled balls are far smaller than sorted ones, so that partitions which are
+    put together by their shuffled size would outgrow a task.
+    """
+    return max(spark.sparkContext.defaultParallelism, -(-balls // BALLS_PER_TASK))
 
 
 def running(value: Column, keys: list, order: list) -> Column:

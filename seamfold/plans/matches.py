@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seamfold import schemas
-from seamfold.functions.folders import fresh
+from seamfold.functions.folders import written
 from seamfold.functions.hashing import SPLIT_SALT
 from seamfold.functions.rounding import round_exact_sql
 from seamfold.operators import budget, classify, dataset, fold, render
@@ -21,11 +21,13 @@ STAGES = ("Final", "Qualifier 2", "Eliminator", "Some Other", None, None)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(match_id, info, innings): every user's events as a match document."""
-    k = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id")) - 1
-    e = _t(spark, sf_dir, "events").withColumn("k", k).withColumns({"inn": F.floor(F.col("k") / 60), "at": F.col("k") % 60})
-    e = e.withColumns({"over": F.floor(F.col("at") / 7).cast("int"), "bat": F.pmod(F.floor("value"), F.lit(7)).cast("int"), "wides": (F.col("event_type") == "signup").cast("int"), "noballs": (F.col("event_id") % 11 == 0).cast("int"), "legbyes": (F.col("event_id") % 13 == 0).cast("int")})
+    """(match_id, info, innings): every user's events as a match document; dealt by match, so that the fold needs no exchange of its own."""
     name = lambda prefix, n: F.concat(F.lit(prefix), n.cast("string"))
+    e = _t(spark, sf_dir, "events").withColumn("match_id", name("m", F.col("user_id")))
+    e = e.repartition(fold.tasks(spark, e.count()), "match_id")
+    k = F.row_number().over(Window.partitionBy("match_id").orderBy("ts", "event_id")) - 1
+    e = e.withColumn("k", k).withColumns({"inn": F.floor(F.col("k") / 60), "at": F.col("k") % 60})
+    e = e.withColumns({"over": F.floor(F.col("at") / 7).cast("int"), "bat": F.pmod(F.floor("value"), F.lit(7)).cast("int"), "wides": (F.col("event_type") == "signup").cast("int"), "noballs": (F.col("event_id") % 11 == 0).cast("int"), "legbyes": (F.col("event_id") % 13 == 0).cast("int")})
     extra = F.col("wides") + F.col("noballs") + F.col("legbyes")
     batter = name("p", F.col("event_id") % 3)
     kind = F.get(F.array(*map(F.lit, KINDS)), (F.col("event_id") % 5).cast("int"))
@@ -36,8 +38,8 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     listed = lambda place, what: F.transform(F.array_sort(F.collect_list(F.struct(F.col(place), what.alias("x")))), lambda s: s.x)
     u = F.col("user_id")
-    overs = e.groupBy("user_id", "inn", "over").agg(listed("at", delivery).alias("deliveries"))
-    innings = overs.groupBy("user_id", "inn").agg(listed("over", F.struct("over", "deliveries")).alias("overs"))
+    overs = e.groupBy("match_id", "user_id", "inn", "over").agg(listed("at", delivery).alias("deliveries"))
+    innings = overs.groupBy("match_id", "user_id", "inn").agg(listed("over", F.struct("over", "deliveries")).alias("overs"))
     teams = F.array(name("A", u % 4), name("B", u % 4))
     one = F.struct(
         F.get(teams, (F.col("inn") % 2).cast("int")).alias("team"), "overs", F.when(F.col("inn") >= 1, F.struct((u % 50 + 60).alias("runs"), F.when(u % 2 == 1, 8.4).alias("overs"))).alias("target"),
@@ -45,7 +47,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     # a super over stands first in some matches and must not count
     none = F.array().cast("array<struct<over: int, deliveries: array<struct<batter: string>>>>")
-    whole = innings.groupBy("user_id").agg(listed("inn", one).alias("innings"), F.count("*").alias("n"))
+    whole = innings.groupBy("match_id", "user_id").agg(listed("inn", one).alias("innings"), F.count("*").alias("n"))
     stage = F.get(F.array(*map(F.lit, STAGES)), (u % 6).cast("int"))
     info = F.struct(
         teams.alias("teams"), F.when(u % 3 != 0, 20).alias("overs"), F.lit("T20").alias("match_type"), (u % 5 + 2000).cast("string").alias("season"),
@@ -54,7 +56,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     super_over = F.when(u % 4 == 0, F.array(F.to_json(F.struct(F.lit("S").alias("team"), none.alias("overs"), F.lit(True).alias("super_over"))))).otherwise(F.array().cast("array<string>"))
     text = F.concat(F.lit('{"info":'), F.to_json(info), F.lit(',"innings":['), F.array_join(F.concat(super_over, F.transform("innings", lambda i: F.to_json(i))), ","), F.lit("]}"))
-    return whole.select(name("m", u).alias("match_id"), F.from_json(text, schemas.MATCH).alias("d")).select("match_id", "d.info", "d.innings")
+    return whole.select("match_id", F.from_json(text, schemas.MATCH).alias("d")).select("match_id", "d.info", "d.innings")
 
 
 def _state(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,16 +119,20 @@ def _figures(state: DataFrame) -> DataFrame:
 
 @query(ORACLES["innings_fold"])
 def innings_increments(spark, sf_dir):
-    """The same in three increments, each of which starts from what the one before it has carried."""
-    balls, carried, out = fold.explode_balls(documents(spark, sf_dir)), None, None
-    at = F.col("over_at") * 7 + F.col("ball_in_over")
+    """The same in three increments, each of which starts from what the one before it has carried.
+
+    Balls and states are written once, since several steps read them, and dealt by innings for
+    every join and window.
+    """
+    balls = written(fold.explode_balls(documents(spark, sf_dir)).drop("info"), "balls")
+    n = fold.tasks(spark, balls.count())
+    carried, out, at = None, None, F.col("over_at") * 7 + F.col("ball_in_over")
     for upto in (5 + F.col("innings") * 9, 31 + F.length("match_id"), F.lit(1000)):
-        come = balls.where(at <= upto)
+        come = balls.where(at <= upto).repartition(n, "match_id", "innings")
         state = fold.innings_state(come) if carried is None else fold.innings_state(fold.unseen(come, carried), carried)
-        path = fresh(spark, "carried")
-        fold.carry(state, carried).write.parquet(path)
+        state = written(state.drop("people", "raw_wickets"), "state")
         out = _figures(state) if out is None else out.unionByName(_figures(state))
-        carried = spark.read.parquet(path)
+        carried = written(fold.carry(state.repartition(n, "match_id", "innings"), carried), "carried")
     return out
 
 
