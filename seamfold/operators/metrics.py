@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
+from seamfold.functions import values
+from seamfold.functions.folders import importable
 from seamfold.functions.ranks import placed
 from seamfold.functions.rounding import round_exact
 from seamfold.operators import textcheck
-from seamfold.operators.textcheck import tokens
 
 
 def _share(part, total):
@@ -18,26 +21,15 @@ def _share(part, total):
 def diversity(lines: DataFrame, text: str, keys: list[str]) -> DataFrame:
     """(keys, n_lines, distinct_1, distinct_2, duplicate_rate); pairs of words do not cross lines, and null lines are empty ones.
 
-    One scan: every word, pair and line becomes two 64-bit hashes with its kind, which
-    are counted by value after one shuffle, so a group with many lines is not gathered
-    anywhere. What is counted is added up by kind.
+    One scan: every word, pair and line becomes two 64-bit values with its kind. Tasks add up
+    equal ones of a million words at a time; the sums are added up by value after one shuffle,
+    so a group with many lines is not gathered anywhere. What is counted is added up by kind.
     """
-    words = lines.select(*keys, F.transform(tokens(F.coalesce(text, F.lit(""))), lambda w: F.xxhash64(w)).alias("t"))
-    line = lambda seed: F.aggregate("t", F.xxhash64(F.lit(seed)), lambda a, w: F.xxhash64(a, w))
-    # made before words get rows: a word's row then has its next word and nothing else of the line, whose own value goes with its first word
-    ends = F.concat("t", F.array(F.lit(None).cast("long")))
-    whole = words.select(*keys, line(1).alias("lg"), line(2).alias("lh"), F.arrays_zip(ends.alias("w"), F.slice(ends, 2, F.size("t")).alias("after")).alias("s"))
-    spots = whole.select(*keys, "lg", "lh", F.posexplode("s").alias("i", "s")).where("i = 0 or s.w is not null")
-    value = lambda kind, g, h: F.struct(F.lit(kind).alias("kind"), g.alias("g"), h.alias("h"))
-    made = F.array_compact(
-        F.array(
-            F.when(F.col("i") == 0, value("l", F.col("lg"), F.col("lh"))),
-            F.when(F.col("s.w").isNotNull(), value("1", F.col("s.w"), F.lit(0).cast("long"))),
-            F.when(F.col("s.w").isNotNull() & F.col("s.after").isNotNull(), value("2", F.col("s.w"), F.col("s.after"))),
-        )
-    )
-    each = spots.select(*keys, F.explode(made).alias("v")).select(*keys, "v.kind", "v.g", "v.h")
-    counted = each.groupBy(*keys, "kind", "g", "h").agg(F.count("*").alias("n"))
+    importable(lines.sparkSession)
+    low = lines.select(*keys, F.lower(F.coalesce(text, F.lit(""))).alias("__text"))
+    schema = StructType([*low.schema.fields[:-1], *StructType.fromDDL("kind string, g long, h long, n long").fields])
+    each = low.mapInArrow(values.counted(to_arrow_schema(schema)), schema)
+    counted = each.groupBy(*keys, "kind", "g", "h").agg(F.sum("n").alias("n"))
     of = lambda kind, c: F.coalesce(F.sum(F.when(F.col("kind") == kind, c)), F.lit(0))
     sums = counted.groupBy(*keys).agg(*(a for k in "l12" for a in (of(k, F.lit(1)).alias(f"d_{k}"), of(k, F.col("n")).alias(f"n_{k}"))))
     rate = lambda k: _share(F.col(f"d_{k}"), F.col(f"n_{k}"))

@@ -2,9 +2,11 @@
 
 import os
 
+import pyarrow as pa
 import pytest
 
-from seamfold.operators import fold
+from seamfold.functions import values
+from seamfold.operators import fold, metrics
 from seamfold.plans import matches
 
 DIR = "/root/testdata/sf0.001"
@@ -21,3 +23,17 @@ def test_folds_deal_balls_over_as_many_tasks_as_they_need(spark, monkeypatch):
     assert plan.count("Exchange hashpartitioning") == 1
     made = matches.innings_increments(spark, DIR)
     assert sorted(map(str, made.collect())) == sorted(map(str, matches.innings_fold(spark, DIR).collect()))
+
+
+def test_diversity_adds_up_values_in_tasks(spark, monkeypatch):
+    texts = [("a", "x Y x y"), ("a", "x y x y"), ("a", None), ("b", "it's x"), (None, "x"), ("b", "12")]
+    df = spark.createDataFrame(texts, "k string, t string")
+    made = {r.k: tuple(r)[1:] for r in metrics.diversity(df, "t", ["k"]).collect()}
+    assert made == {"a": (3, 0.25, 0.3333, 0.3333), "b": (2, 1.0, 1.0, 0.0), None: (1, 1.0, 0.0, 0.0)}
+    schema = pa.schema([("k", pa.string()), ("kind", pa.string()), ("g", pa.int64()), ("h", pa.int64()), ("n", pa.int64())])
+    batch = pa.RecordBatch.from_pydict({"k": ["a"] * 100, "t": ["x y"] * 100})
+    whole = [r for b in values.counted(schema)([batch]) for r in b.to_pylist()]
+    assert len(whole) == 4 and {r["n"] for r in whole} == {100}
+    monkeypatch.setattr(values, "HELD", 30)
+    parts = [r for b in values.counted(schema)([batch]) for r in b.to_pylist()]
+    assert len(parts) == 40 and sum(r["n"] for r in parts) == 400
