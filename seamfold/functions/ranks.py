@@ -55,9 +55,9 @@ def _placed(rows: DataFrame, order: list[Column | str], column: str) -> DataFram
     return ranged.withColumn("__number", number).join(F.broadcast(starts), "__range").withColumn(column, (F.col("__start") + F.col("__number")).cast("long")).drop("__key", "__range", "__start", "__number")
 
 
-def placed_within(rows: DataFrame, groups: str, order: list[Column | str], column: str = "__place") -> DataFrame:
-    """The same within each value of a column of few values; a group of any size is dealt over ranges."""
-    rows = written(rows, "placed")
+def placed_within(rows: DataFrame, groups: str, order: list[Column | str], column: str = "__place", held: bool = False) -> DataFrame:
+    """The same within each value of a column of few values; a group of any size is dealt over ranges. held: rows are a written table already."""
+    rows = rows if held else written(rows, "placed")
     whole = _placed(rows, [groups, *order], "__whole")
     sizes = rows.groupBy(F.col(groups).alias("__group")).agg(F.count("*").alias("__n"))
     before = F.coalesce(F.sum("__n").over(Window.orderBy(F.asc_nulls_first("__group")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

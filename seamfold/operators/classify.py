@@ -7,6 +7,7 @@ import random
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from seamfold.functions.folders import written
 from seamfold.functions.hashing import SPLIT_SALT, hash_split
 from seamfold.functions.ranks import placed, placed_within
 from seamfold.operators.budget import Price, affordable, generation_estimate, usage_cost  # noqa: F401  affordable is part of this module's interface
@@ -60,9 +61,9 @@ def candidates(records: DataFrame, split: str = "train", val: float = 0.1, test:
     return own.select("match_id", "ball_id", bucket().alias("bucket"), record_event().alias("event"), F.col("state_string").alias("state")).where("bucket is not null")
 
 
-def at_places(rows: DataFrame, stratum: str, order: list[str], places: DataFrame) -> DataFrame:
+def at_places(rows: DataFrame, stratum: str, order: list[str], places: DataFrame, held: bool = False) -> DataFrame:
     """The rows at places (stratum, __place), counted from 0 in order within their stratum; numbered by ranges, so that no task has a whole stratum."""
-    return placed_within(rows, stratum, order).join(places, [stratum, "__place"], "left_semi").drop("__place")
+    return placed_within(rows, stratum, order, held=held).join(places, [stratum, "__place"], "left_semi").drop("__place")
 
 
 def stratified_sample(rows: DataFrame, stratum: str, order: list[str], targets: list[tuple[str, int]], seed: int = SEED) -> DataFrame:
@@ -70,14 +71,16 @@ def stratified_sample(rows: DataFrame, stratum: str, order: list[str], targets:
 
     Only counts come to the driver (one for each stratum) and only drawn places go out
     (as many as are drawn): rows are numbered within their stratum and joined to them.
+    Rows are computed once, and so is what is drawn.
     """
-    wanted = rows.where(F.col(stratum).isin([t for t, _ in targets]))
+    wanted = written(rows.where(F.col(stratum).isin([t for t, _ in targets])), "wanted")
     counts = {r[stratum]: r["count"] for r in wanted.groupBy(stratum).count().collect()}
     rng, places = random.Random(seed), []
     for name, target in targets:
         n = counts.get(name, 0)
         places += [(name, i) for i in (rng.sample(range(n), target) if target < n else range(n))]
-    return at_places(wanted, stratum, order, rows.sparkSession.createDataFrame(places, f"`{stratum}` string, `__place` long"))
+    at = rows.sparkSession.createDataFrame(places, f"`{stratum}` string, `__place` long")
+    return written(at_places(wanted, stratum, order, at, held=True), "drawn")
 
 
 def sample_targets(size: int, strata: dict[str, float] = STRATA) -> list[tuple[str, int]]:

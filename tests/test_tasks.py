@@ -4,9 +4,10 @@ import os
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from seamfold.functions import values
-from seamfold.operators import fold, metrics
+from seamfold.operators import classify, fold, metrics
 from seamfold.plans import matches
 
 DIR = "/root/testdata/sf0.001"
@@ -25,6 +26,19 @@ def test_folds_deal_balls_over_as_many_tasks_as_they_need(spark, monkeypatch):
     assert sorted(map(str, made.collect())) == sorted(map(str, matches.innings_fold(spark, DIR).collect()))
 
 
+def test_a_draw_reads_its_rows_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    rows = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") % 2).cast("string").alias("s")).mapInArrow(look, "k long, s string")
+    drawn = classify.stratified_sample(rows, "s", ["k"], [("0", 10), ("1", 600)])
+    assert drawn.count() == 510 and drawn.count() == 510 and seen.value == 1000
+
+
 def test_diversity_adds_up_values_in_tasks(spark, monkeypatch):
     texts = [("a", "x Y x y"), ("a", "x y x y"), ("a", None), ("b", "it's x"), (None, "x"), ("b", "12")]
     df = spark.createDataFrame(texts, "k string, t string")
