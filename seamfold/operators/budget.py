@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seamfold.errors import UnknownKey
@@ -140,12 +140,13 @@ def run_waves(items: DataFrame, done: DataFrame, keys: list[str], order: list[st
             run.stopped = True
             break
         to = f"{path}/answers/wave={first + number}"
-        call(plan.where(F.col("__wave") == number).drop("__wave")).write.mode("overwrite").parquet(to)
-        for r in spark.read.parquet(to).groupBy("status").agg(F.count("*").alias("n"), F.sum("cost").alias("cost")).collect():
-            run.statuses[r.status] = run.statuses.get(r.status, 0) + r.n
-            run.spent += float(r.cost or 0.0)
+        seen = Observation()
+        call(plan.where(F.col("__wave") == number).drop("__wave")).observe(seen, F.sum("cost").alias("cost")).write.mode("overwrite").parquet(to)
+        run.spent += float(seen.get["cost"] or 0.0)
         run.waves += 1
         run.answers.append(to)
+    if run.answers:  # all waves at once: a wave is one job
+        run.statuses = {r.status: r.n for r in spark.read.schema("status string").parquet(*run.answers).groupBy("status").agg(F.count("*").alias("n")).collect()}
     return run
 
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from seamfold.functions import values
-from seamfold.operators import classify, fold, metrics
+from seamfold.operators import budget, classify, fold, metrics
 from seamfold.plans import matches
 
 DIR = "/root/testdata/sf0.001"
@@ -26,6 +26,20 @@ def test_folds_deal_balls_over_as_many_tasks_as_they_need(spark, monkeypatch):
     assert sorted(map(str, made.collect())) == sorted(map(str, matches.innings_fold(spark, DIR).collect()))
 
 
+def test_a_wave_is_one_job(spark, tmp_path):
+    e = spark.range(20).withColumnRenamed("id", "k")
+    call = lambda w: w.select("k", F.when(F.col("k") % 3 == 0, "failed").otherwise("kept").alias("status"), F.when(F.col("k") % 3 != 0, 0.5).alias("cost"))
+    sc = spark.sparkContext
+    sc.setJobGroup("waves", "waves")
+    run = budget.run_waves(e, e.limit(0), ["k"], ["k"], call, f"{tmp_path}/a", 1e9, size=1)
+    many = len(sc.statusTracker().getJobIdsForGroup("waves"))
+    sc.setJobGroup("few", "few")
+    few = budget.run_waves(e, e.limit(0), ["k"], ["k"], call, f"{tmp_path}/b", 1e9, size=10)
+    assert many - len(sc.statusTracker().getJobIdsForGroup("few")) <= run.waves - few.waves + 2
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert (run.statuses, run.spent, run.waves) == ({"failed": 7, "kept": 13}, 6.5, 20) and few.statuses == run.statuses
+
+
 def test_a_draw_reads_its_rows_once(spark):
     seen = spark.sparkContext.accumulator(0)
 
