@@ -9,7 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from seamfold.errors import CallFailed
-from seamfold.functions.folders import fresh, importable
+from seamfold.functions.folders import fresh, importable, written
 from seamfold.functions.ranks import placed
 from seamfold.operators import budget, classify, metrics, runs
 from seamfold.plans import matches
@@ -18,6 +18,8 @@ from seamfold.sources import sinks
 from seamfold.streaming import replay
 
 PRICE = budget.Price(3.0, 15.0)
+#: Lines of a replay that come in one file, at most about.
+LINES_PER_FILE = 50_000
 
 
 @query("SELECT event_id, row_number() OVER (ORDER BY event_type, value, event_id) - 1 AS place FROM events")
@@ -155,9 +157,11 @@ def live_replay(spark, sf_dir):
     place = (F.row_number().over(at.orderBy("turn")) - 1).cast("long")
     lines = _t(spark, sf_dir, "conversations").select("conv_id", place.alias("seq"), F.coalesce("text", F.lit("")).alias("text"), F.count("*").over(at).alias("total"))
     come, out, state = (fresh(spark, k) for k in ("stream", "frames", "state"))
-    for part in (2, 0, 1):  # every third line comes in a later file than the lines behind it
-        lines.where(F.col("seq") % 3 == part).coalesce(1).write.mode("append").parquet(come)
-    stream = spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", 1).parquet(come)
+    lines = written(lines, "lines")
+    files = -(-lines.count() // LINES_PER_FILE) or 1
+    for part in (2, 0, 1):  # every third line comes in later files than the lines behind it
+        lines.where(F.col("seq") % 3 == part).repartition(files).write.mode("append").parquet(come)
+    stream = spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", files).parquet(come)
     live = replay.live_frames(stream, ["conv_id"], "seq", "text", "total", done=F.col("conv_id").cast("string"), pace=0.5)
     replay.run_once(live, out, state).awaitTermination()
     return spark.read.schema(live.schema).parquet(out).withColumn("frame", F.col("frame").cast("long"))

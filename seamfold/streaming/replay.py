@@ -37,23 +37,24 @@ def in_order(lines: DataFrame, keys: list[str], order: str, text: str, total: st
     def advance(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         place, n, waiting = state.get if state.exists else (start, None, [])
         held = dict(waiting or [])
-        rows: list[tuple] = []
+        lines: list[tuple[int, str | None, bool]] = []
         if not state.hasTimedOut:
             for part in parts:
-                for seq, line, whole in zip(part[order], part[text], part[total], strict=True):
-                    n = int(whole) if not pd.isna(whole) else n
+                for seq, line, whole in zip(*(part[c].tolist() for c in (order, text, total)), strict=True):
+                    n = n if whole is None or whole != whole else int(whole)  # a null number is a NaN here
                     if place is not None and seq >= place:
-                        held.setdefault(int(seq), None if pd.isna(line) else line)
+                        held.setdefault(int(seq), line if isinstance(line, str) else None)
         while place is not None and place in held:
-            rows.append((*key, place, held.pop(place) or "", False))
+            lines.append((place, held.pop(place) or "", False))
             place += 1
         if place is not None and (state.hasTimedOut or (n is not None and place >= n)):
-            rows.append((*key, place, None, True))
+            lines.append((place, None, True))
             place, held = None, {}
         state.update((place, n, sorted(held.items())))
         if patience is not None and place is not None:
             state.setTimeoutDuration(int(patience * 1000))
-        yield pd.DataFrame(rows, columns=names)
+        if lines:  # a frame, also an empty one, costs more than all else that is done for a group
+            yield pd.DataFrame({**{k: [v] * len(lines) for k, v in zip(keys, key, strict=True)}, **dict(zip(names[len(keys) :], zip(*lines, strict=True), strict=True))})
 
     kept = StructType.fromDDL("place long, n long, waiting array<struct<seq: long, line: string>>")
     timeout = GroupStateTimeout.NoTimeout if patience is None else GroupStateTimeout.ProcessingTimeTimeout

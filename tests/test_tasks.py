@@ -2,14 +2,16 @@
 
 import os
 
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from seamfold.functions import values
 from seamfold.operators import budget, classify, fold, metrics
-from seamfold.plans import matches
+from seamfold.plans import matches, runs
 from seamfold.sources import sinks
+from seamfold.streaming import replay
 
 DIR = "/root/testdata/sf0.001"
 
@@ -80,3 +82,40 @@ def test_files_grow_with_records_and_not_with_matches(spark, tmp_path):
     assert own == sorted(own) and len(own) % 4 == 0
     assert sinks.write_records(rows, f"{tmp_path}/a", apart=True) == sinks.Written(1200, 300, 300)
     assert len(list((tmp_path / "a").glob("match_id=*"))) == 300
+
+
+@pytest.mark.skipif(not os.path.isdir(DIR), reason="no test tables")
+def test_lines_come_in_as_many_files_as_they_need(spark, monkeypatch, tmp_path):
+    want = sorted(map(str, runs.live_replay(spark, DIR).collect()))
+    monkeypatch.setattr(runs, "LINES_PER_FILE", 20)
+    monkeypatch.setattr(runs, "fresh", lambda _, label: f"{tmp_path}/{label}")
+    n = spark.read.parquet(f"{DIR}/conversations.parquet").count()
+    assert sorted(map(str, runs.live_replay(spark, DIR).collect())) == want
+    assert len(list((tmp_path / "stream").glob("*.parquet"))) == 3 * -(-n // 20) > 3
+    assert len(list((tmp_path / "state" / "commits").glob("[0-9]*"))) == 3
+
+
+def test_a_group_without_new_lines_makes_no_frame(spark):
+    class Lines:
+        """Stands in for a stream; keeps the function that it is given."""
+
+        sparkSession, schema = spark, spark.createDataFrame([], "k string, seq long, line string, total long").schema
+        select = groupBy = lambda self, *_: self
+
+        def applyInPandasWithState(self, advance, *_):  # noqa: N802
+            return advance
+
+    class State:
+        exists, hasTimedOut, get = False, False, None  # noqa: N815
+
+        def update(self, value):
+            self.exists, self.get = True, value
+
+    advance, state = replay.in_order(Lines(), ["k"], "seq", "line", "total"), State()
+    come = lambda *rows: list(advance(("a",), iter([pd.DataFrame(rows, columns=["k", "seq", "line", "total"])]), state))
+    assert come(("a", 1, None, 3)) == [] and state.get == (0, 3, [(1, None)])
+    (out,) = come(("a", 0, "x", float("nan")), ("a", 0, "y", 3))
+    assert list(map(tuple, out[["k", "seq", "text", "done"]].values)) == [("a", 0, "x", False), ("a", 1, "", False)]
+    assert come(("a", 1, "z", 3)) == [] and state.get == (2, 3, [])
+    (out,) = come(("a", 2, "w", 3), ("a", 4, "v", 3))
+    assert list(map(tuple, out.values)) == [("a", 2, "w", False), ("a", 3, None, True)] and come(("a", 2, "w", 3)) == []
